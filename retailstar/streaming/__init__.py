@@ -1,0 +1 @@
+"""retailstar.streaming"""

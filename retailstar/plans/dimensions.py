@@ -20,7 +20,8 @@ from ..operators.dedup import distinct_rows, survivor
 from ..operators.joins import lookup_join
 from ..operators.keys import add_surrogate_key
 
-# Validity interval of an initial dimension load.
+# Validity interval of an initial dimension load. The open end
+# is stored as null by default (VALID_TO is accepted as "current" as well).
 VALID_FROM = dt.datetime(1900, 1, 1)
 VALID_TO = dt.datetime(9999, 12, 31)
 UNKNOWN_TYPE = "Unknown Type"
@@ -29,12 +30,17 @@ UNKNOWN_REGION = "Unknown"
 NEW_RETAILER_SEED = 11   # file-only retailer types: speciality flag ~40 %
 
 
-def scd_columns(df: DataFrame, key: str, load_ts=None) -> DataFrame:
-    """Insert version, date_from, date_to after the surrogate key."""
+def scd_columns(df: DataFrame, key: str, load_ts=None, open_end=None) -> DataFrame:
+    """Insert version, date_from, date_to after the surrogate key.
+
+    ``date_from`` is VALID_FROM unless a load timestamp is passed (one value for
+    the whole load, unlike a per-query ``current_timestamp()``); ``date_to`` is
+    null (open) unless ``open_end`` (e.g. VALID_TO) is given."""
     start = F.lit(VALID_FROM) if load_ts is None else F.lit(load_ts)
+    end = F.lit(None) if open_end is None else F.lit(open_end)
     rest = [c for c in df.columns if c != key]
     return df.select(key, F.lit(1).alias("version"), start.cast("timestamp").alias("date_from"),
-                     F.lit(VALID_TO).cast("timestamp").alias("date_to"), *rest)
+                     end.cast("timestamp").alias("date_to"), *rest)
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

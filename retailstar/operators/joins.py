@@ -41,11 +41,25 @@ def broadcast_threshold(spark) -> int:
     return int(float(raw) * mult)
 
 
+_MEASURED: dict[tuple, int] = {}
+
+
+def measured_rows(df: DataFrame) -> int:
+    """Row count of a lookup table, measured once per (plan, input files): a
+    dimension read by many joins is counted once. Rewritten tables have new
+    files, hence a new entry."""
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+           tuple(sorted(df.inputFiles())))
+    if key not in _MEASURED:
+        _MEASURED[key] = df.count()
+    return _MEASURED[key]
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
     limit = broadcast_threshold(df.sparkSession) if max_bytes is None else max_bytes
     if limit < 0:
         return False
-    return df.count() * row_width(df.schema) <= limit
+    return measured_rows(df) * row_width(df.schema) <= limit
 
 
 def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

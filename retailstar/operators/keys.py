@@ -14,9 +14,10 @@ executors are lost: later jobs read the written table, not a recomputation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark import StorageLevel
 
 from ..session import scratch_path, shuffle_partitions
 from .joins import lookup_join
@@ -33,21 +34,46 @@ def sort_spec(o: str | Column) -> Column:
     return F.col(o).asc_nulls_first() if isinstance(o, str) else o
 
 
-def dense_number(df: DataFrame, order: list, out: str = "rn", *,
-                 partitions: int | None = None, out_type: str = "long") -> DataFrame:
-    """Add ``out`` = 1..n in the given order (ties broken arbitrarily among rows
-    equal in every order column; include all columns for a unique order)."""
+# Inputs up to this many rows are numbered with one global window: the size is
+# checked first (``limit(n + 1).count()``), so that path is bounded.
+SMALL_INPUT_ROWS = 200_000
+
+
+def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *,
+                        large: bool = False, partitions: int | None = None,
+                        out_type: str = "long") -> tuple[DataFrame, int]:
+    """``dense_number`` plus the number of rows.
+
+    ``large=True`` skips the size check (inputs known to grow with the data,
+    like the fact or the sales lines) and goes straight to the distributed
+    numbering.
+    """
     spark = df.sparkSession
     cols = df.columns
     keys = [sort_spec(o) for o in order]
+    if not large:
+        n = df.limit(SMALL_INPUT_ROWS + 1).count()
+        if n <= SMALL_INPUT_ROWS:
+            # bounded by the check above; every caller orders on a key that is
+            # unique up to identical rows, so recomputation gives the same numbers
+            w = Window.orderBy(*keys)
+            return df.withColumn(out, F.row_number().over(w).cast(out_type)), n
     n_ranges = partitions or shuffle_partitions(spark)
-    staged = (df.withColumn(_TIE, F.monotonically_increasing_id())
-                .repartitionByRange(n_ranges, *keys, F.col(_TIE))
-                .sortWithinPartitions(*keys, F.col(_TIE))
-                .withColumn(_MID, F.monotonically_increasing_id())
-                .drop(_TIE))
+    # The range bounds are sampled in a job of their own; keeping the input
+    # (memory, spilling to disk) lets the sample and the shuffle share one
+    # computation of it. A lost block is recomputed from lineage, which only
+    # reorders identical rows.
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    staged = (kept.withColumn(_TIE, F.monotonically_increasing_id())
+                  .repartitionByRange(n_ranges, *keys, F.col(_TIE))
+                  .sortWithinPartitions(*keys, F.col(_TIE))
+                  .withColumn(_MID, F.monotonically_increasing_id())
+                  .drop(_TIE))
     path = scratch_path(spark, "numbered")
-    staged.write.parquet(path)
+    try:
+        staged.write.parquet(path)
+    finally:
+        kept.unpersist()
     stored = spark.read.parquet(path).withColumn(_RANGE, F.shiftright(F.col(_MID), _POS_BITS))
     sizes = stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, run = [], 0
@@ -60,7 +86,15 @@ def dense_number(df: DataFrame, order: list, out: str = "rn", *,
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     numbered = (stored.join(F.broadcast(off_df), _RANGE)   # at most n_ranges rows
                 .withColumn(out, (F.col(_OFF) + pos + 1).cast(out_type)))
-    return numbered.select(*cols, out)
+    return numbered.select(*cols, out), run
+
+
+def dense_number(df: DataFrame, order: list, out: str = "rn", *, large: bool = False,
+                 partitions: int | None = None, out_type: str = "long") -> DataFrame:
+    """Add ``out`` = 1..n in the given order (ties broken arbitrarily among rows
+    equal in every order column; include all columns for a unique order)."""
+    return numbered_with_total(df, order, out, large=large, partitions=partitions,
+                               out_type=out_type)[0]
 
 
 def add_surrogate_key(df: DataFrame, order: list, key: str, first: bool = True,

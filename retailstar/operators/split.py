@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import row_hash
-from .keys import dense_number
+from .keys import numbered_with_total
 
 _RANK = "__split_rank"
 _HASH = "__split_hash"
@@ -24,12 +24,12 @@ def split_key_order(columns: list[str]) -> list:
 
 
 def label_split(df: DataFrame, frac: float, seed: int = 1, label: str = "part",
-                sample_label: str = "sample", rest_label: str = "rest") -> DataFrame:
+                sample_label: str = "sample", rest_label: str = "rest",
+                large: bool = True) -> DataFrame:
     """All rows with a ``label`` column naming the part each row belongs to."""
     cols = df.columns
     hashed = df.withColumn(_HASH, row_hash(*cols, seed=seed))
-    ranked = dense_number(hashed, split_key_order(cols), _RANK)
-    n = ranked.agg(F.max(_RANK)).first()[0] or 0   # reads one column of the written ranks
+    ranked, n = numbered_with_total(hashed, split_key_order(cols), _RANK, large=large)
     k = int(round(frac * n))                       # Python rounding, as the pandas sampler
     return ranked.select(*cols, F.when(F.col(_RANK) <= k, F.lit(sample_label))
                          .otherwise(F.lit(rest_label)).alias(label))

@@ -118,5 +118,5 @@ def fact_sales(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
     keys, then the measures) with the distributed numbering (W2)."""
     rows = fact_rows(tables, dims, file_part, unmatched)
     keyed = dense_number(rows, [F.col(c).asc_nulls_first() for c in FACT_KEY_ORDER],
-                         "fact_sales_tk")
+                         "fact_sales_tk", large=True)
     return keyed.select(*FACT_COLUMNS)

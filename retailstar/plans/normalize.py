@@ -100,7 +100,7 @@ def normalize_sales(flat: DataFrame, entities: dict[str, DataFrame]) -> DataFram
     s = map_ids(s, prod, ["product", "product_type"], ["name", "type_name"], "id",
                 "product_fk")
     flat_cols = flat.columns
-    numbered = dense_number(s, [F.col(c).asc_nulls_first() for c in flat_cols], "id")
+    numbered = dense_number(s, [F.col(c).asc_nulls_first() for c in flat_cols], "id", large=True)
     return numbered.select("id", "year", "quarter", "revenue", "quantity", "gross_margin",
                            "country_fk", "order_method_fk", "product_fk", "retailer_type_fk")
 

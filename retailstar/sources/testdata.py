@@ -40,9 +40,10 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat sales rows in cleaned column names (the input of every job).
 
     Order-level attributes are joined first (orders is a quarter of lineitem),
-    so lineitem is shuffled once on the order key and once on the part key;
-    the planner broadcasts nation and any other side whose file size is under
-    the broadcast threshold.
+    so lineitem is shuffled once on the order key and once on the part key
+    (unless part is small enough to broadcast). lineitem and orders grow
+    together, so their join is a shuffle (merge) join at every size; the
+    planner's size check decides for customer, nation and part.
     """
     t = lambda n: table(spark, sf_dir, n)
     orders = (t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
@@ -55,7 +56,7 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = t("part").select("p_partkey", "p_name", "p_brand", "p_type")
     year = F.year("o_orderdate")
     disc = F.col("l_discount").cast("decimal(4,2)")
-    return (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return (lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
             .join(parts, F.col("l_partkey") == F.col("p_partkey"))
             .select(
                 F.col("n_name").alias("retailer_country"),

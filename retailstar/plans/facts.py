@@ -84,10 +84,15 @@ def file_sales(file_part: DataFrame) -> DataFrame:
 def fact_rows(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
               file_part: DataFrame | None = None, unmatched: str = "keep") -> DataFrame:
     """Fact rows without the fact key (what every report needs)."""
-    how = {"keep": "left", "drop": "inner"}[unmatched]
     s = database_sales(tables)
     if file_part is not None:
         s = s.unionByName(file_sales(file_part))
+    return lookup_keys(s, dims, unmatched)
+
+
+def lookup_keys(s: DataFrame, dims: dict[str, DataFrame], unmatched: str = "keep") -> DataFrame:
+    """Sales rows in name layout -> dimension keys and measures."""
+    how = {"keep": "left", "drop": "inner"}[unmatched]
     dp = current_rows(dims["dim_product"]).select(
         "product_tk", F.col("product_name").alias("__dpn"),
         F.col("product_type_name").alias("__dpt"), F.col("product_line_name").alias("__dpl"))

@@ -2,8 +2,8 @@
 
 ``df.sample(frac, random_state)`` takes exactly ``round(frac * n)`` rows. Here
 the rows are ranked by an engine-portable hash of all columns (then by the
-columns themselves), with the distributed numbering, and the first
-``round(frac * n)`` ranks form the sample; the rest is its complement. The
+columns themselves) and the first ``round(frac * n)`` ranks form the sample;
+the rest is its complement. The
 two parts are disjoint, complete, of exact size and the same on every run.
 """
 
@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark import StorageLevel
 
 from ..functions.hashing import row_hash
-from .keys import numbered_with_total
+from .keys import dense_number
 
 _RANK = "__split_rank"
 _HASH = "__split_hash"
@@ -23,16 +24,52 @@ def split_key_order(columns: list[str]) -> list:
     return [F.col(_HASH).asc()] + [F.col(c).asc_nulls_first() for c in columns]
 
 
+_BUCKET = "__split_bucket"
+PREFIX_HEX = 4   # hash-prefix buckets for the boundary search: 16**4 = 65,536 counts
+
+
 def label_split(df: DataFrame, frac: float, seed: int = 1, label: str = "part",
                 sample_label: str = "sample", rest_label: str = "rest",
-                large: bool = True) -> DataFrame:
-    """All rows with a ``label`` column naming the part each row belongs to."""
+                cached: list | None = None) -> DataFrame:
+    """All rows with a ``label`` column naming the part each row belongs to.
+
+    Rank order is (hash, columns); the first ``round(frac * n)`` ranks are the
+    sample. Instead of sorting everything, the rows are counted per hash
+    prefix (at most 65,536 counts, combined map-side); whole buckets before the
+    one holding rank k are sample, those after it rest, and only the rows of
+    that boundary bucket are numbered exactly (a bounded window when the bucket
+    is small, else the distributed numbering, so even a boundary bucket of
+    copies holding a third of the rows is spread out).
+
+    The hashed input is kept (memory, spilling to disk) for the count pass and
+    the labelling pass; it is appended to ``cached`` so the caller can
+    unpersist it once the result is written.
+    """
+    spark = df.sparkSession
     cols = df.columns
-    hashed = df.withColumn(_HASH, row_hash(*cols, seed=seed))
-    ranked, n = numbered_with_total(hashed, split_key_order(cols), _RANK, large=large)
+    hashed = (df.withColumn(_HASH, row_hash(*cols, seed=seed))
+                .withColumn(_BUCKET, F.substring(_HASH, 1, PREFIX_HEX)))
+    kept = hashed.persist(StorageLevel.MEMORY_AND_DISK)
+    if cached is not None:
+        cached.append(kept)
+    counts = sorted((r[_BUCKET], r["n"]) for r in
+                    kept.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect())
+    n = sum(c for _, c in counts)
     k = int(round(frac * n))                       # Python rounding, as the pandas sampler
-    return ranked.select(*cols, F.when(F.col(_RANK) <= k, F.lit(sample_label))
-                         .otherwise(F.lit(rest_label)).alias(label))
+    boundary, before = None, 0
+    for b, c in counts:
+        if before + c >= k and k > 0:
+            boundary = b
+            break
+        before += c
+    lab = lambda cond: F.when(cond, F.lit(sample_label)).otherwise(F.lit(rest_label)).alias(label)
+    if boundary is None:                           # k == 0: everything is rest
+        return kept.select(*cols, lab(F.lit(False)))
+    edge = kept.filter(F.col(_BUCKET) == boundary)
+    ranked = dense_number(edge, split_key_order(cols), _RANK)
+    edge_part = ranked.select(*cols, lab(F.col(_RANK) <= k - before))
+    other = kept.filter(F.col(_BUCKET) != boundary).select(*cols, lab(F.col(_BUCKET) < boundary))
+    return other.unionByName(edge_part)
 
 
 def split_exact(df: DataFrame, frac: float, seed: int = 1) -> tuple[DataFrame, DataFrame]:

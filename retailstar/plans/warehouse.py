@@ -85,9 +85,11 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
         fn()
         wh.timings[name] = round(time.perf_counter() - t0, 3)
 
-    pre = preprocess(sales_raw(spark, sf_dir), frac=frac, seed=seed)
-    stage("processed", lambda: write_parquet(pre.labelled, f"{wh.root}/processed",
-                                             partition_by=["part"]))
+    def processed():
+        pre = preprocess(sales_raw(spark, sf_dir), frac=frac, seed=seed)
+        write_parquet(pre.labelled, f"{wh.root}/processed", partition_by=["part"])
+        pre.release()
+    stage("processed", processed)
     stage("reference", lambda: write_parquet(country_reference(spark, sf_dir),
                                              f"{wh.root}/reference"))
 

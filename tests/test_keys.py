@@ -67,3 +67,18 @@ def test_duplicate_count(spark):
     df = spark.createDataFrame([(1, "x")] * 3 + [(2, "y")], "a int, b string")
     assert duplicate_count(df).first()[0] == 2
     assert distinct_rows(df).count() == 2
+
+
+def test_broadcast_only_after_size_check(spark, capsys):
+    from retailstar.operators.joins import checked_broadcast, fits_broadcast, lookup_join
+    small = spark.range(10).withColumnRenamed("id", "k")
+    assert fits_broadcast(small, max_bytes=10_000)
+    assert not fits_broadcast(small, max_bytes=10)
+    big = spark.range(1000).withColumnRenamed("id", "k")
+    assert checked_broadcast(big, max_bytes=100) is big          # no hint over the limit
+    assert checked_broadcast(small, max_bytes=-1) is small       # -1 disables broadcasting
+    j = lookup_join(spark.range(1000).withColumnRenamed("id", "k"), small, "k", "inner",
+                    max_bytes=10_000)
+    j.explain()
+    assert "BroadcastHashJoin" in capsys.readouterr().out
+    assert j.count() == 10

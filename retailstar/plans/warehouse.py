@@ -25,6 +25,7 @@ from .dimensions import dim_country, dim_date, dim_order_method, dim_product, di
 from .facts import fact_sales
 from .normalize import normalize_entities, normalize_sales
 from .preprocess import preprocess
+from ..operators.quality import _OPS, ExpectationError
 
 DB_TABLES = ["country", "order_method", "retailer_type", "product_line", "product_type",
              "product", "sales"]
@@ -36,6 +37,10 @@ class Warehouse:
     spark: SparkSession
     root: str
     timings: dict = field(default_factory=dict)
+    rows: dict = field(default_factory=dict)      # rows written per table, observed in the write
+
+    def write(self, df: DataFrame, rel: str, **kw) -> None:
+        self.rows[rel] = write_parquet(df, f"{self.root}/{rel}", count=True, **kw)
 
     def read(self, rel: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{rel}")
@@ -75,8 +80,13 @@ def build_dimensions(db: dict[str, DataFrame], file_part: DataFrame | None,
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
-                    frac: float = 0.2, seed: int = 1, unmatched: str = "keep") -> Warehouse:
-    """Extract, preprocess, normalise, build and load the star schema."""
+                    frac: float = 0.2, seed: int = 1, unmatched: str = "keep",
+                    expect: dict[str, tuple[str, int]] | None = None) -> Warehouse:
+    """Extract, preprocess, normalise, build and load the star schema.
+
+    ``expect`` maps a table ('star/fact_sales', 'star/dim_country', ...) to
+    (op, count), e.g. ``{'star/dim_country': ('==', 21)}``; the counts come
+    from the writes themselves (Q1 without extra jobs)."""
     import time
     wh = Warehouse(spark, root or scratch_path(spark, "warehouse"))
 
@@ -87,31 +97,33 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
 
     def processed():
         pre = preprocess(sales_raw(spark, sf_dir), frac=frac, seed=seed)
-        write_parquet(pre.labelled, f"{wh.root}/processed", partition_by=["part"])
+        wh.write(pre.labelled, "processed", partition_by=["part"])
         pre.release()
     stage("processed", processed)
-    stage("reference", lambda: write_parquet(country_reference(spark, sf_dir),
-                                             f"{wh.root}/reference"))
+    stage("reference", lambda: wh.write(country_reference(spark, sf_dir), "reference"))
 
     def normalise():
         flat = wh.database_part()
         entities = normalize_entities(flat, wh.reference())
         for name, df in entities.items():
-            write_parquet(df, f"{wh.root}/db/{name}")
+            wh.write(df, f"db/{name}")
         written = {n: wh.read(f"db/{n}") for n in entities}
-        write_parquet(normalize_sales(flat, written), f"{wh.root}/db/sales")
+        wh.write(normalize_sales(flat, written), "db/sales")
     stage("database", normalise)
 
     def dims():
         for name, df in build_dimensions(wh.database(), wh.file_part(), wh.reference()).items():
-            write_parquet(df, f"{wh.root}/star/{name}")
+            wh.write(df, f"star/{name}")
     stage("dimensions", dims)
 
     def fact():
         star = {t: wh.read(f"star/{t}") for t in DIM_TABLES}
-        write_parquet(fact_sales(wh.database(), star, wh.file_part(), unmatched),
-                      f"{wh.root}/star/fact_sales")
+        wh.write(fact_sales(wh.database(), star, wh.file_part(), unmatched), "star/fact_sales")
     stage("fact", fact)
+    for rel, (op, n) in (expect or {}).items():
+        got = wh.rows.get(rel)
+        if got is None or not _OPS[op](got, n):
+            raise ExpectationError(f"{rel}: {got} rows, expected {op} {n}")
     return wh
 
 

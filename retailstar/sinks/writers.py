@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
@@ -11,13 +12,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, count: bool = False) -> int | None:
     """K3/K8: Parquet, the default warehouse format; ``partition_by=['year']``
-    for the fact gives partition pruning on year filters."""
+    for the fact gives partition pruning on year filters. ``count=True``
+    returns the number of rows written, observed during the write itself
+    (no second pass over the data)."""
+    obs = None
+    if count:
+        obs = Observation("rows_written")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    return int(obs.get["rows"]) if obs is not None else None
 
 
 def write_jdbc(df: DataFrame, options: dict, table: str, mode: str = "overwrite", *,
@@ -33,6 +41,18 @@ def write_jdbc(df: DataFrame, options: dict, table: str, mode: str = "overwrite"
     w.save()
 
 
+def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
+    """K5: ``INSERT INTO table SELECT ...`` into an existing catalog table
+    (columns by position, as SQL INSERT does)."""
+    df.write.insertInto(table, overwrite=overwrite)
+
+
+def drop_tables(spark, names: list[str]) -> None:
+    """K6: drop target tables if they exist, children (the fact) first."""
+    for n in names:
+        spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
 def write_format(df: DataFrame, fmt: str, mode: str = "overwrite", **options) -> None:
     """K8: any connector by name, e.g. a warehouse connector on the classpath."""
     df.write.format(fmt).mode(mode).options(**{k: str(v) for k, v in options.items()}).save()

@@ -53,3 +53,17 @@ def test_invariants(spark):
     assert keys == list(range(1, flat_rows + 1))
     sizes = {r["part"]: r["count"] for r in wh.processed().groupBy("part").count().collect()}
     assert sizes["file"] == round(0.2 * flat_rows)
+
+
+def test_row_counts_observed_during_writes(spark):
+    from retailstar.plans.warehouse import warehouse_for
+    wh = warehouse_for(spark, SMOKE)
+    assert wh.rows["star/fact_sales"] == wh.star()["fact_sales"].count()
+    assert wh.rows["db/sales"] + wh.file_part().count() == wh.rows["processed"]
+
+
+def test_expectations_fail_the_build(spark):
+    from retailstar.operators.quality import ExpectationError
+    from retailstar.plans.warehouse import build_warehouse
+    with pytest.raises(ExpectationError):
+        build_warehouse(spark, SMOKE, expect={"star/dim_country": ("==", 21)})

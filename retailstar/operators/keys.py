@@ -10,6 +10,9 @@ third of the input, is spread over several ranges by the tiebreak: identical
 rows are interchangeable, so any order among them gives the same result.
 Writing the positions makes the numbering stable when tasks are retried or
 executors are lost: later jobs read the written table, not a recomputation.
+
+Inputs that a size check (``limit(n + 1).count()``) proves small - the
+dimensions - are numbered with a single global window instead.
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Each dimension unions the database rows with the names found in the file
 part, keeps one row per business key (the database row wins, then the lowest
 id), numbers the rows into a surrogate key and adds the version columns of an
-initial load (version 1, valid from LOW to HIGH).
+initial load (version 1, valid from VALID_FROM, open end).
 """
 
 from __future__ import annotations

@@ -111,6 +111,21 @@ def _roundtrip(spark, sf_dir) -> DataFrame:
     return quality.roundtrip(wh.database_part(), denormalize(wh.database()))
 
 
+def _llm_queries() -> tuple[dict, dict]:
+    """Queries and oracle SQL of the optional subpackage; none if it is not there."""
+    try:
+        import corpus_pipeline
+        from retailstar.llm.queries import ORACLE_SQL, QUERIES
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "retailstar.llm", "retailstar.llm.queries"):
+            raise
+        return {}, {}
+    oracle = dict(ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        oracle["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return QUERIES | {"pipeline": corpus_pipeline.run}, oracle
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         # Lab 1/2: cleaning, profiling, split
@@ -139,9 +154,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[t] = (lambda name: lambda s, d: _star(s, d)[name])(t)
     for name, fn in REPORTS.items():
         q[name] = (lambda f: lambda s, d: f(_star(s, d)))(fn)
-    return q
+    return q | _llm_queries()[0]
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = _oracle_sql()
+    sql = _oracle_sql() | _llm_queries()[1]
     return {k: sql[k] for k in queries() if k in sql}

@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -81,9 +81,24 @@ def fresh(name: str, *frames: DataFrame) -> str:
     return out
 
 
+def ranked(df: DataFrame, row: str, rows: int, out: str, per_bucket: int = 1_000) -> DataFrame:
+    """Adds ``out`` = 0 .. n-1, a dense number of the rows in hash order of the
+    unique column ``row``, without a global sort: hash buckets of about
+    ``per_bucket`` rows are counted (one row per bucket), numbered within, and
+    shifted by the rows of the buckets before."""
+    b = fresh("bucket", df)
+    d = df.withColumn(b, F.pmod(F.xxhash64(F.col(row)), F.lit(pieces(rows, per_bucket))))
+    before = Window.orderBy(f"{b}_k").rowsBetween(Window.unboundedPreceding, -1)
+    shift = d.groupBy(F.col(b).alias(f"{b}_k")).agg(F.count(F.lit(1)).alias(f"{b}_c")).select(
+        f"{b}_k", F.coalesce(F.sum(f"{b}_c").over(before), F.lit(0)).alias(f"{b}_o"))
+    d = d.withColumn(f"{b}_r", F.row_number().over(Window.partitionBy(b).orderBy(row)))
+    return d.join(shift, F.col(b) == F.col(f"{b}_k")).withColumn(
+        out, F.col(f"{b}_o") + F.col(f"{b}_r") - 1).select(*df.columns, out)
+
+
 def pieces(rows: int, per_piece: int) -> int:
     return max(1, math.ceil(rows / per_piece))
 
 
-__all__ = ["F", "annotate", "fresh", "pieces", "prepare", "read_documents", "sha256",
+__all__ = ["F", "annotate", "fresh", "pieces", "prepare", "ranked", "read_documents", "sha256",
            "shuffle_partitions", "stored"]

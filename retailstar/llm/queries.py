@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import bpe, mixing, quality_rules, secret_scan, sharding
 
 QUERIES = {
+    "op1_bpe": bpe.query,
+    "op2_sharding": sharding.query,
+    "op4_secret_scan": secret_scan.query,
+    "op6_source_mix": mixing.query,
     "op8_quality_rules": quality_rules.query,
 }
 

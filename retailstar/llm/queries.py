@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, mixing, quality_rules, secret_scan, sharding
+from . import (bpe, fingerprints, license_scan, mixing, quality_rules, secret_scan, sharding,
+               substring_dedup)
 
 QUERIES = {
     "op1_bpe": bpe.query,
     "op2_sharding": sharding.query,
+    "op3_substring_dedup": substring_dedup.query,
     "op4_secret_scan": secret_scan.query,
+    "op5_license_scan": license_scan.query,
     "op6_source_mix": mixing.query,
+    "op7_fingerprints": fingerprints.query,
     "op8_quality_rules": quality_rules.query,
 }
 

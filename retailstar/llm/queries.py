@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, fingerprints, license_scan, mixing, quality_rules, secret_scan, sharding,
-               substring_dedup)
+from . import (bpe, fingerprints, license_scan, mixing, ppm, quality_rules, secret_scan,
+               sharding, substring_dedup)
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -14,6 +14,7 @@ QUERIES = {
     "op6_source_mix": mixing.query,
     "op7_fingerprints": fingerprints.query,
     "op8_quality_rules": quality_rules.query,
+    "op9_ppm": ppm.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -1,7 +1,8 @@
-"""The corpus pipeline: quality rules, near duplicates, secrets, mixing, encoding.
+"""The corpus pipeline: quality rules, near copies, secrets, mixing, encoding.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written
-as Parquet and reread as the next one's docs.
+as Parquet and reread as the next one's docs. All but the last return the
+columns of documents.
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from retailstar.llm import quality_rules
+from retailstar.llm import bpe, mixing, ngram_join, quality_rules, secret_scan
 from retailstar.llm.common import prepare, read_documents, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,8 +23,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.filter_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one of smallest id:
+    five-word shingles, similarity 0.8 or more (operator 10)."""
+    prepare(spark)
+    return ngram_join.drop_near_copies(docs, shingle=5, percent=80)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every secret is replaced by a mark; no document goes (operator 4)."""
+    prepare(spark)
+    return secret_scan.redact_documents(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Whole documents, as often as their source's target asks for (operator 6)."""
+    prepare(spark)
+    return mixing.mix_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Tokens of every document, with digests of ids and decoded text (operator 1)."""
+    prepare(spark)
+    return bpe.encode_documents(docs, ["doc_id", "source"], with_ids=True)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
+    ("near_copies", near_copies),
+    ("secrets", secrets),
+    ("mix", mix),
+    ("encode", encode),
 ]
 
 #: learned rules, graph components and byte-level BPE have no SQL form

@@ -45,13 +45,14 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + k], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+                [pa.array([(task << 16) + k], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
                  pa.array([texts], pa.list_(pa.string())), pa.array([size], pa.int64())],
                 names=["pack", "ids", "texts", "size"])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                n = len(t) if t else 0
+                # a few characters for the row itself: packs of empty texts are bounded, too
+                n = 16 + (len(t) if t else 0)
                 if ids and size + n > pack_chars:
                     yield flush()
                     k, ids, texts, size = k + 1, [], [], 0

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, fingerprints, license_scan, mixing, ppm, quality_rules, secret_scan,
-               sharding, substring_dedup)
+from . import (bpe, fingerprints, license_scan, mixing, ngram_join, ppm, quality_rules,
+               secret_scan, sharding, substring_dedup)
 
 QUERIES = {
     "op1_bpe": bpe.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op7_fingerprints": fingerprints.query,
     "op8_quality_rules": quality_rules.query,
     "op9_ppm": ppm.query,
+    "op10_ngram_join": ngram_join.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -19,13 +19,16 @@ repeated rows are separate documents; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import pieces, ranked, read_documents, stored
 
 N_SHARDS = 40
-ROUNDS = 8
+#: rounds end as soon as no document wishes to move, or STUCK rounds moved none
+ROUNDS = 24
+STUCK = 3
 SLOTS = 64
 
 
@@ -33,35 +36,30 @@ def _accepted(wishes: list[tuple[int, int, int, int]], load: list[int], cap: lis
     """For every shard, the number of hash slots whose wishes it takes.
 
     ``wishes``: (from, to, slot, documents), at most shards * shards * SLOTS
-    rows. Starts with all and lowers shards that would go over their capacity;
-    lowering one lowers what leaves others, so it repeats until all fit.
+    rows. Starts with all; a shard that would go over its capacity gives up one
+    slot at a time. That also lowers what leaves others, so it repeats until
+    all fit (no move at all always fits).
     """
     k = len(cap)
-    take = [SLOTS] * k
-    by_to: list[list[tuple[int, int, int]]] = [[] for _ in range(k)]
+    flow = np.zeros((k, k, SLOTS + 1), np.int64)
     for s, t, u, n in wishes:
-        by_to[t].append((u, s, n))
+        flow[s, t, u + 1] += n
+    flow = flow.cumsum(axis=2)
+    take = np.full(k, SLOTS)
+    load_, cap_, at = np.array(load), np.array(cap), np.arange(k)
     while True:
-        after = list(load)
-        for t in range(k):
-            for u, s, n in by_to[t]:
-                if u < take[t]:
-                    after[t] += n
-                    after[s] -= n
-        over = [t for t in range(k) if after[t] > cap[t] and take[t]]
-        if not over:
-            return take
-        for t in over:
-            excess = after[t] - cap[t]
-            while excess > 0 and take[t]:
-                take[t] -= 1
-                excess -= sum(n for u, _, n in by_to[t] if u == take[t])
+        moves = flow[:, at, take]
+        after = load_ + moves.sum(axis=0) - moves.sum(axis=1)
+        over = (after > cap_) & (take > 0)
+        if not over.any():
+            return take.tolist()
+        take = take - over
 
 
 def propagate(cells: DataFrame, load: list[int], cap: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
     """Rounds over (g, part, s0, s, n); returns the cells with final ``s`` and the loads."""
-    spark = cells.sparkSession
     cluster = ["g", "part"]
+    stuck = 0
     for i in range(rounds):
         there = cells.groupBy(*cluster, "s").agg(F.sum("n").alias("n"))
         # most neighbours; equal numbers by a hash that differs between groups
@@ -85,7 +83,8 @@ def propagate(cells: DataFrame, load: list[int], cap: list[int], rounds: int = R
         limit = F.element_at(F.array(*map(F.lit, take)), F.col("t") + 1)
         cells = wish.withColumn("s", F.when(F.col("u") < limit, F.col("t")).otherwise(F.col("s"))).select(
             "g", "part", "s0", "s", "n")
-        if not moved and i > 1:
+        stuck = 0 if moved else stuck + 1
+        if stuck == STUCK:
             break
     return cells, load
 

@@ -1,82 +1,18 @@
-"""Lookup joins with a size-checked broadcast.
-
-A side is broadcast only after its size was measured: the row count of the
-(usually materialised) lookup table times an upper bound of the row width must
-stay below the session's ``spark.sql.autoBroadcastJoinThreshold``. Beyond it
-the join is left to the planner (sort-merge, or AQE's run-time switch and skew
-split), so a dimension that grows with the data never gets shipped whole.
+"""Lookup joins (J1-J9): plain joins against written tables.
+
+The lookup tables of the warehouse are written before they are joined, so the
+planner knows their size from the files and broadcasts one only while it is
+under ``spark.sql.autoBroadcastJoinThreshold``; what it cannot know beforehand
+(a filtered or aggregated side) is measured by AQE at run time. Beyond the
+threshold the join is a sort-merge join whose skewed partitions AQE splits.
+Nothing is counted or hinted here.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Upper bounds per value, in bytes, used for the broadcast size estimate.
-_WIDTH = {
-    T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8,
-    T.FloatType: 4, T.DoubleType: 8, T.BooleanType: 1, T.DateType: 4,
-    T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16,
-}
-_STRING_WIDTH = 96
-
-
-def row_width(schema: T.StructType) -> int:
-    w = 16
-    for f in schema.fields:
-        w += _WIDTH.get(type(f.dataType), _STRING_WIDTH) + 8
-    return w
-
-
-def broadcast_threshold(spark) -> int:
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-    raw = str(raw).strip().lower()
-    mult = 1
-    for suffix, m in (("kb", 1 << 10), ("mb", 1 << 20), ("gb", 1 << 30), ("k", 1 << 10),
-                      ("m", 1 << 20), ("g", 1 << 30), ("b", 1)):
-        if raw.endswith(suffix):
-            raw, mult = raw[: -len(suffix)], m
-            break
-    return int(float(raw) * mult)
-
-
-_MEASURED: dict[tuple, int] = {}
-
-
-def measured_rows(df: DataFrame) -> int:
-    """Row count of a lookup table, measured once per (plan, input files): a
-    dimension read by many joins is counted once. Rewritten tables have new
-    files, hence a new entry."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-           tuple(sorted(df.inputFiles())))
-    if key not in _MEASURED:
-        _MEASURED[key] = df.count()
-    return _MEASURED[key]
-
-
-def fits_broadcast(df: DataFrame, max_bytes: int | None = None) -> bool:
-    limit = broadcast_threshold(df.sparkSession) if max_bytes is None else max_bytes
-    if limit < 0:
-        return False
-    return measured_rows(df) * row_width(df.schema) <= limit
-
-
-def checked_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its measured size is under the limit, else ``df``."""
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
-
-
-def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left",
-                max_bytes: int | None = None) -> DataFrame:
-    """Join a large left side to a lookup table, broadcasting the lookup only
-    behind the size check."""
-    return left.join(checked_broadcast(right, max_bytes), on, how)
+from pyspark.sql import DataFrame
 
 
-def equi(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> Column:
-    cond = None
-    for l, r in pairs:
-        c = left[l] == right[r]
-        cond = c if cond is None else cond & c
-    return cond
+def lookup_join(left: DataFrame, right: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join a large left side to a lookup table; the planner picks the strategy."""
+    return left.join(right, on, how)

@@ -1,28 +1,29 @@
 """Surrogate keys (W1, W2) and name -> id mapping.
 
 ``dense_number`` is ``row_number() OVER (ORDER BY ...)`` without the single
-partition a global window needs. The rows are range-partitioned on the order
-key plus a tiebreak, sorted inside each range and written once to the shared
-checkpoint folder together with their (range, position). The per-range sizes
-(one row per range, so bounded by the partition count) give each range its
-offset; the number is offset + position + 1. A group of identical rows, even a
-third of the input, is spread over several ranges by the tiebreak: identical
-rows are interchangeable, so any order among them gives the same result.
-Writing the positions makes the numbering stable when tasks are retried or
-executors are lost: later jobs read the written table, not a recomputation.
-
-Inputs that a size check (``limit(n + 1).count()``) proves small - the
-dimensions - are numbered with a single global window instead.
+partition a global window needs, by one path for inputs of any size:
+
+1. the rows are written; from then on a row's place in its file is a fixed
+   tiebreak, the same in every retry of a task;
+2. they are range-partitioned on the order key, then on all other columns, then
+   on the tiebreak, sorted inside each range and written with their position.
+   The number of ranges follows the bytes written in step 1. A group of
+   identical rows, even a third of the input, is spread over several ranges;
+3. the rows per range (one number per range) shift each position.
+
+Rows that differ are ordered by their content alone, so the input's row order
+does not matter; identical rows are interchangeable.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark import StorageLevel
 
-from ..session import scratch_path, shuffle_partitions
+from ..session import temporary_table, written_bytes
 from .joins import lookup_join
 
 _TIE = "__rs_tie"
@@ -30,6 +31,8 @@ _MID = "__rs_mid"
 _RANGE = "__rs_range"
 _OFF = "__rs_off"
 _POS_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
+#: written bytes (compressed) that one range sorts
+RANGE_BYTES = 16 << 20
 
 
 def sort_spec(o: str | Column) -> Column:
@@ -37,47 +40,19 @@ def sort_spec(o: str | Column) -> Column:
     return F.col(o).asc_nulls_first() if isinstance(o, str) else o
 
 
-# Inputs up to this many rows are numbered with one global window: the size is
-# checked first (``limit(n + 1).count()``), so that path is bounded.
-SMALL_INPUT_ROWS = 200_000
-
-
-def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *,
-                        large: bool = False, partitions: int | None = None,
+def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *, partitions: int | None = None,
                         out_type: str = "long") -> tuple[DataFrame, int]:
-    """``dense_number`` plus the number of rows.
-
-    ``large=True`` skips the size check (inputs known to grow with the data,
-    like the fact or the sales lines) and goes straight to the distributed
-    numbering.
-    """
+    """``dense_number`` plus the number of rows."""
     spark = df.sparkSession
     cols = df.columns
-    keys = [sort_spec(o) for o in order]
-    if not large:
-        n = df.limit(SMALL_INPUT_ROWS + 1).count()
-        if n <= SMALL_INPUT_ROWS:
-            # bounded by the check above; every caller orders on a key that is
-            # unique up to identical rows, so recomputation gives the same numbers
-            w = Window.orderBy(*keys)
-            return df.withColumn(out, F.row_number().over(w).cast(out_type)), n
-    n_ranges = partitions or shuffle_partitions(spark)
-    # The range bounds are sampled in a job of their own; keeping the input
-    # (memory, spilling to disk) lets the sample and the shuffle share one
-    # computation of it. A lost block is recomputed from lineage, which only
-    # reorders identical rows.
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    staged = (kept.withColumn(_TIE, F.monotonically_increasing_id())
-                  .repartitionByRange(n_ranges, *keys, F.col(_TIE))
-                  .sortWithinPartitions(*keys, F.col(_TIE))
-                  .withColumn(_MID, F.monotonically_increasing_id())
-                  .drop(_TIE))
-    path = scratch_path(spark, "numbered")
-    try:
-        staged.write.parquet(path)
-    finally:
-        kept.unpersist()
-    stored = spark.read.parquet(path).withColumn(_RANGE, F.shiftright(F.col(_MID), _POS_BITS))
+    rows, path = temporary_table(df, "to-number")
+    n_ranges = partitions or max(1, math.ceil(written_bytes(spark, path) / RANGE_BYTES))
+    tied = rows.withColumn(_TIE, F.monotonically_increasing_id())
+    keys = [sort_spec(o) for o in order] + [F.col(f"`{c}`").asc_nulls_first() for c in cols] + [F.col(_TIE)]
+    staged = (tied.repartitionByRange(n_ranges, *keys).sortWithinPartitions(*keys)
+              .withColumn(_MID, F.monotonically_increasing_id()).drop(_TIE))
+    stored, _ = temporary_table(staged, "numbered")
+    stored = stored.withColumn(_RANGE, F.shiftright(F.col(_MID), _POS_BITS))
     sizes = stored.groupBy(_RANGE).agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, run = [], 0
     for r in sorted(sizes, key=lambda r: r[_RANGE]):
@@ -87,17 +62,16 @@ def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *,
                                T.StructField(_OFF, T.LongType(), False)])
     off_df = spark.createDataFrame(offsets, off_schema)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    numbered = (stored.join(F.broadcast(off_df), _RANGE)   # at most n_ranges rows
+    # one row per RANGE_BYTES of the input
+    numbered = (stored.join(F.broadcast(off_df), _RANGE)
                 .withColumn(out, (F.col(_OFF) + pos + 1).cast(out_type)))
     return numbered.select(*cols, out), run
 
 
-def dense_number(df: DataFrame, order: list, out: str = "rn", *, large: bool = False,
-                 partitions: int | None = None, out_type: str = "long") -> DataFrame:
-    """Add ``out`` = 1..n in the given order (ties broken arbitrarily among rows
-    equal in every order column; include all columns for a unique order)."""
-    return numbered_with_total(df, order, out, large=large, partitions=partitions,
-                               out_type=out_type)[0]
+def dense_number(df: DataFrame, order: list, out: str = "rn", *, partitions: int | None = None,
+                 out_type: str = "long") -> DataFrame:
+    """Add ``out`` = 1..n in the given order, ties by the other columns."""
+    return numbered_with_total(df, order, out, partitions=partitions, out_type=out_type)[0]
 
 
 def add_surrogate_key(df: DataFrame, order: list, key: str, first: bool = True,

@@ -26,9 +26,10 @@ def shape(df: DataFrame) -> DataFrame:
         "rows", F.lit(len(df.columns)).alias("columns"))
 
 
-def dtypes(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and types (metadata, no job)."""
-    return df.dtypes
+def schema_rows(df: DataFrame) -> DataFrame:
+    """(position, column, type) of every column (metadata, no scan)."""
+    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column string, type string")
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -45,13 +46,17 @@ def value_counts(df: DataFrame) -> DataFrame:
 
 
 def distinct_counts(df: DataFrame) -> DataFrame:
-    """(column, distinct_count), nulls excluded, from the value counts."""
-    return value_counts(df).groupBy("column").agg(
-        F.count(F.lit(1)).alias("distinct_count"))
+    """(column, distinct_count), nulls excluded; a column of nulls only has 0."""
+    per = long_form(df).groupBy("column", "value").agg(F.lit(1).alias("one"))
+    found = per.groupBy(F.col("column").alias("c")).agg(F.count("value").alias("n"))
+    every = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column string")
+    return every.join(found, F.col("column") == F.col("c"), "left").select(
+        "column", F.coalesce("n", F.lit(0)).cast("long").alias("distinct_count"))
 
 
 def top_values(df: DataFrame, n: int) -> DataFrame:
-    """E5 limited to the ``n`` most frequent values per column.
+    """E5, most frequent first: (column, value, count, rank) of the ``n`` most
+    frequent values per column, equal counts by value.
 
     ``row_number() <= n`` is planned with a partial window-group limit before
     the shuffle, so each map task sends at most ``n`` rows per column: a
@@ -59,4 +64,4 @@ def top_values(df: DataFrame, n: int) -> DataFrame:
     from pyspark.sql import Window
     w = Window.partitionBy("column").orderBy(F.desc("count"), "value")
     return (value_counts(df).withColumn("__r", F.row_number().over(w))
-            .filter(F.col("__r") <= n).drop("__r"))
+            .filter(F.col("__r") <= n).withColumnRenamed("__r", "rank"))

@@ -37,39 +37,67 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("duplicate_keys")))
 
 
-def null_violations(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Q5: rows with a null in any of the required columns."""
-    cond = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return df.agg(F.sum(cond.cast("long")).alias("null_rows")).select(
-        F.coalesce("null_rows", F.lit(0)).cast("long").alias("null_rows"))
+def orphans_all(child: DataFrame, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Q6: (column_name, orphans) for every foreign key of ``child``: rows whose
+    non-null key has no parent.
+
+    One pass counts the rows per key value (combined map-side, so a hot key is
+    one row per task); only these counts meet the parents."""
+    keys = [F.col(c).cast("long").alias(c) for c in parents]
+    counts = (child.select(*keys).unpivot([], list(parents), "column_name", "value")
+              .filter(F.col("value").isNotNull())
+              .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    known = reduce(DataFrame.unionByName, [
+        p.select(F.lit(c).alias("k_column"), F.col(pk).cast("long").alias("k_value")) for c, (p, pk) in parents.items()])
+    j = counts.join(known.distinct(), (F.col("column_name") == F.col("k_column"))
+                    & (F.col("value") == F.col("k_value")), "left_anti")
+    found = j.groupBy("column_name").agg(F.sum("n").alias("n"))
+    every = child.sparkSession.createDataFrame([(c,) for c in parents], "c string")
+    return every.join(found, F.col("c") == F.col("column_name"), "left").select(
+        F.col("c").alias("column_name"), F.coalesce("n", F.lit(0)).cast("long").alias("orphans"))
 
 
 def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Q6: child rows whose non-null foreign key has no parent (left anti join)."""
-    keys = parent.select(F.col(pk).alias("__pk")).distinct()
-    miss = child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("__pk"), "left_anti")
-    return miss.agg(F.count(F.lit(1)).alias("orphans"))
+    """Q6 for one foreign key: (orphans)."""
+    return orphans_all(child, {fk: (parent, pk)}).select("orphans")
 
 
-def bag_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Q3: multiset comparison without ordering: (missing_rows, extra_rows).
+def bag_sums(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """(expected_rows, actual_rows, missing_rows, extra_rows) of two multisets.
 
-    Both sides are reduced to (row, count) with map-side combine and compared
-    with one full outer join on all columns (null-safe)."""
+    Both sides go into one grouping by the whole row (nulls are equal), as 1 and
+    0 or 0 and 1: one exchange, with map-side combine."""
     cols = expected.columns
-    a = expected.groupBy(*cols).agg(F.count(F.lit(1)).alias("__e"))
-    b = actual.select(*cols).groupBy(*cols).agg(F.count(F.lit(1)).alias("__a"))
-    cond = reduce(lambda x, y: x & y, [a[c].eqNullSafe(b[c]) for c in cols])
-    j = a.join(b, cond, "full_outer")
-    e, x = F.coalesce(F.col("__e"), F.lit(0)), F.coalesce(F.col("__a"), F.lit(0))
-    return j.agg(
-        F.coalesce(F.sum(F.greatest(e - x, F.lit(0))), F.lit(0)).cast("long").alias("missing_rows"),
-        F.coalesce(F.sum(F.greatest(x - e, F.lit(0))), F.lit(0)).cast("long").alias("extra_rows"))
+    both = expected.withColumn("__e", F.lit(1)).withColumn("__a", F.lit(0)).unionByName(
+        actual.select(*cols).withColumn("__e", F.lit(0)).withColumn("__a", F.lit(1)))
+    per = both.groupBy(*cols).agg(F.sum("__e").alias("e"), F.sum("__a").alias("a"))
+    zero = F.lit(0)
+    total = lambda c: F.coalesce(F.sum(c), zero).cast("long")
+    return per.agg(total(F.col("e")).alias("expected_rows"), total(F.col("a")).alias("actual_rows"),
+                   total(F.greatest(F.col("e") - F.col("a"), zero)).alias("missing_rows"),
+                   total(F.greatest(F.col("a") - F.col("e"), zero)).alias("extra_rows"))
+
+
+def bag_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """Q3: multiset comparison without ordering: (missing_rows, extra_rows)."""
+    return bag_sums(expected, actual).select("missing_rows", "extra_rows")
 
 
 def roundtrip(flat: DataFrame, denormalised: DataFrame) -> DataFrame:
     """Q7: flat rows vs the normalised tables joined back:
     (flat_rows, roundtrip_rows, missing_rows, extra_rows)."""
-    counts = flat.agg(F.count(F.lit(1)).alias("flat_rows")).crossJoin(
-        denormalised.agg(F.count(F.lit(1)).alias("roundtrip_rows")))
-    return counts.crossJoin(bag_difference(flat, denormalised.select(*flat.columns)))
+    return bag_sums(flat, denormalised).select(
+        F.col("expected_rows").alias("flat_rows"), F.col("actual_rows").alias("roundtrip_rows"),
+        "missing_rows", "extra_rows")
+
+
+def not_null_violations(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Q5: (table_name, column_name, null_rows) for every required column, one
+    pass per table."""
+    parts = []
+    for name, (df, cols) in tables.items():
+        one = df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in cols])
+        parts.append(one.unpivot([], cols, "column_name", "null_rows").select(
+            F.lit(name).alias("table_name"), "column_name",
+            F.coalesce("null_rows", F.lit(0)).cast("long").alias("null_rows")))
+    return reduce(DataFrame.unionByName, parts)

@@ -11,9 +11,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 from ..functions.hashing import row_hash
+from ..session import temporary_table
 from .keys import dense_number
 
 _RANK = "__split_rank"
@@ -29,29 +29,23 @@ PREFIX_HEX = 4   # hash-prefix buckets for the boundary search: 16**4 = 65,536 c
 
 
 def label_split(df: DataFrame, frac: float, seed: int = 1, label: str = "part",
-                sample_label: str = "sample", rest_label: str = "rest",
-                cached: list | None = None) -> DataFrame:
+                sample_label: str = "sample", rest_label: str = "rest") -> DataFrame:
     """All rows with a ``label`` column naming the part each row belongs to.
 
     Rank order is (hash, columns); the first ``round(frac * n)`` ranks are the
     sample. Instead of sorting everything, the rows are counted per hash
     prefix (at most 65,536 counts, combined map-side); whole buckets before the
     one holding rank k are sample, those after it rest, and only the rows of
-    that boundary bucket are numbered exactly (a bounded window when the bucket
-    is small, else the distributed numbering, so even a boundary bucket of
-    copies holding a third of the rows is spread out).
+    that boundary bucket are numbered exactly, by the distributed numbering, so
+    even a boundary bucket of copies holding a third of the rows is spread out.
 
-    The hashed input is kept (memory, spilling to disk) for the count pass and
-    the labelling pass; it is appended to ``cached`` so the caller can
-    unpersist it once the result is written.
+    The hashed rows are written once (a temporary table) for the count pass and
+    the labelling pass.
     """
-    spark = df.sparkSession
     cols = df.columns
     hashed = (df.withColumn(_HASH, row_hash(*cols, seed=seed))
                 .withColumn(_BUCKET, F.substring(_HASH, 1, PREFIX_HEX)))
-    kept = hashed.persist(StorageLevel.MEMORY_AND_DISK)
-    if cached is not None:
-        cached.append(kept)
+    kept, _ = temporary_table(hashed, "hashed")
     counts = sorted((r[_BUCKET], r["n"]) for r in
                     kept.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("n")).collect())
     n = sum(c for _, c in counts)

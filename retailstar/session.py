@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the toolkit relies on. AQE stays on so that joins
 # against dimensions whose size is only known at run time can still switch to
@@ -39,17 +39,26 @@ def get_session(app_name: str = "retailstar", master: str | None = None,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One JVM on this machine (``local``, ``local[n]``); ``local-cluster`` has
+    executors of their own."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` (the cluster's setting). Only when it is
-    unset (local runs, tests) a folder under the local temp dir is created and
-    registered, so cluster jobs never write to a machine-local folder.
+    Read from ``spark.checkpoint.dir`` (the cluster's setting). Where it is
+    unset, a session on a single machine gets a fresh temporary folder; any
+    other master raises, since executors would each write to their own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not is_local(master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master {master})")
         d = tempfile.mkdtemp(prefix="retailstar-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -62,6 +71,44 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_TEMPORARY: list[str] = []
+
+
+def temporary_table(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table that only the present step needs and read it back; it goes
+    with the next ``release_temporary``."""
+    path = scratch_path(df.sparkSession, name)
+    _TEMPORARY.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def release_temporary(spark: SparkSession) -> None:
+    """Delete the temporary tables once what was built from them is written."""
+    while _TEMPORARY:
+        p, fs = _file_system(spark, _TEMPORARY.pop())
+        fs.delete(p, True)
+
+
+def written_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a written table (metadata only, no job)."""
+    p, fs = _file_system(spark, path)
+    return int(fs.getContentSummary(p).getLength())
+
+
+def table_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """(bytes, newest modification time) of a table's files (metadata only)."""
+    p, fs = _file_system(spark, path)
+    files = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/*")) or []
+    times = [f.getModificationTime() for f in files] + [fs.getFileStatus(p).getModificationTime()]
+    return int(fs.getContentSummary(p).getLength()), max(times)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -18,6 +18,7 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="retailstar-test-ckpt-"))
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="retailstar-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -24,11 +25,18 @@ from pyspark.sql import functions as F
 
 from retailstar.operators import profile, quality
 from retailstar.operators.dedup import duplicate_count
-from retailstar.plans.normalize import denormalize
+from retailstar.plans.facts import fact_by_source_id
+from retailstar.plans.hierarchy import FOREIGN_KEYS, comma_join_sql
+from retailstar.plans.normalize import denormalize, type_conflicts
 from retailstar.plans.preprocess import clean_flat
 from retailstar.plans.reports import REPORTS
-from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, warehouse_for
-from retailstar.sources.testdata import country_reference, sales_raw
+from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, warehouse_for
+from retailstar.session import scratch_path
+from retailstar.sinks.writers import create_view, insert_into
+from retailstar.sources.catalog import register_views, run_sql
+from retailstar.sources.files import read_csv_inferred
+from retailstar.sources.testdata import (country_reference, dirty_entity, dirty_file_part,
+                                         dirty_sales_raw, sales_raw)
 from retailstar.sql_oracle import oracle_sql as _oracle_sql
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -80,21 +88,49 @@ def _key_uniqueness(spark, sf_dir) -> DataFrame:
 
 def _fk_orphans(spark, sf_dir) -> DataFrame:
     star, db = _star(spark, sf_dir), _db(spark, sf_dir)
-    f = star["fact_sales"]
-    checks = [
-        ("fact_sales", f, "country_tk", star["dim_country"], "country_tk"),
-        ("fact_sales", f, "retailer_tk", star["dim_retailer"], "retailer_tk"),
-        ("fact_sales", f, "product_tk", star["dim_product"], "product_tk"),
-        ("fact_sales", f, "order_method_tk", star["dim_order_method"], "order_method_tk"),
-        ("fact_sales", f, "date_tk", star["dim_date"], "date_tk"),
-        ("sales", db["sales"], "country_fk", db["country"], "id"),
-        ("sales", db["sales"], "product_fk", db["product"], "id"),
-        ("product", db["product"], "product_type_fk", db["product_type"], "id"),
-        ("product_type", db["product_type"], "product_line_fk", db["product_line"], "id"),
-    ]
-    return _union([quality.orphans(c, fk, p, pk).select(
-        F.lit(t).alias("table_name"), F.lit(fk).alias("column_name"), "orphans")
-        for t, c, fk, p, pk in checks])
+    fact_keys = {f"{d}_tk": (star[f"dim_{d}"], f"{d}_tk")
+                 for d in ("country", "retailer", "product", "order_method", "date")}
+    checks = {"fact_sales": (star["fact_sales"], fact_keys)}
+    for child, keys in FOREIGN_KEYS.items():
+        checks[child] = (db[child], {k: (db[parent], "id") for k, parent in keys.items()})
+    return _union([quality.orphans_all(df, keys).select(F.lit(t).alias("table_name"), "column_name", "orphans")
+                   for t, (df, keys) in checks.items()])
+
+
+def _not_null(spark, sf_dir) -> DataFrame:
+    db = _db(spark, sf_dir)
+    return quality.not_null_violations({t: (db[t], cols) for t, cols in REQUIRED_COLUMNS.items()})
+
+
+def _sql_import_check(spark, sf_dir) -> DataFrame:
+    """The import check as SQL text over registered views."""
+    register_views(_db(spark, sf_dir), "db_")
+    text = comma_join_sql("sales", "db_", ["id", "year", "quarter", "revenue", "quantity", "gross_margin"])
+    return run_sql(spark, text).withColumnsRenamed(
+        {"id": "sales_id", "country": "retailer_country", "order_method": "order_method_type"})
+
+
+def _sql_view_country_year(spark, sf_dir) -> DataFrame:
+    """Revenue by country and year as SQL text over the analytic view."""
+    create_view(REPORTS["sales_analytics"](_star(spark, sf_dir)), "sales_analytics")
+    return run_sql(spark, "SELECT country, year, CAST(sum(CAST(revenue AS DECIMAL(18,4))) AS DOUBLE) AS total_revenue "
+                          "FROM sales_analytics GROUP BY country, year ORDER BY country, year")
+
+
+def _fact_inner(spark, sf_dir) -> DataFrame:
+    """The database's sales looked up by source id in the current dimension rows
+    (inner, J7), inserted into a catalog table under the shared folder (K5)."""
+    star, table = _star(spark, sf_dir), f"fact_inner_{uuid.uuid4().hex[:12]}"
+    rows = fact_by_source_id(_db(spark, sf_dir)["sales"], star)
+    columns = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{scratch_path(spark, table)}'")
+    insert_into(rows, table)
+    return spark.table(table)
+
+
+def _dirty(spark, sf_dir):
+    return warehouse_for(spark, sf_dir, "dirty", raw=dirty_sales_raw(spark, sf_dir),
+                         change_file=dirty_file_part, change_db=dirty_entity)
 
 
 def _fact_unmatched(spark, sf_dir) -> DataFrame:
@@ -138,7 +174,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "profile_nulls": lambda s, d: profile.null_counts(_flat(s, d)),
         "profile_distinct": lambda s, d: profile.distinct_counts(_flat(s, d)),
         "profile_value_counts": lambda s, d: profile.value_counts(_flat(s, d)),
+        "profile_top_values": lambda s, d: profile.top_values(_flat(s, d), 3),
         "country_reference": country_reference,
+        # the file part, written and read as delimited text
+        "csv_file_part": lambda s, d: warehouse_for(s, d).file_part(),
+        "csv_inferred": lambda s, d: read_csv_inferred(s, f"{warehouse_for(s, d).root}/file_csv"),
         # Lab 2: normalised tables and the import checks
         "import_check": lambda s, d: denormalize(_db(s, d)),
         "sales_page": lambda s, d: denormalize(_db(s, d)).orderBy("sales_id").limit(100),
@@ -147,6 +187,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "key_uniqueness": _key_uniqueness,
         "fk_orphans": _fk_orphans,
         "fact_unmatched": _fact_unmatched,
+        "not_null_violations": _not_null,
+        "type_conflicts": lambda s, d: type_conflicts(_flat(s, d)),
+        # SQL text over registered views, insert-select
+        "sql_import_check": _sql_import_check,
+        "sql_view_country_year": _sql_view_country_year,
+        "fact_inner": _fact_inner,
+        # the same build over a flat file with faults put in by rule
+        "dirty_clean": lambda s, d: clean_flat(dirty_sales_raw(s, d)),
+        "dirty_dim_country": lambda s, d: _dirty(s, d).star()["dim_country"],
+        "dirty_dim_product": lambda s, d: _dirty(s, d).star()["dim_product"],
+        "dirty_dim_retailer": lambda s, d: _dirty(s, d).star()["dim_retailer"],
+        "dirty_fact": lambda s, d: _dirty(s, d).star()["fact_sales"],
     }
     for t in DB_TABLES:
         q[f"db_{t}"] = (lambda name: lambda s, d: _db(s, d)[name])(t)

@@ -13,69 +13,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import parse_quarter
+from ..functions.parse import char_at_as_int, parse_quarter
 from ..functions.text import clean_name
 from ..operators.joins import lookup_join
 from ..operators.keys import dense_number
 from .dimensions import MISC_LINE, UNKNOWN_TYPE, current_rows
+from .hierarchy import unfold
 
 FACT_COLUMNS = ["fact_sales_tk", "country_tk", "retailer_tk", "product_tk", "order_method_tk",
                 "date_tk", "revenue", "quantity", "gross_margin"]
 
 
 def database_sales(tables: dict[str, DataFrame]) -> DataFrame:
-    """Sales rows of the database with names instead of foreign keys.
-
-    The product hierarchy is flattened first (product -> type -> line), so the
-    sales table meets one product lookup instead of three chained joins.
-    """
-    p, pt, pl = (tables["product"].alias("p"), tables["product_type"].alias("pt"),
-                 tables["product_line"].alias("pl"))
-    products = (p.join(pt, F.col("p.product_type_fk") == F.col("pt.id"), "left")
-                 .join(pl, F.col("pt.product_line_fk") == F.col("pl.id"), "left")
-                 .select(F.col("p.id").alias("__pid"),
-                         F.col("p.name").alias("__pname"), F.col("pt.name").alias("__tname"),
-                         F.col("pl.name").alias("__lname")))
-    small = lambda name, cols: tables[name].select(*cols)
-    s = tables["sales"]
-    s = lookup_join(s, products, F.col("product_fk") == F.col("__pid"), "left")
-    s = lookup_join(s, small("order_method", [F.col("id").alias("__oid"),
-                                              F.col("name").alias("__oname")]),
-                    F.col("order_method_fk") == F.col("__oid"), "left")
-    s = lookup_join(s, small("retailer_type", [F.col("id").alias("__rid"),
-                                               F.col("name").alias("__rname")]),
-                    F.col("retailer_type_fk") == F.col("__rid"), "left")
-    s = lookup_join(s, small("country", [F.col("id").alias("__cid"),
-                                         F.col("name").alias("__cname")]),
-                    F.col("country_fk") == F.col("__cid"), "left")
-    return s.select(
-        clean_name("__pname").alias("product_name"),
-        F.coalesce(clean_name("__tname"), F.lit(UNKNOWN_TYPE)).alias("product_type_name"),
-        F.coalesce(clean_name("__lname"), F.lit(MISC_LINE)).alias("product_line_name"),
-        clean_name("__cname").alias("country_name"),
-        clean_name("__rname").alias("retailer_name"),
-        clean_name("__oname").alias("order_method"),
+    """Sales rows of the database with names instead of foreign keys."""
+    return _sales(unfold(tables, "sales"), product="product", product_type="product_type",
+                  product_line="product_line", country="country", retailer="retailer_type",
+                  method="order_method")
+
+
+def _sales(rows: DataFrame, *, product: str, product_type: str, product_line: str, country: str,
+           retailer: str, method: str) -> DataFrame:
+    """Both branches in one layout; the arguments name the source's columns."""
+    return rows.select(
+        clean_name(product).alias("product_name"),
+        F.coalesce(clean_name(product_type), F.lit(UNKNOWN_TYPE)).alias("product_type_name"),
+        F.coalesce(clean_name(product_line), F.lit(MISC_LINE)).alias("product_line_name"),
+        clean_name(country).alias("country_name"),
+        clean_name(retailer).alias("retailer_name"),
+        clean_name(method).alias("order_method"),
         F.col("year").cast("int").alias("year"),
         parse_quarter("quarter").alias("quarter"),
-        F.col("quantity").cast("long").alias("quantity"),
-        F.col("revenue").alias("revenue"),
-        F.col("gross_margin").alias("gross_margin"))
+        F.col("quantity").cast("long").alias("quantity"), "revenue", "gross_margin")
 
 
 def file_sales(file_part: DataFrame) -> DataFrame:
     """Sales rows of the file part in the same layout."""
-    return file_part.select(
-        clean_name("product").alias("product_name"),
-        F.coalesce(clean_name("product_type"), F.lit(UNKNOWN_TYPE)).alias("product_type_name"),
-        F.coalesce(clean_name("product_line"), F.lit(MISC_LINE)).alias("product_line_name"),
-        clean_name("retailer_country").alias("country_name"),
-        clean_name("retailer_type").alias("retailer_name"),
-        clean_name("order_method_type").alias("order_method"),
-        F.col("year").cast("int").alias("year"),
-        parse_quarter("quarter").alias("quarter"),
-        F.col("quantity").cast("long").alias("quantity"),
-        F.col("revenue").alias("revenue"),
-        F.col("gross_margin").alias("gross_margin"))
+    return _sales(file_part, product="product", product_type="product_type", product_line="product_line",
+                  country="retailer_country", retailer="retailer_type", method="order_method_type")
 
 
 def fact_rows(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
@@ -120,5 +94,29 @@ def fact_sales(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
     keys, then the measures) with the distributed numbering (W2)."""
     rows = fact_rows(tables, dims, file_part, unmatched)
     keyed = dense_number(rows, [F.col(c).asc_nulls_first() for c in FACT_KEY_ORDER],
-                         "fact_sales_tk", large=True)
+                         "fact_sales_tk")
     return keyed.select(*FACT_COLUMNS)
+
+
+#: sales foreign key -> (dimension, its column of source ids, its surrogate key)
+SOURCE_IDS = {
+    "country_fk": ("dim_country", "country_id", "country_tk"),
+    "retailer_type_fk": ("dim_retailer", "retailer_id", "retailer_tk"),
+    "product_fk": ("dim_product", "product_id", "product_tk"),
+    "order_method_fk": ("dim_order_method", "order_method_id", "order_method_tk"),
+}
+
+
+def fact_by_source_id(sales: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Database sales looked up by the ids their dimensions were built from;
+    the quarter is the second character of its text (X5). Rows without a match in
+    the current version of every dimension are dropped."""
+    rows = sales.withColumn("date_quarter", char_at_as_int("quarter", 2))
+    for key, (dim, source, tk) in SOURCE_IDS.items():
+        ids = current_rows(dims[dim]).select(F.col(source).alias(f"{tk}__source"), tk)
+        rows = lookup_join(rows, ids, F.col(key) == F.col(f"{tk}__source"), "inner")
+    dates = dims["dim_date"].select("date_tk", F.col("year").alias("d_year"), F.col("quarter").alias("d_quarter"))
+    rows = lookup_join(rows, dates, (F.col("year") == F.col("d_year")) & (F.col("date_quarter") == F.col("d_quarter")),
+                       "inner")
+    return rows.select(F.col("id").alias("sales_id"), *FACT_COLUMNS[1:6], "revenue",
+                       F.col("quantity").cast("long").alias("quantity"), "gross_margin")

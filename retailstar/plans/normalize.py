@@ -15,6 +15,9 @@ from ..functions.text import clean_name
 from ..operators.dedup import distinct_rows, survivor
 from ..operators.joins import lookup_join
 from ..operators.keys import add_surrogate_key, dense_number, map_ids
+from ..session import temporary_table
+from .dimensions import unique_names
+from .hierarchy import unfold
 
 SPECIALITY_STORES = 3   # retailer types flagged as speciality stores
 SPECIALITY_SEED = 7
@@ -24,7 +27,7 @@ def country_table(flat: DataFrame, reference: DataFrame) -> DataFrame:
     """country(id, name, population, region); names missing from the reference
     get population 0 and region 'Unknown'."""
     names = distinct_rows(flat.select(F.col("retailer_country").alias("name")))
-    ref = reference.select(F.col("name").alias("__ref_name"), "population", "region")
+    ref = unique_names(reference).select(F.col("name").alias("__ref_name"), "population", "region")
     enriched = lookup_join(names, ref, clean_name("name") == F.col("__ref_name"), "left")
     enriched = enriched.select(
         "name",
@@ -69,17 +72,32 @@ def product_table(flat: DataFrame, product_type: DataFrame) -> DataFrame:
         "id", "name", "product_type_fk")
 
 
-def normalize_entities(flat: DataFrame, reference: DataFrame) -> dict[str, DataFrame]:
-    line = name_table(flat, "product_line")
-    ptype = product_type_table(flat, line)
-    return {
-        "country": country_table(flat, reference),
-        "order_method": name_table(flat, "order_method_type"),
-        "retailer_type": retailer_type_table(flat),
-        "product_line": line,
-        "product_type": ptype,
-        "product": product_table(flat, ptype),
-    }
+NAME_COLUMNS = ["retailer_country", "order_method_type", "retailer_type", "product_line",
+                "product_type", "product"]
+
+
+def type_conflicts(flat: DataFrame) -> DataFrame:
+    """(product_type, lines): types found under more than one product line. The
+    type table keeps the alphabetically first line; these are the rows to look at."""
+    return (flat.groupBy("product_type").agg(F.count_distinct("product_line").cast("long").alias("lines"))
+            .filter(F.col("lines") > 1))
+
+
+def normalize_entities(flat: DataFrame, reference: DataFrame, write=None) -> dict[str, DataFrame]:
+    """The six entity tables, all taken from one distinct over the name columns.
+
+    ``write(df, name)`` stores a table and returns it read back, so the next one
+    joins a written table; without it they are handed on as they are.
+    """
+    write = write or (lambda df, name: df)
+    names, _ = temporary_table(distinct_rows(flat.select(*NAME_COLUMNS)), "names")
+    out = {"country": write(country_table(names, reference), "country"),
+           "order_method": write(name_table(names, "order_method_type"), "order_method"),
+           "retailer_type": write(retailer_type_table(names), "retailer_type"),
+           "product_line": write(name_table(names, "product_line"), "product_line")}
+    out["product_type"] = write(product_type_table(names, out["product_line"]), "product_type")
+    out["product"] = write(product_table(names, out["product_type"]), "product")
+    return out
 
 
 def normalize_sales(flat: DataFrame, entities: dict[str, DataFrame]) -> DataFrame:
@@ -87,20 +105,16 @@ def normalize_sales(flat: DataFrame, entities: dict[str, DataFrame]) -> DataFram
     order_method_fk, product_fk, retailer_type_fk); ids follow the order of
     all flat columns."""
     # product map keyed by (product name, product type name)
-    prod = (entities["product"].alias("p")
-            .join(entities["product_type"].alias("t"),
-                  F.col("p.product_type_fk") == F.col("t.id"), "left")
-            .select(F.col("p.id").alias("id"), F.col("p.name").alias("name"),
-                    F.col("t.name").alias("type_name")))
+    prod = unfold(entities, "product").select("id", "product", "product_type")
     s = map_ids(flat, entities["country"], ["retailer_country"], ["name"], "id", "country_fk")
     s = map_ids(s, entities["order_method"], ["order_method_type"], ["name"], "id",
                 "order_method_fk")
     s = map_ids(s, entities["retailer_type"], ["retailer_type"], ["name"], "id",
                 "retailer_type_fk")
-    s = map_ids(s, prod, ["product", "product_type"], ["name", "type_name"], "id",
+    s = map_ids(s, prod, ["product", "product_type"], ["product", "product_type"], "id",
                 "product_fk")
     flat_cols = flat.columns
-    numbered = dense_number(s, [F.col(c).asc_nulls_first() for c in flat_cols], "id", large=True)
+    numbered = dense_number(s, [F.col(c).asc_nulls_first() for c in flat_cols], "id")
     return numbered.select("id", "year", "quarter", "revenue", "quantity", "gross_margin",
                            "country_fk", "order_method_fk", "product_fk", "retailer_type_fk")
 
@@ -108,22 +122,7 @@ def normalize_sales(flat: DataFrame, entities: dict[str, DataFrame]) -> DataFram
 def denormalize(tables: dict[str, DataFrame]) -> DataFrame:
     """The seven tables joined back to the flat layout (inner joins), with
     the sales id kept for ordering."""
-    s, cy, od = tables["sales"].alias("ss"), tables["country"].alias("cy"), tables["order_method"].alias("od")
-    re_, pt = tables["retailer_type"].alias("re"), tables["product"].alias("pt")
-    pe, pl = tables["product_type"].alias("pe"), tables["product_line"].alias("pl")
-    prod = (pt.join(pe, F.col("pt.product_type_fk") == F.col("pe.id"))
-              .join(pl, F.col("pe.product_line_fk") == F.col("pl.id"))
-              .select(F.col("pt.id").alias("__pid"), F.col("pl.name").alias("product_line"),
-                      F.col("pe.name").alias("product_type"), F.col("pt.name").alias("product")))
-    return (s.join(cy, F.col("ss.country_fk") == F.col("cy.id"))
-             .join(od, F.col("ss.order_method_fk") == F.col("od.id"))
-             .join(re_, F.col("ss.retailer_type_fk") == F.col("re.id"))
-             .join(prod, F.col("ss.product_fk") == F.col("__pid"))
-             .select(F.col("ss.id").alias("sales_id"),
-                     F.col("cy.name").alias("retailer_country"),
-                     F.col("od.name").alias("order_method_type"),
-                     F.col("re.name").alias("retailer_type"),
-                     "product_line", "product_type", "product",
-                     F.col("ss.year").alias("year"), F.col("ss.quarter").alias("quarter"),
-                     F.col("ss.revenue").alias("revenue"), F.col("ss.quantity").alias("quantity"),
-                     F.col("ss.gross_margin").alias("gross_margin")))
+    rows = unfold(tables, "sales", "inner")
+    return rows.select(F.col("id").alias("sales_id"), F.col("country").alias("retailer_country"),
+                       F.col("order_method").alias("order_method_type"), "retailer_type", "product_line",
+                       "product_type", "product", "year", "quarter", "revenue", "quantity", "gross_margin")

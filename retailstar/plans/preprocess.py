@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -33,13 +33,6 @@ class Preprocessed:
     clean: DataFrame        # every cleaned row
     labelled: DataFrame     # clean rows + part ('file' = the 20 %, 'database' = the rest)
     duplicates: DataFrame   # one row: duplicate_rows
-    cached: list = field(default_factory=list)
-
-    def release(self) -> None:
-        """Unpersist what the split kept, once ``labelled`` is written."""
-        for df in self.cached:
-            df.unpersist()
-        self.cached.clear()
 
     @property
     def file_part(self) -> DataFrame:
@@ -53,7 +46,6 @@ class Preprocessed:
 def preprocess(raw: DataFrame, frac: float = 0.2, seed: int = 1,
                aliases: dict | None = None) -> Preprocessed:
     clean = clean_flat(raw, aliases)
-    cached: list = []
     labelled = label_split(clean, frac, seed, label="part", sample_label="file",
-                           rest_label="database", cached=cached)
-    return Preprocessed(clean, labelled, duplicate_count(clean), cached)
+                           rest_label="database")
+    return Preprocessed(clean, labelled, duplicate_count(clean))

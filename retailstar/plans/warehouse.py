@@ -4,32 +4,51 @@ Stages, each reading what the previous one wrote (so a lost executor only
 costs the running stage, and no plan is recomputed by later stages):
 
 1. ``processed``  - the cleaned flat file with its 80:20 label, partitioned by
-   the label (the file part is then a pruned read);
-2. ``reference``  - the country reference table;
-3. ``db/*``       - the seven normalised tables built from the database part;
-4. ``star/dim_*`` - the five dimensions (database tables + file part);
-5. ``star/fact_sales``.
+   the label;
+2. ``file_csv``   - the file part as delimited text, which the later stages read;
+3. ``reference``  - the country reference table;
+4. ``db/*``       - the seven normalised tables built from the database part,
+   each written before the next one joins it;
+5. ``star/dim_*`` - the five dimensions (database tables + file part);
+6. ``star/fact_sales``, partitioned by ``date_tk``.
+
+What a stage needed only for itself (rows to number, numbered rows) is deleted
+when the stage is written. A dimension with a repeated business key fails the
+build: its sales would multiply.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from ..sinks.writers import write_parquet
-from ..sources.testdata import country_reference, sales_raw
+from ..session import release_temporary, scratch_path, table_state
+from ..sinks.writers import write_csv, write_parquet
+from ..sources.files import read_delimited
+from ..sources.testdata import TABLES, country_reference, sales_raw
 from .dimensions import dim_country, dim_date, dim_order_method, dim_product, dim_retailer
-from .facts import fact_sales
+from .facts import FACT_COLUMNS, fact_sales
 from .normalize import normalize_entities, normalize_sales
 from .preprocess import preprocess
-from ..operators.quality import _OPS, ExpectationError
+from ..operators.quality import _OPS, ExpectationError, duplicate_keys
 
 DB_TABLES = ["country", "order_method", "retailer_type", "product_line", "product_type",
              "product", "sales"]
 DIM_TABLES = ["dim_product", "dim_country", "dim_retailer", "dim_order_method", "dim_date"]
+#: columns of the normalised tables that must not be null
+REQUIRED_COLUMNS = {
+    "country": ["name", "population", "region"], "order_method": ["name"],
+    "retailer_type": ["name", "speciality_store"], "product_line": ["name"], "product_type": ["name"],
+    "sales": ["year", "quarter", "revenue", "quantity", "gross_margin"],
+}
+BUSINESS_KEYS = {
+    "dim_product": ["product_name", "product_type_name", "product_line_name"],
+    "dim_country": ["name"], "dim_retailer": ["name"], "dim_order_method": ["name"],
+    "dim_date": ["year", "quarter"],
+}
 
 
 @dataclass
@@ -49,7 +68,9 @@ class Warehouse:
         return self.read("processed")
 
     def file_part(self) -> DataFrame:
-        return self.processed().filter(F.col("part") == "file").drop("part")
+        """The file part, read from its delimited file with the flat schema."""
+        schema = self.processed().drop("part").schema
+        return read_delimited(self.spark, f"{self.root}/file_csv", schema)
 
     def database_part(self) -> DataFrame:
         return self.processed().filter(F.col("part") == "database").drop("part")
@@ -62,63 +83,85 @@ class Warehouse:
 
     def star(self) -> dict[str, DataFrame]:
         out = {t: self.read(f"star/{t}") for t in DIM_TABLES}
-        out["fact_sales"] = self.read("star/fact_sales")
+        out["fact_sales"] = self.read("star/fact_sales").select(*FACT_COLUMNS)
         return out
 
 
 def build_dimensions(db: dict[str, DataFrame], file_part: DataFrame | None,
-                     reference: DataFrame | None) -> dict[str, DataFrame]:
-    """N8 (dimension part): lazy definitions of the five dimensions."""
+                     reference: DataFrame | None, **version) -> dict[str, DataFrame]:
+    """N8 (dimension part): definitions of the five dimensions."""
     return {
         "dim_product": dim_product(db["product"], db["product_type"], db["product_line"],
-                                   file_part),
-        "dim_country": dim_country(db["country"], file_part, reference),
-        "dim_retailer": dim_retailer(db["retailer_type"], file_part),
-        "dim_order_method": dim_order_method(db["order_method"], file_part),
+                                   file_part, **version),
+        "dim_country": dim_country(db["country"], file_part, reference, **version),
+        "dim_retailer": dim_retailer(db["retailer_type"], file_part, **version),
+        "dim_order_method": dim_order_method(db["order_method"], file_part, **version),
         "dim_date": dim_date(db["sales"], file_part),
     }
 
 
+def check_business_keys(dims: dict[str, DataFrame]) -> None:
+    """Raise if a dimension holds a business key twice (one job for all)."""
+    parts = [duplicate_keys(dims[d], key).select(F.lit(d).alias("d"), "duplicate_keys")
+             for d, key in BUSINESS_KEYS.items() if d in dims]
+    bad = [r["d"] for r in reduce(DataFrame.unionByName, parts).collect() if r["duplicate_keys"]]
+    if bad:
+        raise ExpectationError(f"repeated business key in {', '.join(bad)}")
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
                     frac: float = 0.2, seed: int = 1, unmatched: str = "keep",
-                    expect: dict[str, tuple[str, int]] | None = None) -> Warehouse:
+                    expect: dict[str, tuple[str, int]] | None = None,
+                    load_ts=None, open_end=None, raw: DataFrame | None = None,
+                    change_file=None, change_db=None) -> Warehouse:
     """Extract, preprocess, normalise, build and load the star schema.
 
     ``expect`` maps a table ('star/fact_sales', 'star/dim_country', ...) to
     (op, count), e.g. ``{'star/dim_country': ('==', 21)}``; the counts come
-    from the writes themselves (Q1 without extra jobs)."""
+    from the writes themselves (Q1 without extra jobs). ``load_ts``/``open_end``
+    go to every dimension. ``raw`` replaces the flat file of ``sf_dir``;
+    ``change_file(df)`` and ``change_db(name, df)`` change the file part and the
+    entity tables before they are written (late corrections, test data)."""
     import time
     wh = Warehouse(spark, root or scratch_path(spark, "warehouse"))
 
     def stage(name, fn):
         t0 = time.perf_counter()
         fn()
+        release_temporary(spark)
         wh.timings[name] = round(time.perf_counter() - t0, 3)
 
     def processed():
-        pre = preprocess(sales_raw(spark, sf_dir), frac=frac, seed=seed)
+        pre = preprocess(sales_raw(spark, sf_dir) if raw is None else raw, frac=frac, seed=seed)
         wh.write(pre.labelled, "processed", partition_by=["part"])
-        pre.release()
+        part = wh.processed().filter(F.col("part") == "file").drop("part")
+        write_csv(part if change_file is None else change_file(part), f"{wh.root}/file_csv")
     stage("processed", processed)
     stage("reference", lambda: wh.write(country_reference(spark, sf_dir), "reference"))
 
     def normalise():
         flat = wh.database_part()
-        entities = normalize_entities(flat, wh.reference())
-        for name, df in entities.items():
-            wh.write(df, f"db/{name}")
-        written = {n: wh.read(f"db/{n}") for n in entities}
-        wh.write(normalize_sales(flat, written), "db/sales")
+
+        def write(df: DataFrame, name: str) -> DataFrame:
+            wh.write(df if change_db is None else change_db(name, df), f"db/{name}")
+            return wh.read(f"db/{name}")
+
+        entities = normalize_entities(flat, wh.reference(), write)
+        wh.write(normalize_sales(flat, entities), "db/sales")
     stage("database", normalise)
 
     def dims():
-        for name, df in build_dimensions(wh.database(), wh.file_part(), wh.reference()).items():
+        for name, df in build_dimensions(wh.database(), wh.file_part(), wh.reference(),
+                                         load_ts=load_ts, open_end=open_end).items():
             wh.write(df, f"star/{name}")
+        check_business_keys({t: wh.read(f"star/{t}") for t in DIM_TABLES})
     stage("dimensions", dims)
 
     def fact():
         star = {t: wh.read(f"star/{t}") for t in DIM_TABLES}
-        wh.write(fact_sales(wh.database(), star, wh.file_part(), unmatched), "star/fact_sales")
+        rows = fact_sales(wh.database(), star, wh.file_part(), unmatched)
+        # few files per date: rows of a date go together, a large date is split
+        wh.write(rows.hint("rebalance", "date_tk"), "star/fact_sales", partition_by=["date_tk"])
     stage("fact", fact)
     for rel, (op, n) in (expect or {}).items():
         got = wh.rows.get(rel)
@@ -127,13 +170,15 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
     return wh
 
 
-_BUILT: dict[tuple[str, str], Warehouse] = {}
+_BUILT: dict[tuple, Warehouse] = {}
 
 
-def warehouse_for(spark: SparkSession, sf_dir: str) -> Warehouse:
-    """The warehouse of ``sf_dir`` built once per application (the ETL runs,
-    then reports read the loaded tables)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+def warehouse_for(spark: SparkSession, sf_dir: str, kind: str = "", **kw) -> Warehouse:
+    """The warehouse of ``sf_dir`` built once per application and state of its
+    tables (the ETL runs, then reports read the loaded tables); rewritten tables
+    have other sizes or times and are built anew. ``kind`` names a variant."""
+    state = tuple(table_state(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES)
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), kind, state)
     if key not in _BUILT:
-        _BUILT[key] = build_warehouse(spark, sf_dir)
+        _BUILT[key] = build_warehouse(spark, sf_dir, **kw)
     return _BUILT[key]

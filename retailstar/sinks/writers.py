@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
-    """K1: CSV with header (a folder of part files)."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """K1: CSV with header (a folder of part files); quotes inside a cell are
+    doubled, as pandas and ``read_delimited`` expect. A null is an empty cell."""
+    (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
+     .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -47,6 +50,11 @@ def insert_into(df: DataFrame, table: str, overwrite: bool = False) -> None:
     df.write.insertInto(table, overwrite=overwrite)
 
 
+def truncate_table(spark, name: str) -> None:
+    """K6: empty a catalog table and keep its definition."""
+    spark.sql(f"TRUNCATE TABLE {name}")
+
+
 def drop_tables(spark, names: list[str]) -> None:
     """K6: drop target tables if they exist, children (the fact) first."""
     for n in names:

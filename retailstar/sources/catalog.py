@@ -20,11 +20,11 @@ def merge_sources(*registries: dict[str, DataFrame | None]) -> dict[str, DataFra
     return out
 
 
-def register_views(tables: dict[str, DataFrame]) -> list[str]:
-    """Expose every table to ``spark.sql`` as a temp view (K9)."""
+def register_views(tables: dict[str, DataFrame], prefix: str = "") -> list[str]:
+    """Expose every table to ``spark.sql`` as a temp view ``prefix`` + name (K9)."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return sorted(tables)
+        df.createOrReplaceTempView(prefix + name)
+    return sorted(prefix + name for name in tables)
 
 
 def run_sql(spark: SparkSession, text: str) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import normalise_header
+
 # The text cells pandas' read_csv treats as missing by default.
 PANDAS_NA_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -13,16 +15,24 @@ PANDAS_NA_TOKENS = [
 ]
 
 
+def _csv(spark: SparkSession, header: bool, sep: str, multi_line: bool):
+    """Quoted cells as pandas writes them: quotes doubled; line breaks inside a
+    cell need ``multi_line`` (a file is then read by one task)."""
+    return (spark.read.option("header", header).option("sep", sep).option("quote", '"')
+            .option("escape", '"').option("multiLine", multi_line))
+
+
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    sep: str = ",", header: bool = True,
-                   na_tokens: list[str] | None = PANDAS_NA_TOKENS) -> DataFrame:
+                   na_tokens: list[str] | None = PANDAS_NA_TOKENS, multi_line: bool = False) -> DataFrame:
     """Read every cell as text, turn missing-value tokens into null, then
     convert to ``schema`` with ``try_cast`` (bad cells become null, no failure).
 
-    Without a schema the columns stay strings; see ``read_csv_inferred``.
+    With a header the schema's names must be the file's, compared after the
+    header rule (lower case, underscores), in the same order. Without a schema
+    the columns stay strings; see ``read_csv_inferred``.
     """
-    raw = (spark.read.option("header", header).option("sep", sep)
-           .option("inferSchema", False).csv(path))
+    raw = _csv(spark, header, sep, multi_line).option("inferSchema", False).csv(path)
     tokens = na_tokens or []
     cols = []
     for name in raw.columns:
@@ -35,13 +45,17 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
         return df
     if len(schema.fields) != len(df.columns):
         raise ValueError(f"schema has {len(schema.fields)} fields, file has {len(df.columns)}")
+    if header:
+        have, want = [normalise_header(c) for c in df.columns], [normalise_header(c) for c in schema.names]
+        if have != want:
+            raise ValueError(f"header {have} is not {want}")
     return df.select(*[F.col(f"`{src}`").try_cast(f.dataType).alias(f.name)
                        for src, f in zip(df.columns, schema.fields)])
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header + ``inferSchema`` (an extra pass over the file)."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return _csv(spark, True, ",", multi_line).option("inferSchema", True).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

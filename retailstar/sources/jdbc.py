@@ -43,11 +43,6 @@ def read_query(spark: SparkSession, options: dict, query: str) -> DataFrame:
     return spark.read.format("jdbc").options(**options).option("query", query).load()
 
 
-# Names of the normalised source tables (the "database" of the ETL).
-SOURCE_TABLES = ["product", "product_type", "product_line", "sales", "order_method",
-                 "retailer_type", "country"]
-
-
-def read_all(spark: SparkSession, options: dict, names=None, **kw) -> dict[str, DataFrame]:
-    """Name -> lazy DataFrame for every source table."""
-    return {n: read_table(spark, options, n, **kw) for n in (names or SOURCE_TABLES)}
+def read_all(spark: SparkSession, options: dict, names: list[str], **kw) -> dict[str, DataFrame]:
+    """Name -> lazy DataFrame for every named table (``warehouse.DB_TABLES``)."""
+    return {n: read_table(spark, options, n, **kw) for n in names}

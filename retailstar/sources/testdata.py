@@ -92,3 +92,37 @@ def country_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(clean_name("n_name").alias("name"),
                     F.coalesce(F.col("population"), F.lit(0)).cast("long").alias("population"),
                     clean_name("r_name").alias("region")))
+
+
+def dirty_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flat file with faults put in by rule, so that cleaning has work to do:
+    two countries by their short names, no margin where the quantity is 13."""
+    short = F.when(F.col("Retailer country") == "NATION_1", "USA").when(F.col("Retailer country") == "NATION_2", "UK")
+    return (sales_raw(spark, sf_dir)
+            .withColumn("Retailer country", F.coalesce(short, F.col("Retailer country")))
+            .withColumn("Gross margin", F.when(F.col("Quantity") != 13, F.col("Gross margin"))))
+
+
+def dirty_file_part(df: DataFrame) -> DataFrame:
+    """Faults of the file part only: a country and a retailer type that no other
+    source has, padded; no product type and line where the quantity is 7."""
+    typed = F.col("quantity") != 7
+    return df.select(
+        F.when(F.col("retailer_country") == "NATION_3", "  atlantis ").otherwise(F.col("retailer_country")).alias("retailer_country"),
+        "order_method_type",
+        F.when(F.col("retailer_type") == "MACHINERY", "kiosk").otherwise(F.col("retailer_type")).alias("retailer_type"),
+        F.when(typed, F.col("product_line")).alias("product_line"),
+        F.when(typed, F.col("product_type")).alias("product_type"),
+        *df.columns[5:])
+
+
+def dirty_entity(name: str, df: DataFrame) -> DataFrame:
+    """Faults of the entity tables: a country without population and region, and
+    every tenth product without type."""
+    if name == "country":
+        known = F.col("name") != "NATION_4"
+        return df.select("id", "name", F.when(known, F.col("population")).alias("population"),
+                         F.when(known, F.col("region")).alias("region"))
+    if name == "product":
+        return df.withColumn("product_type_fk", F.when(F.col("id") % 10 != 0, F.col("product_type_fk")))
+    return df

@@ -116,3 +116,62 @@ def test_fact_unknown_retailer_keep_or_drop(spark):
     drop = fact_sales(t, _dims(spark, t), unmatched="drop")
     assert keep.count() == 3 and keep.filter(F.col("retailer_tk").isNull()).count() == 1
     assert drop.count() == 2
+
+
+def test_reference_duplicates_and_untidy_names(spark):
+    db = spark.createDataFrame([], "id long, name string, population long, region string")
+    csv = spark.createDataFrame([("canada",), ("Peru ",)], "retailer_country string")
+    ref = spark.createDataFrame([("CANADA ", 38, "Americas"), ("Canada", 40, "Americas"), ("canada", None, "X"),
+                                 (" peru", 33, "Americas"), (None, 1, "Nowhere")],
+                                "name string, population long, region string")
+    d = dim_country(db, csv, ref)
+    assert sorted((r.name, r.population, r.region) for r in d.collect()) == [
+        ("Canada", 38, "Americas"), ("Peru", 33, "Americas")]
+
+
+def test_version_dates_follow_the_session_not_the_driver(spark):
+    import os
+    import time
+    om = spark.createDataFrame([(3, "web")], "id long, name string")
+    before = os.environ.get("TZ")
+    try:
+        os.environ["TZ"] = "America/New_York"
+        time.tzset()
+        d = dim_order_method(om, open_end="9999-12-31 00:00:00")
+        assert d.select(F.col("date_from").cast("string")).first()[0] == "1900-01-01 00:00:00"
+        assert current_rows(d).count() == 1
+    finally:
+        os.environ.pop("TZ") if before is None else os.environ.update(TZ=before)
+        time.tzset()
+
+
+def test_load_timestamp_reaches_every_dimension(spark):
+    t = _tables(spark)
+    when = "2024-05-06 07:08:09"
+    for d in (dim_product(t["product"], t["product_type"], t["product_line"], load_ts=when),
+              dim_country(t["country"], load_ts=when), dim_retailer(t["retailer_type"], load_ts=when),
+              dim_order_method(t["order_method"], load_ts=when)):
+        assert {r[0] for r in d.select(F.col("date_from").cast("string")).collect()} == {when}
+
+
+def test_repeated_business_key_fails_the_build(spark):
+    import pytest
+    from retailstar.operators.quality import ExpectationError
+    from retailstar.plans.warehouse import check_business_keys
+    good = spark.createDataFrame([("a",), ("b",)], "name string")
+    check_business_keys({"dim_country": good})
+    with pytest.raises(ExpectationError, match="dim_country"):
+        check_business_keys({"dim_country": good.union(good)})
+
+
+def test_types_under_two_lines_are_reported(spark):
+    from retailstar.plans.normalize import type_conflicts
+    df = spark.createDataFrame([("t", "x"), ("t", "y"), ("u", "x")], "product_type string, product_line string")
+    assert [tuple(r) for r in type_conflicts(df).collect()] == [("t", 2)]
+
+
+def test_fact_by_source_id_drops_rows_without_match(spark):
+    from retailstar.plans.facts import fact_by_source_id
+    t = _tables(spark)
+    out = fact_by_source_id(t["sales"], _dims(spark, t)).collect()
+    assert sorted(r.sales_id for r in out) == [1, 2]

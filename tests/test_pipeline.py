@@ -6,7 +6,7 @@ import pytest
 
 from conftest import SMOKE
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
 
 
 def _norm(row):

@@ -13,8 +13,8 @@ keep the product sparse without losing a link:
 * a shared column at places i, j of that order leaves at most
   ``min(n - i, m - j)`` for the overlap, and sizes must be within the ratio.
 
-Columns held by few rows give candidate pairs, whose overlap is counted on the
-whole sets. Columns held by many rows (families of near copies) never emit
+Columns held by few rows give candidate pairs; parity sketches drop those that
+surely differ too much, the overlap of the others is counted on the whole sets. Columns held by many rows (families of near copies) never emit
 pairs: rows that hang together by such columns form a family, families are cut
 into blocks of bounded size by size class and hash, and each pair of blocks that
 the bounds allow is one dense product in one task, which returns no more edges
@@ -205,17 +205,35 @@ def pairs_and_hot(percent: int, hot: int):
     return run
 
 
-def _sets(packs: DataFrame, rids: DataFrame, shingle: int) -> DataFrame:
-    """(rid, members) of the chosen rows."""
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the members hashed to 2**k bits, k after the size (one bit per
+    member or two). Two sets differ in at least as many members as bits."""
+    k = max(8, int(len(s)).bit_length())
+    at = (W.mix(s ^ _U(0x94D049BB133111EB)) >> _U(64 - k)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=1 << k) & 1).astype(np.uint8)).tobytes()
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ; the longer one is folded first."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        bits = np.unpackbits(np.frombuffer(x, np.uint8))
+        x = np.packbits(bits[0::2] ^ bits[1::2]).tobytes()
+    return (int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_count()
+
+
+def _sets(packs: DataFrame, rids: DataFrame, shingle: int, form=np.ndarray.tobytes) -> DataFrame:
+    """(rid, n, members) of the chosen rows; ``members`` as ``form`` gives them."""
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 pack, texts, at = [batch.column(c)[i].as_py() for c in ("pack", "texts", "at")]
                 sets = sets_of([texts[j] for j in at], shingle)
-                yield pa.RecordBatch.from_arrays([pa.array([(pack << 20) + j for j in at], pa.int64()),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())],
-                                                 names=["rid", "members"])
-    return _chosen(packs, rids, "at").mapInArrow(run, "rid long, members binary")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([(pack << 20) + j for j in at], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                     pa.array([form(s) for s in sets], pa.binary())], names=["rid", "n", "members"])
+    return _chosen(packs, rids, "at").mapInArrow(run, "rid long, n long, members binary")
 
 
 def _overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
@@ -226,23 +244,39 @@ def _overlap(x: bytes, y: bytes) -> tuple[int, int, int]:
     return int((b[at] == a).sum()), len(a), len(b)
 
 
-def _counted_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, by the overlap of their whole sets."""
-    x = sets.select(F.col("rid").alias("ra"), F.col("members").alias("ma"))
-    y = sets.select(F.col("rid").alias("rb"), F.col("members").alias("mb"))
-    both = pairs.join(x, F.col("a") == F.col("ra")).join(y, F.col("b") == F.col("rb")).select("a", "b", "ma", "mb")
+def _matched(pairs: DataFrame, sets: DataFrame, ok) -> DataFrame:
+    """The pairs (a, b) whose two rows of ``sets`` satisfy ``ok(n, m, x, y)``."""
+    x = sets.select(F.col("rid").alias("ra"), F.col("n").alias("na"), F.col("members").alias("ma"))
+    y = sets.select(F.col("rid").alias("rb"), F.col("n").alias("nb"), F.col("members").alias("mb"))
+    both = pairs.join(x, F.col("a") == F.col("ra")).join(y, F.col("b") == F.col("rb")).select(
+        "a", "b", "na", "nb", "ma", "mb")
 
     def run(frames):
         for pdf in frames:
-            keep = []
-            for x_, y_ in zip(pdf["ma"], pdf["mb"]):
-                o, n, m = _overlap(x_, y_)
-                keep.append(100 * o >= percent * (n + m - o))
+            keep = [ok(n, m, p, q) for n, m, p, q in zip(pdf["na"], pdf["nb"], pdf["ma"], pdf["mb"])]
             yield pdf.loc[np.array(keep, bool), ["a", "b"]]
 
     return both.mapInPandas(run, "a long, b long")
 
 
+def _rids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
+
+
+def _counted_links(packs: DataFrame, pairs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link. Sketches, a small part of the sets' size, first
+    drop the pairs that differ in too many members; the overlap of the others is
+    counted on their whole sets."""
+    near = stored(_matched(pairs, _sets(packs, _rids(pairs), shingle, sketch), lambda n, m, x, y: differing(x, y)
+                           <= n + m - 2 * least_overlap(n, m, percent)), "join-near")
+
+    def links(n, m, x, y):
+        o, _, _ = _overlap(x, y)
+        return 100 * o >= percent * (n + m - o)
+
+    return _matched(near, _sets(packs, _rids(near), shingle), links)
+
+
 # --- families of near copies -----------------------------------------------------
 
 def product(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -336,7 +370,7 @@ def _family_links(packs: DataFrame, member: DataFrame, sizes: DataFrame, shingle
         (F.col("klass") - 1).alias("k"), c.alias("x"), F.lit(1).alias("next"), F.col("cut").alias("y"), F.lit(1).alias("side")))
     tasks = placed.select("rid", "family", F.explode(F.concat(own, above, below)).alias("t")).select(
         "rid", "family", "t.k", "t.x", "t.next", "t.y", "t.side")
-    sets = _sets(packs, rows.select("rid"), shingle).withColumnRenamed("rid", "m_rid")
+    sets = _sets(packs, rows.select("rid"), shingle).select(F.col("rid").alias("m_rid"), "members")
     return tasks.join(sets, F.col("rid") == F.col("m_rid")).drop("m_rid").groupBy(
         "family", "k", "x", "next", "y").applyInPandas(block_links(percent), "a long, b long")
 
@@ -357,8 +391,7 @@ def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     found = stored(_postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least)
                    .groupBy("part").applyInPandas(pairs_and_hot(percent, hot), "kind int, a long, b long"), "join-found")
     pairs = stored(found.where("kind = 0").select("a", "b").distinct(), "join-pairs")
-    needed = pairs.select(F.col("a").alias("rid")).union(pairs.select("b")).distinct()
-    links = _counted_links(pairs, _sets(packs, needed, shingle), percent)
+    links = _counted_links(packs, pairs, shingle, percent)
     member = found.where("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("col"))
     if not member.isEmpty():
         links = links.union(_family_links(packs, member, names.select("rid", "n"), shingle, percent))

@@ -111,3 +111,12 @@ def test_components_of_chain_and_star(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     out = {r.node: r.root for r in components.components(df).collect()}
     assert out == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_sketches_never_differ_in_more_bits_than_members():
+    rnd = np.random.default_rng(6)
+    for _ in range(300):
+        a = np.unique(rnd.integers(0, 2**63, int(rnd.integers(1, 900)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[rnd.random(len(a)) > rnd.random()], rnd.integers(0, 2**63, 9, dtype=np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        assert ngram_join.differing(ngram_join.sketch(a), ngram_join.sketch(b)) <= apart

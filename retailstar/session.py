@@ -88,11 +88,16 @@ def _file_system(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a written table of this job."""
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def release_temporary(spark: SparkSession) -> None:
     """Delete the temporary tables once what was built from them is written."""
     while _TEMPORARY:
-        p, fs = _file_system(spark, _TEMPORARY.pop())
-        fs.delete(p, True)
+        delete_path(spark, _TEMPORARY.pop())
 
 
 def written_bytes(spark: SparkSession, path: str) -> int:

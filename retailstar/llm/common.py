@@ -20,8 +20,17 @@ from .words import slices
 _ROOT = str(Path(__file__).resolve().parents[2])
 
 
+#: bytes of texts that go to a Python worker at once (a single longer row goes alone)
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers started from another folder import this package."""
+    """Let Python workers started from another folder import this package, and
+    bound the Arrow batches they get, unless the session has a lower bound."""
+    have = spark.conf.get(_BATCH_CONF, "67108864").rstrip("bB")
+    if not have.isdigit() or not 0 < int(have) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
     have = env.get("PYTHONPATH", "")
     if _ROOT not in have.split(":"):
@@ -50,6 +59,7 @@ def annotate(df: DataFrame, text_col: str, fields: dict[str, str], fn: Callable[
     No shuffle. Spark bounds the bytes of an Arrow batch, ``slices`` bounds what
     one call of ``fn`` sees, so memory follows the longest single text only.
     """
+    prepare(df.sparkSession)
     frame = df.select(*keep, F.col(text_col).alias(fresh("text_in", df)))
     schema = T.StructType(list(df.select(*keep).schema) + [
         T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])

@@ -38,7 +38,9 @@ from ..session import scratch_path
 ORDER = 4
 END = 256
 SYMBOLS = 257
-PACK_CHARS = 8 << 20
+PACK_CHARS = 4 << 20
+#: characters that the kernels look at together
+SLICE_CHARS = 1 << 20
 _END_NAME = np.uint64(0x454E44)
 
 
@@ -78,7 +80,7 @@ def _counted(names: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndar
 def ask_words(ids: list, texts: list) -> tuple[np.ndarray, dict]:
     train = np.array([is_training(i) for i in ids])
     names, counts = [np.array([_END_NAME])], [np.array([train.sum()])]
-    for lo, hi in W.slices(texts, 2 << 20):
+    for lo, hi in W.slices(texts, SLICE_CHARS):
         w, h = words_of(texts[lo:hi])
         u, inv = np.unique(h, return_inverse=True)
         names.append(u)
@@ -90,7 +92,7 @@ def ask_words(ids: list, texts: list) -> tuple[np.ndarray, dict]:
 def ask_grams(ids: list, texts: list) -> tuple[np.ndarray, dict]:
     train = np.array([is_training(i) for i in ids])
     names, counts = [], []
-    for lo, hi in W.slices(texts, 2 << 20):
+    for lo, hi in W.slices(texts, SLICE_CHARS):
         g, first = byte_grams(texts[lo:hi])
         u, inv = np.unique(g, return_inverse=True)
         names.append(u)
@@ -222,14 +224,14 @@ def _stats(told_words: DataFrame) -> tuple[int, int]:
 def _scores(ids: list, texts: list, words: list | None, codes_: list | None, parts: int,
             tokens: int, distinct: int) -> dict:
     wu = np.unique(np.concatenate([[_END_NAME], *[np.unique(words_of(texts[a:b])[1])
-                                                  for a, b in W.slices(texts, 2 << 20)]]).astype(np.uint64))
+                                                  for a, b in W.slices(texts, SLICE_CHARS)]]).astype(np.uint64))
     wc = P.told(words, wu, parts, np.int64)
     base = np.log10((wc + 1.0) / (tokens + 1.0 * (distinct + 1)))
     end = int(np.searchsorted(wu, _END_NAME))
-    gu = np.unique(np.concatenate([np.unique(byte_grams(texts[a:b])[0]) for a, b in W.slices(texts, 2 << 20)]))
+    gu = np.unique(np.concatenate([np.unique(byte_grams(texts[a:b])[0]) for a, b in W.slices(texts, SLICE_CHARS)]))
     gc = P.told(codes_, gu, parts, np.float64)
     n_tokens, n_known, base_score, score = [], [], [], []
-    for a, b in W.slices(texts, 2 << 20):
+    for a, b in W.slices(texts, SLICE_CHARS):
         w, h = words_of(texts[a:b])
         at = np.searchsorted(wu, h)
         n_tokens.append(w.counts + 1)

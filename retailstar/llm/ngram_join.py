@@ -380,7 +380,8 @@ def _family_links(packs: DataFrame, member: DataFrame, sizes: DataFrame, shingle
 def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                    percent: int = PERCENT, hot: int = HOT) -> DataFrame:
     """rid, doc_id, n_shingles, component_id of every row (rid: a number of the row)."""
-    packs, parts = P.packed(docs, id_col, text_col)
+    spark, written = docs.sparkSession, P.new_table()
+    packs, parts = P.packed(docs, id_col, text_col, table=written)
     rows = stored(_documents_and_table(packs, shingle), "join-rows")
     table = _column_table(rows)
     each = rows.where("kind = 0").select("rid", "doc_id", "n", "name")
@@ -396,6 +397,8 @@ def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     if not member.isEmpty():
         links = links.union(_family_links(packs, member, names.select("rid", "n"), shingle, percent))
     roots = stored(components(links), "join-roots")
+    # what follows reads written tables of ids and names only
+    P.drop(spark, written)
     labelled = stored(names.join(roots, F.col("rid") == F.col("node"), "left").select(
         "name", "least", F.coalesce("root", "rid").alias("root")), "join-labels")
     smallest = labelled.groupBy(F.col("root").alias("r")).agg(F.min("least").alias("component"))

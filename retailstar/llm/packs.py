@@ -19,25 +19,37 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import checkpoint_dir, delete_path
 from . import words as W
-from .common import shuffle_partitions
+from .common import prepare, shuffle_partitions
 
 PACK_CHARS = 4 << 20
 PART_BYTES = 16 << 20
 
 
+def new_table() -> str:
+    return f"packs_{uuid.uuid4().hex}"
+
+
+def drop(spark: SparkSession, table: str) -> None:
+    """Remove packs that no later step reads."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    delete_path(spark, f"{checkpoint_dir(spark)}/{table}")
+
+
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           pack_chars: int = PACK_CHARS) -> tuple[DataFrame, int]:
+           pack_chars: int = PACK_CHARS, table: str | None = None) -> tuple[DataFrame, int]:
     """(pack, ids, texts) and the number of parts to deal names into.
 
     A row of the input is (pack, index) from then on, whatever its id is. The
-    number of parts follows the bytes of the texts.
+    number of parts follows the bytes of the texts. A caller that is done with
+    the packs before its result is read names the ``table`` and drops it.
     """
     spark = docs.sparkSession
+    prepare(spark)
     schema = "pack long, ids array<long>, texts array<string>, size long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,10 +75,10 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             yield flush()
 
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    table = f"packs_{uuid.uuid4().hex}"
+    table = table or new_table()
     n = shuffle_partitions(spark)
     (named.mapInArrow(run, schema).write.bucketBy(n, "pack")
-     .option("path", scratch_path(spark, "packs")).saveAsTable(table))
+     .option("path", f"{checkpoint_dir(spark)}/{table}").saveAsTable(table))
     packs = spark.table(table)
     total = packs.agg(F.sum("size")).first()[0] or 0
     return packs.select("pack", "ids", "texts"), max(n, int(total // PART_BYTES) + 1)

@@ -70,12 +70,13 @@ def bag_sums(expected: DataFrame, actual: DataFrame) -> DataFrame:
     cols = expected.columns
     both = expected.withColumn("__e", F.lit(1)).withColumn("__a", F.lit(0)).unionByName(
         actual.select(*cols).withColumn("__e", F.lit(0)).withColumn("__a", F.lit(1)))
-    per = both.groupBy(*cols).agg(F.sum("__e").alias("e"), F.sum("__a").alias("a"))
+    per = both.groupBy(*cols).agg(F.sum("__e").alias("__se"), F.sum("__a").alias("__sa"))
     zero = F.lit(0)
     total = lambda c: F.coalesce(F.sum(c), zero).cast("long")
-    return per.agg(total(F.col("e")).alias("expected_rows"), total(F.col("a")).alias("actual_rows"),
-                   total(F.greatest(F.col("e") - F.col("a"), zero)).alias("missing_rows"),
-                   total(F.greatest(F.col("a") - F.col("e"), zero)).alias("extra_rows"))
+    e, a = F.col("__se"), F.col("__sa")
+    return per.agg(total(e).alias("expected_rows"), total(a).alias("actual_rows"),
+                   total(F.greatest(e - a, zero)).alias("missing_rows"),
+                   total(F.greatest(a - e, zero)).alias("extra_rows"))
 
 
 def bag_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@ r"""Substring dedup (3): recompression.
 
 Words are named by hash; rounds of recompression then rename runs of one symbol
 (a, k) and pairs (a, b) of a left and a right symbol, sides drawn from the
-symbol itself. What a symbol becomes depends on itself and its neighbours only,
-so equal substrings get equal interior symbols wherever they stand, and names
+symbol itself. What a symbol becomes depends on itself, its neighbours and, where
+a partner may be in a run, the partner's other neighbour, so equal substrings get equal interior symbols wherever they stand, and names
 made by hashing are the same in every task: no dictionary has to be shuffled.
 Each symbol carries the range of words that decided it. If a window of ``n``
 words occurs twice, every symbol decided inside it occurs twice. So a symbol
@@ -49,12 +49,6 @@ def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> tuple[np.ndarra
             break
         next_same_doc = np.zeros(len(sym), bool)
         next_same_doc[:-1] = doc[1:] == doc[:-1]
-        # what was looked at: the neighbour on each side (a border counts as outside any window)
-        left = np.full(len(sym), -(1 << 40))
-        right = np.full(len(sym), 1 << 40)
-        left[1:] = np.where(next_same_doc[:-1], lo[:-1], left[1:])
-        right[:-1] = np.where(next_same_doc[:-1], hi[1:], right[:-1])
-        lo, hi = np.minimum(lo, left), np.maximum(hi, right)
         equal = np.zeros(len(sym), bool)
         equal[:-1] = next_same_doc[:-1] & (sym[1:] == sym[:-1])
         side = (W.mix(sym + _U((r + 1) * 0xD1B54A32D192ED03 % 2**64)) >> _U(63)).astype(bool)
@@ -63,6 +57,9 @@ def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> tuple[np.ndarra
         # a symbol of a run joins its run, not a pair
         in_run = equal.copy()
         in_run[1:] |= equal[:-1]
+        # what was looked at: the neighbour on each side; where a pair is in question also the
+        # partner's other neighbour, which may hold the partner in a run
+        lo, hi = _looked_at(lo, hi, doc, pair & ~in_run, np.append(False, pair[:-1]) & ~in_run)
         pair[:-1] &= ~in_run[:-1] & ~in_run[1:]
         joined = np.zeros(len(sym), bool)  # joined to the one before
         joined[1:] = equal[:-1] | pair[:-1]
@@ -77,6 +74,25 @@ def recompress(h: np.ndarray, first: np.ndarray, rounds: int) -> tuple[np.ndarra
     return sym, lo, hi
 
 
+def _looked_at(lo: np.ndarray, hi: np.ndarray, doc: np.ndarray, after: np.ndarray,
+               before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of all symbols with their neighbours', and with the second one's to the
+    right (``after``) or left (``before``). A border counts as outside any window."""
+    out_lo, out_hi = lo.copy(), hi.copy()
+    for step, where in ((1, None), (2, after), (-1, None), (-2, before)):
+        k = abs(step)
+        here, there = (slice(None, -k), slice(k, None)) if step > 0 else (slice(k, None), slice(None, -k))
+        same = np.zeros(len(lo), bool)
+        same[here] = doc[here] == doc[there]
+        far_lo, far_hi = np.full(len(lo), -(1 << 40)), np.full(len(lo), 1 << 40)
+        far_lo[here], far_hi[here] = lo[there], hi[there]
+        far_lo[~same], far_hi[~same] = -(1 << 40), 1 << 40
+        if where is not None:
+            far_lo, far_hi = np.where(where, far_lo, lo), np.where(where, far_hi, hi)
+        out_lo, out_hi = np.minimum(out_lo, far_lo), np.maximum(out_hi, far_hi)
+    return out_lo, out_hi
+
+
 class Parsed:
     """Words and symbols of one pack."""
 

@@ -75,6 +75,40 @@ def test_equal_windows_share_inner_symbols():
     assert inside[0] == inside[1] and len(inside[0]) > 5
 
 
+def repeated_phrases(seed):
+    """Two texts that share a passage; it starts and ends in phrases said back to back,
+    a different number of times in each text."""
+    rnd = random.Random(seed)
+    w = [f"w{rnd.randrange(12)}" for _ in range(40)]
+    phrases = [[f"p{rnd.randrange(6)}" for _ in range(rnd.randrange(1, 4))] for _ in range(2)]
+    texts = []
+    for d in range(2):
+        n, m = rnd.randrange(1, 6), rnd.randrange(1, 6)
+        texts.append([f"a{d}"] * 3 + phrases[0] * n + w + phrases[1] * m + [f"z{d}"] * 3)
+    return texts
+
+
+@pytest.mark.parametrize("n,rounds", [(5, 1), (8, 2), (12, 3), (35, 4)])
+def test_no_repeated_window_is_ruled_out(n, rounds):
+    for seed in range(1500):
+        texts = repeated_phrases(seed)
+        p = substring_dedup.Parsed([" ".join(t) for t in texts], n, rounds)
+        _, inv, count = np.unique(p.names(), return_inverse=True, return_counts=True)
+        found = set(p.candidates((count > 1)[inv.ravel()]).tolist())
+        where = {}
+        for d, t in enumerate(texts):
+            for k in range(len(t) - n + 1):
+                where.setdefault(tuple(t[k:k + n]), []).append(int(p.w.first[d]) + k)
+        repeats = {k for v in where.values() if len(v) > 1 for k in v}
+        assert repeats <= found, seed
+
+
+def test_phrases_repeated_back_to_back(spark):
+    rows = [(2 * s + d, " ".join(f"{s}.{x}" for x in t)) for s in range(200) for d, t in enumerate(repeated_phrases(s))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(substring_dedup.dedup_documents(df, window=8, rounds=2)) == brute(rows, 8)
+
+
 def test_long_text_hashes_do_not_depend_on_blocks():
     w = W.split([("äb cde fg " * 500).encode()])
     assert np.array_equal(w.hashes(0), w.hashes(0, block=64))

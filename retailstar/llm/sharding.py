@@ -10,6 +10,13 @@ shard takes the slots that fit, counting what leaves it (the flows are lowered
 until no shard is over its capacity). Documents without a link fill what is
 left, so the law ``rows`` holds exactly: counts differ by one at most.
 
+The rounds end with labels: the shard that holds most of each cluster. A group
+whose label has no room would stay scattered, so all clusters are then settled,
+largest first, whole: into their label if it has room, else into another shard
+that has. Small clusters go in bundles, so that a table of fixed size decides;
+refused bundles are dealt anew, smaller, until single clusters are left. What
+fits nowhere whole is cut, over as few shards as the room left allows.
+
 A group larger than a shard's capacity is first cut by hash into clusters of
 half a capacity; clusters, not groups, are kept together then.
 
@@ -19,6 +26,8 @@ repeated rows are separate documents; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -89,6 +98,67 @@ def propagate(cells: DataFrame, load: list[int], cap: list[int], rounds: int = R
     return cells, load
 
 
+def _placed(units: list[tuple[int, int, bool]], room: list[int]) -> tuple[list[int], list[int]]:
+    """A shard for every unit (documents, label, single cluster), -1 if none has room,
+    and the room then left. Largest first; of three rules the one that refuses least."""
+    order = sorted(range(len(units)), key=lambda i: -units[i][0])
+    best = None
+    for label, emptiest in ((True, True), (True, False), (False, False)):
+        left, to = list(room), [-1] * len(units)
+        for i in order:
+            n, t, _ = units[i]
+            if not (label and left[t] >= n):
+                fits = [s for s in range(len(left)) if left[s] >= n]
+                if not fits:
+                    continue
+                t = max(fits, key=left.__getitem__) if emptiest else min(fits, key=left.__getitem__)
+            to[i] = t
+            left[t] -= n
+        # a refused single cluster is cut, a refused bundle is dealt anew
+        refused = (sum(u[0] for u, s in zip(units, to) if s < 0 and u[2]), sum(u[0] for u, s in zip(units, to) if s < 0))
+        if best is None or refused < best[0]:
+            best = refused, to, left
+    return best[1], best[2]
+
+
+def settle(cells: DataFrame, cap: list[int]) -> tuple[DataFrame, list[int], int]:
+    """(g, part, s) of every cluster, ``s`` null if it fits nowhere whole; the loads, and
+    the documents of clusters to cut.
+
+    A round sends at most ``2 * SLOTS`` units a shard to the driver. Bundles are small
+    against the room that is left, so each round leaves a small part of the one before.
+    """
+    spark, units = cells.sparkSession, SLOTS * len(cap)
+    there = cells.groupBy("g", "part", "s").agg(F.sum("n").alias("n"))
+    left = stored(there.groupBy("g", "part").agg(
+        F.max(F.struct("n", F.xxhash64("g", "part", "s").alias("h"), "s")).alias("b"), F.sum("n").alias("m")).select(
+        "g", "part", "m", F.col("b.s").alias("t")), "shard-clusters")
+    room, cut, done, i = list(cap), 0, [], 0
+    while True:
+        stat = left.agg(F.count(F.lit(1)).alias("k"), F.sum("m").alias("m")).first()
+        if not stat["k"]:
+            break
+        big = 0 if stat["k"] <= units else -(-stat["m"] // units)
+        single = F.col("m") >= big
+        slot = F.col("t") * SLOTS + F.pmod(F.xxhash64(F.lit(i), "g", "part"), F.lit(SLOTS))
+        keyed = left.withColumn("single", single).withColumn(
+            "unit", F.when(single, F.xxhash64("g", "part")).otherwise(slot))
+        table = keyed.groupBy("single", "unit").agg(F.sum("m").alias("m"), F.min("t").alias("t")).collect()
+        table.sort(key=lambda r: (r["single"], r["unit"]))
+        to, room = _placed([(r["m"], r["t"], r["single"]) for r in table], room)
+        cut += sum(r["m"] for r, s in zip(table, to) if s < 0 and r["single"])
+        where = spark.createDataFrame([(r["single"], r["unit"], s) for r, s in zip(table, to)],
+                                      "u_single boolean, u_unit long, s int")
+        got = stored(keyed.join(F.broadcast(where), (F.col("single") == F.col("u_single")) & (
+            F.col("unit") == F.col("u_unit"))).select("g", "part", "m", "t", "s", "single"), "shard-settled")
+        done.append(got.where("s >= 0 OR single").select("g", "part", F.when(F.col("s") >= 0, F.col("s")).alias("s")))
+        left = got.where("s < 0 AND NOT single").select("g", "part", "m", "t")
+        i += 1
+    if not done:
+        return left.select("g", "part", F.col("t").alias("s")), [0] * len(cap), 0
+    return reduce(DataFrame.union, done), [c - r for c, r in zip(cap, room)], cut
+
+
 def shard_documents(docs: DataFrame, *, n_shards: int = N_SHARDS, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
@@ -115,16 +185,33 @@ def shard_documents(docs: DataFrame, *, n_shards: int = N_SHARDS, id_col: str =
     load = [n_linked // n_shards + (s < n_linked % n_shards) for s in range(n_shards)]
     cells = stored(linked.groupBy("g", "part", "s0").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "s", F.col("s0")).select("g", "part", "s0", "s", "n"), "shard-cells")
-    cells, load = propagate(cells, load, cap)
-    final = cells.select(F.col("g").alias("cg"), F.col("part").alias("cp"), F.col("s0").alias("c0"), "s")
+    cells, _ = propagate(cells, load, cap)
+    settled, load, n_cut = settle(cells, cap)
+    settled = settled.select(F.col("g").alias("sg"), F.col("part").alias("sp"), "s")
+    final = cells.drop("s").join(settled, (F.col("g") == F.col("sg")) & (F.col("part") == F.col("sp"))).select(
+        F.col("g").alias("cg"), F.col("part").alias("cp"), F.col("s0").alias("c0"), "s")
     a = linked.join(final, (F.col("g") == F.col("cg")) & (F.col("part") == F.col("cp")) & (F.col("s0") == F.col("c0")))
-    # the rest goes where room is left, in hash order
+    # the rest goes where room is left, most of it first: cut clusters one after another, then
+    # documents without a link in hash order
+    by_room = sorted(range(n_shards), key=lambda s: load[s] - cap[s])
     bound, bounds = 0, []
-    for s in range(n_shards):
+    for s in by_room:
         bound += cap[s] - load[s]
         bounds.append(bound)
-    fill = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in bounds]), lambda x: x <= F.col("r")))
-    b = ranked(tagged.where("part IS NULL"), "row", n - n_linked, "r").withColumn("s", fill)
+    fill = F.element_at(F.array(*map(F.lit, by_room)), F.size(F.filter(
+        F.array(*[F.lit(x).cast("long") for x in bounds]), lambda x: x <= F.col("r"))) + 1)
+    b = ranked(tagged.where("part IS NULL"), "row", n - n_linked, "r").withColumn("r", F.col("r") + n_cut).withColumn("s", fill)
+    if n_cut:
+        c = a.where("s IS NULL").withColumn("z", F.xxhash64("g", "part")).withColumn(
+            "y", F.pmod(F.xxhash64(F.lit(3), "row"), F.lit(SLOTS)))
+        ahead = Window.orderBy("cz", "cy").rowsBetween(Window.unboundedPreceding, -1)
+        shift = c.groupBy(F.col("z").alias("cz"), F.col("y").alias("cy")).agg(F.count(F.lit(1)).alias("c")).select(
+            "cz", "cy", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("o"))
+        c = c.withColumn("k", F.row_number().over(Window.partitionBy("z", "y").orderBy("row")))
+        c = c.join(shift, (F.col("z") == F.col("cz")) & (F.col("y") == F.col("cy"))).withColumn(
+            "r", F.col("o") + F.col("k") - 1).withColumn("s", fill)
+        rest = ["doc_id", "size", "text_crc32", "row", "s"]
+        a, b = a.where("s IS NOT NULL"), b.select(*rest).union(c.select(*rest))
     cols = ["doc_id", "size", "text_crc32", "row", F.col("s").cast("int").alias("shard")]
     per = pieces(n, 1_000)
     placed = stored(a.select(*cols).union(b.select(*cols)).withColumn(

@@ -65,3 +65,37 @@ def test_flows_never_pass_capacity():
     into1 = sum(n for s, t, u, n in wishes if t == 1 and u < take[1])
     into0 = sum(n for s, t, u, n in wishes if t == 0 and u < take[0])
     assert 30 + into1 - into0 <= 32 and 30 + into0 - into1 <= 32 and into1 > 0
+
+
+def groups_apart(spark, sizes, unlinked, n_shards):
+    """Groups that are not in one shard."""
+    rows = [f"g{i}" for i, m in enumerate(sizes) for _ in range(m)] + [f"lone {i}" for i in range(unlinked)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    out = sharding.shard_documents(df, n_shards=n_shards).collect()
+    assert sorted(r.doc_id for r in out) == list(range(len(rows)))
+    check_law(out, n_shards)
+    shards = defaultdict(set)
+    for r in out:
+        shards[rows[r.doc_id]].add(r.shard)
+    return [len(shards[f"g{i}"]) for i in range(len(sizes)) if len(shards[f"g{i}"]) > 1]
+
+
+def test_large_groups_find_another_shard(spark):
+    assert groups_apart(spark, [100] * 20, 2000, 20) == []
+    assert groups_apart(spark, [120] * 12, 2560, 20) == []
+
+
+def test_pairs_without_any_room(spark):
+    assert groups_apart(spark, [2] * 4000, 0, 20) == []
+
+
+def test_what_fits_nowhere_is_cut_little(spark):
+    # a shard of 100 takes one group of 60 whole
+    apart = groups_apart(spark, [60] * 12, 280, 10)
+    assert len(apart) == 2 and max(apart) <= 3
+
+
+def test_placing_goes_on_to_any_shard_with_room():
+    to, room = sharding._placed([(6, 0, True), (6, 0, True), (3, 0, True), (9, 1, True)], [10, 10, 10])
+    assert min(to) >= 0 and sum(room) == 6 and min(room) >= 0
+    assert sharding._placed([(11, 0, True)], [10, 10])[0] == [-1]

@@ -3,7 +3,8 @@
 Base spans are three patterns (``assign``, ``access``, ``hex``). The method
 adds spans whose decoded bytes have the structure of a credential: base64 or
 hex that decodes to a private key in DER (nested lengths must fit exactly) or
-in the OpenSSH container, armoured private keys, and signed tokens whose header
+in the OpenSSH container (on one line or wrapped over several), armoured private
+keys (also with header lines, or enciphered as these say), and signed tokens whose header
 and payload decode to JSON with an algorithm.
 
 Whole texts, no shuffle. Defined results: a null or empty text has no spans
@@ -35,7 +36,19 @@ _HEX = re.compile(r"[0-9a-f]{24,}")
 _LONG = re.compile(r"[A-Za-z0-9+/_=.-]{20}")
 _BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}(?![0-9A-Fa-f])")
-_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+?)-----END \1-----")
+#: first line of a wrapped key: DER (a sequence) or the OpenSSH magic, in base64 and in hex
+_START64 = re.compile(r"(?<![A-Za-z0-9+/_-])(?:M[A-P]|b3BlbnNzaC1r)[A-Za-z0-9+/_-]{18,}")
+_START16 = re.compile(r"(?<![0-9A-Fa-f])(?:30|6[Ff]70656[Ee])[0-9A-Fa-f]{18,}")
+_EOL = r"[\x20\t]*(?:\r?\n|(?:\\r)?\\n)[\x20\t]*"
+_NEXT64 = re.compile(_EOL + r"([A-Za-z0-9+/_-]+)")
+_NEXT16 = re.compile(_EOL + r"([0-9A-Fa-f]+)")
+_PADDING = re.compile(r"={0,2}")
+#: header lines (RFC 1421) may stand before the body
+_ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----"
+                     r"((?:(?:\\[rn]|\s)*[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*(?=[\r\n\\]))*)"
+                     r"([A-Za-z0-9+/=\s\\]+?)-----END \1-----")
+_ENCRYPTED = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED")
+_DEK = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*[0-9A-Fa-f]{16,}")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 
 _INTEGER, _BITS, _OCTETS, _OID, _SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
@@ -61,11 +74,16 @@ def der_children(data: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(data: bytes) -> bool:
-    """A private key: PKCS#1 or DSA (a row of integers), PKCS#8 or SEC 1."""
+    """A private key: PKCS#1 or DSA (a row of integers), PKCS#8 (plain or encrypted) or SEC 1."""
     top = der_children(data)
     if not top or len(top) != 1 or top[0][0] != _SEQUENCE:
         return False
     inner = der_children(top[0][1])
+    if inner and [t for t, _ in inner] == [_SEQUENCE, _OCTETS]:
+        # EncryptedPrivateKeyInfo; a DigestInfo has no sequence of parameters
+        algorithm = der_children(inner[0][1])
+        return bool(algorithm) and [t for t, _ in algorithm] == [_OID, _SEQUENCE] and bool(
+            der_children(algorithm[1][1])) and len(inner[1][1]) >= 16
     if not inner or inner[0][0] != _INTEGER or len(inner[0][1]) != 1 or inner[0][1][0] > 1:
         return False
     tags = [t for t, _ in inner]
@@ -130,6 +148,55 @@ def _is_signed(s: str) -> bool:
             and (len(_unbase64(signature) or b"") >= 16 or out[0]["alg"].lower() == "none" and not signature))
 
 
+def _der_size(data: bytes) -> int | None:
+    """Bytes of the DER sequence that starts here, if it may be a private key."""
+    if len(data) < 7 or data[0] != _SEQUENCE:
+        return None
+    n, i = data[1], 2
+    if n & 0x80:
+        k = n & 0x7F
+        if not 1 <= k <= 4:
+            return None
+        n, i = int.from_bytes(data[2:2 + k], "big"), 2 + k
+    return i + n if data[i] in (_INTEGER, _SEQUENCE) else None
+
+
+def _wrapped(text: str, start: re.Pattern, more: re.Pattern, decode, chars: int, size: int) -> list[tuple[int, int]]:
+    """Spans of keys over several lines; ``chars`` of text hold ``size`` bytes."""
+    out, at = [], 0
+    while m := start.search(text, at):
+        at = m.end()
+        lines, end = [m[0]], m.end()
+        head = decode(m[0][:len(m[0]) // chars * chars])
+        # DER says how long it is; an OpenSSH key is tried at every line's end
+        total = _der_size(head) if head and head[0] == _SEQUENCE else None
+        if total is None and not (head or b"").startswith(b"openssh-k"):
+            continue
+        want = None if total is None else -(-total * chars // size)
+        have = len(m[0])
+        while (want is None or have < want) and (n := more.match(text, end)):
+            lines.append(n[1])
+            have, end = have + len(n[1]), n.end()
+            if want is None and _is_key(decode("".join(lines))):
+                break
+        if len(lines) > 1 and (want is None or have == want) and _is_key(decode("".join(lines))):
+            at = _PADDING.match(text, end).end() if chars == 4 else end
+            out.append((m.start(), at))
+    return out
+
+
+def _unhex(s: str) -> bytes | None:
+    return bytes.fromhex(s) if len(s) % 2 == 0 else None
+
+
+def _is_armoured(headers: str, body: str) -> bool:
+    data = _unbase64(re.sub(r"\\[nr]|[\s\\]", "", body))
+    if _ENCRYPTED.search(headers) and _DEK.search(headers):
+        # the body is enciphered, in whole blocks
+        return bool(data) and len(data) >= 16 and len(data) % 8 == 0
+    return _is_key(data)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     out = []
     low = text.lower()
@@ -147,9 +214,10 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     out = [(*m.span(), "key") for m in _BASE64.finditer(text) if _is_key(_unbase64(m[0]))]
     out += [(*m.span(), "key") for m in _ANY_HEX.finditer(text)
             if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
+    out += [(*x, "key") for x in _wrapped(text, _START64, _NEXT64, _unbase64, 4, 3)]
+    out += [(*x, "key") for x in _wrapped(text, _START16, _NEXT16, _unhex, 2, 1)]
     if "PRIVATE KEY-----" in text:
-        out += [(*m.span(), "armour") for m in _ARMOUR.finditer(text)
-                if _is_key(_unbase64(re.sub(r"\\[nr]|[\s\\]", "", m[2])))]
+        out += [(*m.span(), "armour") for m in _ARMOUR.finditer(text) if _is_armoured(m[2], m[3])]
     out += [(*m.span(), "signed") for m in _SIGNED.finditer(text) if _is_signed(m[0])]
     return out
 

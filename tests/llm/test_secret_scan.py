@@ -53,6 +53,42 @@ def test_lookalikes_are_left_alone():
     assert kinds("-----BEGIN PRIVATE KEY-----\nAAAA\n-----END PRIVATE KEY-----") == []
 
 
+ENCRYPTED = der(0x30, der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + der(0x30, der(4, b"s" * 8) + der(2, b"\x08\0")))
+                + der(4, bytes(range(256))))
+
+
+def wrap(s, n, eol="\n"):
+    return eol.join(s[i:i + n] for i in range(0, len(s), n))
+
+
+def test_keys_wrapped_over_lines():
+    for data in (PKCS1, PKCS8, OPENSSH, ENCRYPTED):
+        for n in (64, 76):
+            for body in (base64.b64encode(data).decode(), data.hex()):
+                for eol in ("\n", "\r\n  "):
+                    w = wrap(body, n, eol)
+                    assert S.structural_spans(f"see: {w}\nend of it\n") == [(5, 5 + len(w), "key")]
+                    assert S.masked(f"see: {w}\nend", "*") == "see: *\nend"
+    assert kinds(wrap(base64.b64encode(PKCS1[:-3]).decode(), 64)) == []
+
+
+def test_encrypted_keys():
+    assert kinds(base64.b64encode(ENCRYPTED).decode()) == ["key"]
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65") + der(5, b"")) + der(4, b"h" * 32))
+    assert kinds(base64.b64encode(digest).decode()) == []
+    body = wrap(base64.b64encode(ENCRYPTED).decode(), 64)
+    assert "armour" in kinds(f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{body}\n-----END ENCRYPTED PRIVATE KEY-----")
+
+
+def test_armour_with_header_lines():
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    for n, found in ((64, ["armour"]), (61, [])):
+        body = wrap(base64.b64encode(bytes(range(100, 100 + n))).decode(), 64)
+        assert kinds(f"-----BEGIN RSA PRIVATE KEY-----\n{head}{body}\n-----END RSA PRIVATE KEY-----") == found
+    body = wrap(base64.b64encode(PKCS1).decode(), 64)
+    assert "armour" in kinds(f"-----BEGIN RSA PRIVATE KEY-----\nComment: mine\n\n{body}\n-----END RSA PRIVATE KEY-----")
+
+
 def brute(t):
     t = t or ""
     pats = [("assign", r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]"

@@ -6,7 +6,8 @@ import pytest
 
 from conftest import SMOKE
 
-TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents"]
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings",
+          "pages"]
 
 
 def _norm(row):
@@ -78,13 +79,13 @@ def test_changed_tables_are_built_anew(spark, tmp_path):
     import shutil
     from retailstar.plans import warehouse as W
     for t in W.TABLES:
-        shutil.copy(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")
+        shutil.copyfile(f"{SMOKE}/{t}.parquet", tmp_path / f"{t}.parquet")
     keys = []
     real, W.build_warehouse = W.build_warehouse, lambda *a, **k: keys.append(a) or object()
     try:
         first = W.warehouse_for(spark, str(tmp_path))
         assert W.warehouse_for(spark, str(tmp_path)) is first
-        shutil.copy(f"{SMOKE}/orders.parquet", tmp_path / "region.parquet")
+        shutil.copyfile(f"{SMOKE}/orders.parquet", tmp_path / "region.parquet")
         assert W.warehouse_for(spark, str(tmp_path)) is not first and len(keys) == 2
     finally:
         W.build_warehouse = real

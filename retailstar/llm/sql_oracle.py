@@ -48,7 +48,67 @@ SELECT w.doc_id, coalesce(sizes.n, 0) AS n_shingles, least.component_id
 FROM w JOIN least ON w.r = least.x LEFT JOIN sizes ON w.r = sizes.r"""
 
 
+_INTEGERS = "list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE)))"
+_FINITE = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def hard_negatives(most: int = 5, low: int = 80) -> str:
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         {_INTEGERS} AS x
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND {_FINITE}),
+scored AS (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= {most}),
+ranked AS (
+  SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS rank
+  FROM positives p JOIN scored n ON p.anchor = n.anchor AND NOT n.same
+   AND {low} * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= {most}"""
+
+
+def centroid_clustering(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    near = """
+a{i} AS (
+  SELECT v.r, v.vec_id, arg_min(c.n, struct_pack(d := list_inner_product(list_transform(range(1, len(v.x) + 1),
+           lambda i: v.x[i] - c.x[i]), list_transform(range(1, len(v.x) + 1), lambda i: v.x[i] - c.x[i])), n := c.n)) AS c,
+         min(list_inner_product(list_transform(range(1, len(v.x) + 1), lambda i: v.x[i] - c.x[i]),
+             list_transform(range(1, len(v.x) + 1), lambda i: v.x[i] - c.x[i]))) AS d
+  FROM v, c{i} c GROUP BY v.r, v.vec_id),"""
+    move = f"""
+s{{i}} AS (
+  SELECT c, place, floor(sum(x) / count(*)) AS x FROM (
+    SELECT a.c, unnest(v.x) AS x, generate_subscripts(v.x, 1) AS place FROM a{{i}} a JOIN v ON a.r = v.r)
+  GROUP BY c, place),
+c{{j}} AS (
+  SELECT o.n, coalesce(m.x, o.x) AS x FROM c{{i}} o
+  LEFT JOIN (SELECT c, list(x ORDER BY place) AS x FROM s{{i}} GROUP BY c) m ON o.n = m.c),"""
+    steps = "".join(near.format(i=i) + move.format(i=i, j=i + 1) for i in range(rounds)) + near.format(i=rounds)
+    return f"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, {_INTEGERS} AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND {_FINITE}),
+c0 AS (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS n, x FROM (
+    SELECT sha256('2:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h, x FROM v ORDER BY h, x LIMIT {k})),{steps}
+digest AS (
+  SELECT n, sha256(array_to_string(list_transform(x, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ',')) AS centroid_sha256
+  FROM c{rounds})
+SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       centroid_sha256
+FROM a{rounds} a JOIN digest ON digest.n = a.c"""
+
+
 ORACLE_SQL = {
     "op3_substring_dedup": substring_dedup(),
     "op10_ngram_join": ngram_join(),
+    "op12_hard_negatives": hard_negatives(),
+    "op13_centroid_clustering": centroid_clustering(),
 }

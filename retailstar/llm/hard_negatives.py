@@ -39,7 +39,7 @@ from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -58,7 +58,7 @@ LOW, HIGH = 80, 100
 #: rows that fit the codebooks at most
 SAMPLE = 20_000
 #: rows a cell should hold, and codewords per half at most
-CELL_ROWS, MAX_CODES = 256, 256
+CELL_ROWS, MAX_CODES = 1_024, 256
 #: rows of a cell that meet anchors at once, anchors that meet them
 BLOCK_ROWS, BATCH_ANCHORS = 4_096, 256
 #: rows the first walk looks at before it asks what is needed
@@ -93,7 +93,8 @@ class Index:
     first: np.ndarray
     second: np.ndarray
     radius: tuple[np.ndarray, np.ndarray]
-    rows: dict[tuple[int, int], int]
+    #: rows of a cell, and the largest distances of its own members' halves
+    cells: dict[tuple[int, int], tuple[int, int, int]]
     dims: int
 
     @property
@@ -108,8 +109,19 @@ class Index:
             out.append(words @ half + V.up_root((half * half).sum()) * radius)
         return out[0], out[1]
 
+    def cell_bound(self, q: np.ndarray) -> Callable[[int, int], int]:
+        """The most that a row of one cell can score, by the cell's own radii."""
+        a, b = self.first @ q[:self.cut], self.second @ q[self.cut:]
+        n1, n2 = [int(V.up_root((h * h).sum())) for h in (q[:self.cut], q[self.cut:])]
+
+        def most(c1: int, c2: int) -> int:
+            _, r1, r2 = self.cells[c1, c2]
+            return int(a[c1]) + int(b[c2]) + n1 * r1 + n2 * r2
+        return most
+
     def walk(self, q: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(bound, c1, c2) of all cells that hold rows, highest bound first."""
+        """(bound, c1, c2) of all cells that hold rows, highest bound first. The
+        bound is that of the codewords' radii, so it falls along the walk."""
         u, v = self.bounds(q)
         a, b = np.argsort(-u, kind="stable"), np.argsort(-v, kind="stable")
         u, v = u[a].tolist(), v[b].tolist()
@@ -117,7 +129,7 @@ class Index:
         while heap:
             bound, i, j = heapq.heappop(heap)
             cell = int(a[i]), int(b[j])
-            if cell in self.rows:
+            if cell in self.cells:
                 yield -bound, *cell
             # every pair has one pair before it: (i, 0) follows (i - 1, 0), (i, j) follows (i, j - 1)
             if j == 0 and i + 1 < len(u):
@@ -156,14 +168,15 @@ def build_index(rows: DataFrame, dims: int, total: int) -> tuple[DataFrame, Inde
         far[0][r["c1"]] = max(far[0][r["c1"]], r["d1"])
         far[1][r["c2"]] = max(far[1][r["c2"]], r["d2"])
     return indexed, Index(first, second, (V.up_root(far[0]), V.up_root(far[1])),
-                          {(r["c1"], r["c2"]): r["n"] for r in cells}, dims)
+                          {(r["c1"], r["c2"]): (r["n"], int(V.up_root(r["d1"])), int(V.up_root(r["d2"])))
+                           for r in cells}, dims)
 
 
 def block_table(indexed: DataFrame, index: Index) -> DataFrame:
     """(c1, c2, block, uids, ids, labels, vectors): a cell's rows in blocks, by id."""
     spark, dims = indexed.sparkSession, index.dims
     # one row per cell
-    sizes = spark.createDataFrame([(*c, -(-n // BLOCK_ROWS)) for c, n in index.rows.items()], "k1 int, k2 int, blocks int")
+    sizes = spark.createDataFrame([(*c, -(-n // BLOCK_ROWS)) for c, (n, _, _) in index.cells.items()], "k1 int, k2 int, blocks int")
     cut = indexed.join(F.broadcast(sizes), (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2"))).withColumn(
         "block", F.pmod(F.xxhash64("uid"), F.col("blocks")).cast("int"))
 
@@ -190,21 +203,23 @@ def visits(anchors: DataFrame, index: Index, first: bool) -> DataFrame:
     after FIRST_ROWS rows, the second starts there; both end under ``needs``.
     """
     spark = anchors.sparkSession
-    rows_of, dims = index.rows, index.dims
+    dims = index.dims
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = V.matrix(batch.column("vector"), dims)
             needs = batch.column("needs").to_pylist()
             for k in range(batch.num_rows):
-                seen, c1, c2, block = 0, [], [], []
+                seen, c1, c2, block, most = 0, [], [], [], index.cell_bound(x[k])
                 for bound, a, b in index.walk(x[k]):
                     early = seen < FIRST_ROWS
                     if bound < needs[k] or (first and not early):
                         break
-                    seen += rows_of[a, b]
-                    if early == first:
-                        n = -(-rows_of[a, b] // BLOCK_ROWS)
+                    rows = index.cells[a, b][0]
+                    seen += rows
+                    # a cell may be out by its own radii before the walk ends
+                    if early == first and most(a, b) >= needs[k]:
+                        n = -(-rows // BLOCK_ROWS)
                         c1 += [a] * n
                         c2 += [b] * n
                         block += range(n)

@@ -85,13 +85,17 @@ def test_walk_is_in_order_and_bounds_hold():
     cells = {}
     for i, c in enumerate(zip(a.tolist(), b.tolist())):
         cells.setdefault(c, []).append(i)
-    index = H.Index(first, second, (H.V.up_root(far[0]), H.V.up_root(far[1])), {c: len(v) for c, v in cells.items()}, 7)
+    own = {c: (len(v), *[int(H.V.up_root(max(((x[i, cut] - w) ** 2).sum() for i in v)))
+                         for cut, w in ((slice(0, 4), first[c[0]]), (slice(4, 7), second[c[1]]))])
+           for c, v in cells.items()}
+    index = H.Index(first, second, (H.V.up_root(far[0]), H.V.up_root(far[1])), own, 7)
     for q in x[:20]:
         walk = list(index.walk(q))
         assert [w[0] for w in walk] == sorted((w[0] for w in walk), reverse=True)
         assert sorted(w[1:] for w in walk) == sorted(cells)
         for bound, c1, c2 in walk:
-            assert all(q @ x[i] <= bound for i in cells[c1, c2])
+            tight = index.cell_bound(q)(c1, c2)
+            assert tight <= bound and all(q @ x[i] <= tight for i in cells[c1, c2])
 
 
 def test_walk_leaves_cells_out(spark):
@@ -102,7 +106,7 @@ def test_walk_leaves_cells_out(spark):
     a, b = H.nearest(x[:, :3], first), H.nearest(x[:, 3:], second)
     far = [np.array([max([((p - w) ** 2).sum() for p in part[own == k]], default=0) for k, w in enumerate(words)])
            for part, words, own in ((x[:, :3], first, a), (x[:, 3:], second, b))]
-    cells = {c: 1 for c in zip(a.tolist(), b.tolist())}
+    cells = {c: (1, 0, 0) for c in zip(a.tolist(), b.tolist())}
     index = H.Index(first, second, (H.V.up_root(far[0]), H.V.up_root(far[1])), cells, 6)
     q = x[0]
     need = np.sort(x @ q)[-5]

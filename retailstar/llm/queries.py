@@ -4,7 +4,7 @@ those that SQL can express; the tests hold the others against other versions."""
 from __future__ import annotations
 
 from . import (bpe, centroid_clustering, fingerprints, hard_negatives, license_scan, mixing, ngram_join, ppm,
-               quality_rules, secret_scan, sharding, substring_dedup)
+               quality_rules, secret_scan, sharding, substring_dedup, warc)
 from .sql_oracle import ORACLE_SQL
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op8_quality_rules": quality_rules.query,
     "op9_ppm": ppm.query,
     "op10_ngram_join": ngram_join.query,
+    "op11_warc": warc.query,
     "op12_hard_negatives": hard_negatives.query,
     "op13_centroid_clustering": centroid_clustering.query,
 }

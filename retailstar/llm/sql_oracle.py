@@ -106,9 +106,26 @@ SELECT a.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distanc
 FROM a{rounds} a JOIN digest ON digest.n = a.c"""
 
 
+def warc() -> str:
+    # base32 of the digest: five hex digits are four characters
+    group = "CAST('0x' || substr(h, 1 + 5 * g, 5) AS INTEGER)"
+    letters = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (({group} >> {k}) & 31), 1)" for k in (15, 10, 5, 0))
+    return f"""
+WITH p AS (SELECT row_number() OVER () AS r, page_id, coalesce(html, '') AS t FROM pages),
+named AS (
+  SELECT page_id, octet_length(encode(t)) AS n, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS top,
+         row_number() OVER (PARTITION BY t ORDER BY page_id DESC NULLS LAST, r) AS k
+  FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(8), lambda g: {letters}), '') AS payload_digest,
+       CASE WHEN k = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN k > 1 THEN top END AS refers_to
+FROM named"""
+
+
 ORACLE_SQL = {
     "op3_substring_dedup": substring_dedup(),
     "op10_ngram_join": ngram_join(),
+    "op11_warc": warc(),
     "op12_hard_negatives": hard_negatives(),
     "op13_centroid_clustering": centroid_clustering(),
 }

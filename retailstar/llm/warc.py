@@ -165,6 +165,10 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[bytes] = set()
+        out, held = [], 0
+        flush = lambda: pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.int32(), pa.binary()))],
+            names=["key", "segment", "member"])
         for batch in batches:
             ids, urls, keys, digests = [batch.column(c).to_pylist() for c in ("id", "url", "key", "digest")]
             for i in range(batch.num_rows):
@@ -175,9 +179,13 @@ def write_archives(pages: DataFrame, path: str, *, id_col: str = "page_id", url_
                 payload = memoryview(batch.column("payload")[i].as_buffer())
                 for k, m in enumerate(response_members(ids[i], urls[i], keys[i], 0, bytes.fromhex(digests[i]), payload,
                                                        chunk_bytes, date)):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([keys[i]]), pa.array([k], pa.int32()), pa.array([m], pa.binary())],
-                        names=["key", "segment", "member"])
+                    out.append((keys[i], k, m))
+                    held += len(m)
+                    if held > PACK_BYTES:
+                        yield flush()
+                        out, held = [], 0
+        if out:
+            yield flush()
 
     made = named.where(F.col("size") >= min_bytes).select("id", "url", "key", "digest", "payload").mapInArrow(
         whole, "key string, segment int, member binary")

@@ -25,10 +25,12 @@ from pyspark.sql import functions as F
 
 from retailstar.operators import profile, quality
 from retailstar.operators.dedup import duplicate_count
+from retailstar.plans import reload
 from retailstar.plans.facts import fact_by_source_id
 from retailstar.plans.hierarchy import FOREIGN_KEYS, comma_join_sql
 from retailstar.plans.normalize import denormalize, type_conflicts
 from retailstar.plans.preprocess import clean_flat
+from retailstar.plans.publish import Store
 from retailstar.plans.reports import REPORTS
 from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, warehouse_for
 from retailstar.session import scratch_path
@@ -36,7 +38,7 @@ from retailstar.sinks.writers import create_view, insert_into
 from retailstar.sources.catalog import register_views, run_sql
 from retailstar.sources.files import read_csv_inferred
 from retailstar.sources.testdata import (country_reference, dirty_entity, dirty_file_part,
-                                         dirty_sales_raw, sales_raw)
+                                         dirty_sales_raw, sales_raw, second_batch, second_reference)
 from retailstar.sql_oracle import oracle_sql as _oracle_sql
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -133,6 +135,52 @@ def _dirty(spark, sf_dir):
                          change_file=dirty_file_part, change_db=dirty_entity)
 
 
+_RELOADED: dict[tuple, tuple[Store, list]] = {}
+
+
+def _reloaded(spark, sf_dir) -> tuple[Store, list]:
+    """The warehouse as a store's first load, then a later delivery: refused by a
+    wrong expectation, published, and loaded once more. The store, and per attempt
+    what became of it."""
+    wh = warehouse_for(spark, sf_dir)
+    if (key := (spark.sparkContext.applicationId, wh.root)) not in _RELOADED:
+        store, attempts = Store(spark, scratch_path(spark, "store")), []
+
+        def tell(what: str, accepted: bool) -> None:
+            m = store.manifest()
+            attempts.append((len(attempts) + 1, what, accepted, m.version,
+                             sum(m.rows[f"fact_sales/{b}"] for b in m.loads["fact_sales"]), m.rows["dim_product"]))
+
+        reload.first_load(store, wh)
+        tell("first load", True)
+        batch = second_batch(_flat(spark, sf_dir)), second_reference(wh.reference()), "2", "2002-01-01"
+        candidate = reload.load_batch(store, *batch)
+        try:
+            reload.publish_load(store, candidate, {"dim_country": ("==", 21)})
+            tell("second load, wrong count expected", True)
+        except quality.ExpectationError:
+            tell("second load, wrong count expected", False)
+        reload.publish_load(store, candidate)
+        tell("second load", True)
+        reload.publish_load(store, reload.load_batch(store, *batch))
+        tell("second load again", True)
+        _RELOADED[key] = store, attempts
+    return _RELOADED[key]
+
+
+def _publish_attempts(spark, sf_dir) -> DataFrame:
+    return spark.createDataFrame(_reloaded(spark, sf_dir)[1], "attempt int, load string, accepted boolean, "
+                                 "current_version int, fact_rows long, dim_product_rows long")
+
+
+def _reload_keys(spark, sf_dir) -> DataFrame:
+    store = _reloaded(spark, sf_dir)[0]
+    first, now = store.manifest(1), store.manifest()
+    keys = {t: ("id", ["name"]) for t in DB_TABLES[:-1]} | {"dim_date": ("date_tk", ["year", "quarter"])}
+    keys |= {t: (spec.key, [*reload.NATURAL_KEYS[t], "version"]) for t, spec in reload.SPECS.items()}
+    return reload.kept_keys({t: store.read(first, t) for t in keys}, {t: store.read(now, t) for t in keys}, keys)
+
+
 def _fact_unmatched(spark, sf_dir) -> DataFrame:
     f = _star(spark, sf_dir)["fact_sales"]
     miss = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in
@@ -199,6 +247,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_dim_product": lambda s, d: _dirty(s, d).star()["dim_product"],
         "dirty_dim_retailer": lambda s, d: _dirty(s, d).star()["dim_retailer"],
         "dirty_fact": lambda s, d: _dirty(s, d).star()["fact_sales"],
+        # a later delivery into the published star: versions, stable keys, batches, audits
+        "scd_dim_product": lambda s, d: _reloaded(s, d)[0].star()["dim_product"],
+        "scd_dim_country": lambda s, d: _reloaded(s, d)[0].star()["dim_country"],
+        "reload_dim_date": lambda s, d: _reloaded(s, d)[0].star()["dim_date"],
+        "reload_db_product": lambda s, d: _reloaded(s, d)[0].read(_reloaded(s, d)[0].manifest(), "product"),
+        "reload_keys": _reload_keys,
+        "fact_reload": lambda s, d: _reloaded(s, d)[0].star()["fact_sales"],
+        "publish_attempts": _publish_attempts,
     }
     for t in DB_TABLES:
         q[f"db_{t}"] = (lambda name: lambda s, d: _db(s, d)[name])(t)

@@ -18,6 +18,7 @@ does not matter; identical rows are interchangeable.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,39 @@ def add_surrogate_key(df: DataFrame, order: list, key: str, first: bool = True,
     return numbered.select(key, *rest) if first else numbered
 
 
+def extend_keys(df: DataFrame, key: str, order: list) -> DataFrame:
+    """W1 over several loads: rows without a ``key`` get the numbers after the largest
+    one, in the given order; a row that has one keeps it."""
+    rows, _ = temporary_table(df, "to-extend")
+    kind = dict(df.dtypes)[key]
+    about = rows.agg(F.max(key).alias("last"), F.count(F.lit(1)).alias("n"), F.count(key).alias("keyed")).first()
+    if about["n"] == about["keyed"]:
+        return rows
+    last = about["last"] or 0
+    new = dense_number(rows.where(F.col(key).isNull()).drop(key), order, key)
+    return rows.where(F.col(key).isNotNull()).unionByName(
+        new.withColumn(key, (F.col(key) + F.lit(last)).cast(kind)).select(*df.columns))
+
+
+def same_key(left: DataFrame, right: DataFrame, cols: list[str], prefix: str) -> Column:
+    """Null-safe equality of ``cols`` with the right side's ``prefix`` + column."""
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"{prefix}{c}"]) for c in cols])
+
+
+def with_stable_keys(previous: DataFrame, incoming: DataFrame, key: list[str], order: list, id_col: str = "id") -> DataFrame:
+    """J12 over several loads: the rows of ``previous`` (a table with ids, the registry
+    of its business keys) and of ``incoming`` (the same columns without the id).
+
+    A known business key keeps its id and takes the incoming values, a new one is
+    numbered after the largest id, one that is not incoming stays as it is. One
+    null-safe outer join; a business key may come once in ``incoming``."""
+    rest = [c for c in previous.columns if c != id_col]
+    new = incoming.select(*[F.col(c).alias(f"__in_{c}") for c in rest], F.lit(True).alias("__in"))
+    both = previous.join(new, same_key(previous, new, key, "__in_"), "full_outer")
+    told = [F.when(F.col("__in"), F.col(f"__in_{c}")).otherwise(F.col(c)).alias(c) for c in rest]
+    return extend_keys(both.select(id_col, *told).select(*previous.columns), id_col, order)
+
+
 def id_map(df: DataFrame, name_cols: list[str], id_col: str = "id") -> DataFrame:
     """J12 build: (names..., id) with one id per name tuple (lowest id wins,
     as a dict keyed by name would keep one value)."""

@@ -10,6 +10,8 @@ keeps a sales row with a null key; ``'drop'`` removes it (inner lookups).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +19,7 @@ from ..functions.parse import char_at_as_int, parse_quarter
 from ..functions.text import clean_name
 from ..operators.joins import lookup_join
 from ..operators.keys import dense_number
-from .dimensions import MISC_LINE, UNKNOWN_TYPE, current_rows
+from .dimensions import MISC_LINE, PRODUCT, UNKNOWN_TYPE, current_rows
 from .hierarchy import unfold
 
 FACT_COLUMNS = ["fact_sales_tk", "country_tk", "retailer_tk", "product_tk", "order_method_tk",
@@ -61,27 +63,35 @@ def fact_rows(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
     return lookup_keys(s, dims, unmatched)
 
 
-def lookup_keys(s: DataFrame, dims: dict[str, DataFrame], unmatched: str = "keep") -> DataFrame:
-    """Sales rows in name layout -> dimension keys and measures."""
+#: dimension -> (surrogate key, {its column: the sales row's column})
+LOOKUPS = {
+    "dim_product": ("product_tk", {c: c for c in PRODUCT.business}),
+    "dim_country": ("country_tk", {"name": "country_name"}),
+    "dim_retailer": ("retailer_tk", {"name": "retailer_name"}),
+    "dim_order_method": ("order_method_tk", {"name": "order_method"}),
+    "dim_date": ("date_tk", {"year": "year", "quarter": "quarter"}),
+}
+
+
+def lookup_keys(s: DataFrame, dims: dict[str, DataFrame], unmatched: str = "keep",
+                at: str | None = None, lookups: dict | None = None) -> DataFrame:
+    """Sales rows in name layout -> dimension keys and measures.
+
+    Without ``at`` a member's current version is looked up, with it the version that
+    was valid at that column's moment (J7)."""
     how = {"keep": "left", "drop": "inner"}[unmatched]
-    dp = current_rows(dims["dim_product"]).select(
-        "product_tk", F.col("product_name").alias("__dpn"),
-        F.col("product_type_name").alias("__dpt"), F.col("product_line_name").alias("__dpl"))
-    dc = current_rows(dims["dim_country"]).select("country_tk", F.col("name").alias("__dcn"))
-    dr = current_rows(dims["dim_retailer"]).select("retailer_tk", F.col("name").alias("__drn"))
-    dm = current_rows(dims["dim_order_method"]).select("order_method_tk",
-                                                       F.col("name").alias("__dmn"))
-    dd = dims["dim_date"].select("date_tk", F.col("year").alias("__dy"),
-                                 F.col("quarter").alias("__dq"))
-    f = lookup_join(s, dp, (F.col("product_name") == F.col("__dpn"))
-                    & (F.col("product_type_name") == F.col("__dpt"))
-                    & (F.col("product_line_name") == F.col("__dpl")), how)
-    f = lookup_join(f, dc, F.col("country_name") == F.col("__dcn"), how)
-    f = lookup_join(f, dr, F.col("retailer_name") == F.col("__drn"), how)
-    f = lookup_join(f, dm, F.col("order_method") == F.col("__dmn"), how)
-    f = lookup_join(f, dd, (F.col("year") == F.col("__dy")) & (F.col("quarter") == F.col("__dq")),
-                    how)
-    return f.select(*FACT_COLUMNS[1:])
+    for dim, (tk, names) in (lookups or LOOKUPS).items():
+        rows = dims[dim]
+        versioned = "date_from" in rows.columns
+        if versioned and at is None:
+            rows = current_rows(rows)
+        found = rows.select(tk, *[F.col(c).alias(f"__{c}") for c in names],
+                            *([F.col("date_from").alias("__from"), F.col("date_to").alias("__to")] if versioned and at else []))
+        on = reduce(lambda a, b: a & b, [F.col(mine) == F.col(f"__{c}") for c, mine in names.items()])
+        if versioned and at:
+            on = on & (F.col("__from") <= F.col(at)) & (F.col("__to").isNull() | (F.col(at) < F.col("__to")))
+        s = lookup_join(s, found, on, how).drop(*[c for c in found.columns if c != tk])
+    return s.select(*FACT_COLUMNS[1:])
 
 
 FACT_KEY_ORDER = ["product_tk", "country_tk", "retailer_tk", "date_tk", "order_method_tk",

@@ -114,6 +114,33 @@ def table_state(spark: SparkSession, path: str) -> tuple[int, int]:
     return int(fs.getContentSummary(p).getLength()), max(times)
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is not there."""
+    p, fs = _file_system(spark, folder)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file of the job, such as a manifest."""
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Put a small text file in place: written beside, then renamed, so that nobody
+    reads a part of it; fails if the path exists."""
+    p, fs = _file_system(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    beside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(beside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(beside, p):
+        raise FileExistsError(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

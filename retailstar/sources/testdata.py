@@ -116,6 +116,28 @@ def dirty_file_part(df: DataFrame) -> DataFrame:
         *df.columns[5:])
 
 
+def second_batch(flat: DataFrame) -> DataFrame:
+    """A later delivery, made of the cleaned sales by rule: the lines of 40 pieces and
+    more, seven years on; those of 50 pieces are late sales of their own year. Every
+    tenth part is re-typed, some are followed by a new part, and a country is new."""
+    part = F.regexp_extract("product", "#([0-9]+)$", 1).cast("int")
+    year = F.when(F.col("quantity") == 50, F.col("year")).otherwise(F.col("year") + 7)
+    return flat.where("quantity >= 40").select(
+        F.when(F.col("retailer_country") == "NATION_6", "NOVA").otherwise(F.col("retailer_country")).alias("retailer_country"),
+        "order_method_type", "retailer_type", "product_line",
+        F.when(part % 10 == 3, F.concat("product_line", F.lit(" Brand#00"))).otherwise(F.col("product_type")).alias("product_type"),
+        F.when(part % 25 == 4, F.concat("product", F.lit(" II"))).otherwise(F.col("product")).alias("product"),
+        year.alias("year"), F.concat(F.substring("quarter", 1, 3), year.cast("string")).alias("quarter"),
+        "revenue", "quantity", "gross_margin")
+
+
+def second_reference(reference: DataFrame) -> DataFrame:
+    """The country reference as it is at the later delivery."""
+    return reference.select(
+        "name", F.when(F.col("name").endswith("5"), F.col("population") + 1000).otherwise(F.col("population")).alias("population"),
+        F.when(F.col("name").endswith("7"), "Oceania").otherwise(F.col("region")).alias("region"))
+
+
 def dirty_entity(name: str, df: DataFrame) -> DataFrame:
     """Faults of the entity tables: a country without population and region, and
     every tenth product without type."""

@@ -22,23 +22,26 @@ if _HERE not in sys.path:
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from retailstar.operators import profile, quality
-from retailstar.operators.dedup import duplicate_count
+from retailstar.functions.parse import first_number, parse_quarter
+from retailstar.operators.dedup import distinct_rows, duplicate_count
 from retailstar.plans import reload
-from retailstar.plans.facts import fact_by_source_id
+from retailstar.plans.facts import database_sales, fact_by_source_id, file_sales, lookup_keys, number_fact
 from retailstar.plans.hierarchy import FOREIGN_KEYS, comma_join_sql
+from retailstar.plans.inferred import inferred_rows, with_inferred
 from retailstar.plans.normalize import denormalize, type_conflicts
 from retailstar.plans.preprocess import clean_flat
 from retailstar.plans.publish import Store
 from retailstar.plans.reports import REPORTS
-from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, warehouse_for
-from retailstar.session import scratch_path
-from retailstar.sinks.writers import create_view, insert_into
-from retailstar.sources.catalog import register_views, run_sql
-from retailstar.sources.files import read_csv_inferred
-from retailstar.sources.testdata import (country_reference, dirty_entity, dirty_file_part,
-                                         dirty_sales_raw, sales_raw, second_batch, second_reference)
+from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, build_dimensions, warehouse_for
+from retailstar.session import scratch_path, stored_table
+from retailstar.sinks.writers import create_view, insert_into, write_csv
+from retailstar.sources.catalog import list_tables, merge_sources, register_views, run_sql, small_table
+from retailstar.sources.files import checked_cells, read_cells, read_csv_inferred, rejected_rows, write_checked
+from retailstar.sources.testdata import (country_reference, dirty_entity, dirty_file_part, dirty_sales_raw,
+                                         faulty_cells, load_tables, sales_raw, second_batch, second_reference)
 from retailstar.sql_oracle import oracle_sql as _oracle_sql
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -181,6 +184,69 @@ def _reload_keys(spark, sf_dir) -> DataFrame:
     return reload.kept_keys({t: store.read(first, t) for t in keys}, {t: store.read(now, t) for t in keys}, keys)
 
 
+_INFERRED: dict[tuple, tuple[DataFrame, dict]] = {}
+
+
+def _inferred(spark, sf_dir) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """All sales of the faulty build, and dimensions of its database alone with a
+    placeholder for every member that only the file has."""
+    wh = _dirty(spark, sf_dir)
+    if (key := (spark.sparkContext.applicationId, wh.root)) not in _INFERRED:
+        sales = database_sales(wh.database()).unionByName(file_sales(wh.file_part()))
+        found = with_inferred(build_dimensions(wh.database(), None, wh.reference()), sales)
+        _INFERRED[key] = sales, {t: stored_table(df, f"inferred-{t}") for t, df in found.items()}
+    return _INFERRED[key]
+
+
+def _fact_inferred(spark, sf_dir) -> DataFrame:
+    sales, dims = _inferred(spark, sf_dir)
+    return number_fact(lookup_keys(sales, dims))
+
+
+_REJECTS: dict[tuple, tuple[str, StructType]] = {}
+
+
+def _checked(spark, sf_dir) -> tuple[str, StructType]:
+    """The file part delivered with unreadable cells, read into good rows and rejects."""
+    wh = warehouse_for(spark, sf_dir)
+    if (key := (spark.sparkContext.applicationId, wh.root)) not in _REJECTS:
+        schema, text, path = wh.flat_schema(), scratch_path(spark, "faulty-csv"), scratch_path(spark, "checked")
+        write_csv(faulty_cells(wh.file_part()), text)
+        cells = read_cells(spark, text, schema.names, multi_line=True)
+        write_checked(checked_cells(cells, schema, required=schema.names), path)
+        _REJECTS[key] = path, schema
+    return _REJECTS[key]
+
+
+def _csv_rejects(spark, sf_dir) -> DataFrame:
+    return rejected_rows(spark, *_checked(spark, sf_dir)).select(
+        "column", "value", "reason", F.concat_ws("|", F.transform("raw", lambda c: F.coalesce(c, F.lit("")))).alias("raw"))
+
+
+def _csv_reject_counts(spark, sf_dir) -> DataFrame:
+    bad = (F.col("rejected") == "true").cast("long")
+    return spark.read.parquet(_checked(spark, sf_dir)[0]).agg(
+        F.count(F.lit(1)).alias("rows_in"), F.sum(1 - bad).alias("good_rows"), F.sum(bad).alias("rejected_rows"))
+
+
+def _source_catalog(spark, sf_dir) -> DataFrame:
+    """The registered source tables by ``SHOW TABLES``, with their kind and rows."""
+    tables = merge_sources(load_tables(spark, sf_dir), {"country_reference": country_reference(spark, sf_dir), "web": None})
+    register_views(tables, "source_")
+    kinds = small_table(spark, [("lineitem", "lines"), ("orders", "lines")], StructType().add("t", "string").add("kind", "string"))
+    counts = _union([spark.table(f"source_{t}").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("c"), "rows") for t in tables])
+    shown = list_tables(spark).where(F.col("tableName").startswith("source_")).select(
+        F.substring("tableName", len("source_") + 1, 99).alias("table_name"))
+    return shown.join(counts, F.col("table_name") == F.col("c")).join(kinds, F.col("table_name") == F.col("t"), "left").select(
+        "table_name", F.coalesce("kind", F.lit("names")).alias("kind"), "rows")
+
+
+def _quarter_numbers(spark, sf_dir) -> DataFrame:
+    """Both quarter parsers side by side on the different quarter texts."""
+    return distinct_rows(_flat(spark, sf_dir), ["quarter"]).select(
+        "quarter", parse_quarter("quarter").alias("by_pattern"), first_number("quarter").alias("first_number"))
+
+
 def _fact_unmatched(spark, sf_dir) -> DataFrame:
     f = _star(spark, sf_dir)["fact_sales"]
     miss = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in
@@ -247,6 +313,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_dim_product": lambda s, d: _dirty(s, d).star()["dim_product"],
         "dirty_dim_retailer": lambda s, d: _dirty(s, d).star()["dim_retailer"],
         "dirty_fact": lambda s, d: _dirty(s, d).star()["fact_sales"],
+        # members that only the file has, as placeholders; rejects; the source registry
+        "fact_inferred": _fact_inferred,
+        "inferred_members": lambda s, d: inferred_rows(_inferred(s, d)[1]),
+        "csv_rejects": _csv_rejects,
+        "csv_reject_counts": _csv_reject_counts,
+        "dirty_file_part": lambda s, d: _dirty(s, d).file_part(),
+        "source_catalog": _source_catalog,
+        "quarter_numbers": _quarter_numbers,
         # a later delivery into the published star: versions, stable keys, batches, audits
         "scd_dim_product": lambda s, d: _reloaded(s, d)[0].star()["dim_product"],
         "scd_dim_country": lambda s, d: _reloaded(s, d)[0].star()["dim_country"],

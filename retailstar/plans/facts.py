@@ -98,14 +98,17 @@ FACT_KEY_ORDER = ["product_tk", "country_tk", "retailer_tk", "date_tk", "order_m
                   "revenue", "quantity", "gross_margin"]
 
 
+def number_fact(rows: DataFrame) -> DataFrame:
+    """Fact rows with their key, in the order of all other columns."""
+    keyed = dense_number(rows, [F.col(c).asc_nulls_first() for c in FACT_KEY_ORDER], "fact_sales_tk")
+    return keyed.select(*FACT_COLUMNS)
+
+
 def fact_sales(tables: dict[str, DataFrame], dims: dict[str, DataFrame],
                file_part: DataFrame | None = None, unmatched: str = "keep") -> DataFrame:
     """Fact rows numbered by (product, country, retailer, date, order method
     keys, then the measures) with the distributed numbering (W2)."""
-    rows = fact_rows(tables, dims, file_part, unmatched)
-    keyed = dense_number(rows, [F.col(c).asc_nulls_first() for c in FACT_KEY_ORDER],
-                         "fact_sales_tk")
-    return keyed.select(*FACT_COLUMNS)
+    return number_fact(fact_rows(tables, dims, file_part, unmatched))
 
 
 #: sales foreign key -> (dimension, its column of source ids, its surrogate key)

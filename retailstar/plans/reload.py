@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_name
 from ..operators.dedup import distinct_rows, survivor
 from ..operators.joins import lookup_join
-from ..operators.keys import dense_number, map_ids, with_stable_keys
+from ..operators.keys import map_ids, with_stable_keys
 from ..session import release_temporary, temporary_table
 from . import dimensions as D
-from .facts import FACT_COLUMNS, FACT_KEY_ORDER, LOOKUPS, database_sales, lookup_keys
+from .facts import FACT_COLUMNS, LOOKUPS, database_sales, lookup_keys, number_fact
 from .normalize import NAME_COLUMNS, normalize_sales
 from .publish import Manifest, Store, audit_rows, audit_star
 from .versions import next_versions
@@ -104,8 +104,7 @@ def load_batch(store: Store, flat: DataFrame, reference: DataFrame, batch: str,
     rows = database_sales(entities | {"sales": sales}).withColumn(
         "sold", F.make_date("year", F.col("quarter") * 3 - 2, F.lit(1)).cast("timestamp"))
     found = lookup_keys(rows, dims, at="sold", lookups=LOOKUPS_OVER_TIME)
-    keyed = dense_number(found, [F.col(c).asc_nulls_first() for c in FACT_KEY_ORDER], "fact_sales_tk")
-    fact = _after(keyed, "fact_sales_tk", store.read_loads(m, "fact_sales", without=batch)).select(*FACT_COLUMNS)
+    fact = _after(number_fact(found), "fact_sales_tk", store.read_loads(m, "fact_sales", without=batch)).select(*FACT_COLUMNS)
     m = store.write_load(m, "fact_sales", batch, fact.hint("rebalance", "date_tk"), ["date_tk"])
     release_temporary(store.spark)
     return m

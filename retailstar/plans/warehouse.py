@@ -5,7 +5,8 @@ costs the running stage, and no plan is recomputed by later stages):
 
 1. ``processed``  - the cleaned flat file with its 80:20 label, partitioned by
    the label;
-2. ``file_csv``   - the file part as delimited text, which the later stages read;
+2. ``file_csv``   - the file part as delimited text; ``file_rows`` - its cells,
+   converted once into good rows, which the later stages read, and rejects;
 3. ``reference``  - the country reference table;
 4. ``db/*``       - the seven normalised tables built from the database part,
    each written before the next one joins it;
@@ -24,10 +25,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import release_temporary, scratch_path, table_state
 from ..sinks.writers import write_csv, write_parquet
-from ..sources.files import read_delimited
+from ..sources.files import NULL_TOKEN, checked_cells, good_rows, read_cells, rejected_rows, write_checked
 from ..sources.testdata import TABLES, country_reference, sales_raw
 from .dimensions import dim_country, dim_date, dim_order_method, dim_product, dim_retailer
 from .facts import FACT_COLUMNS, fact_sales
@@ -68,9 +70,15 @@ class Warehouse:
         return self.read("processed")
 
     def file_part(self) -> DataFrame:
-        """The file part, read from its delimited file with the flat schema."""
-        schema = self.processed().drop("part").schema
-        return read_delimited(self.spark, f"{self.root}/file_csv", schema)
+        """The good rows of the file part's delimited file, with the flat schema."""
+        return good_rows(self.spark, f"{self.root}/file_rows", self.flat_schema())
+
+    def rejects(self) -> DataFrame:
+        """The file part's bad cells: (column, value, reason, raw)."""
+        return rejected_rows(self.spark, f"{self.root}/file_rows", self.flat_schema())
+
+    def flat_schema(self) -> StructType:
+        return self.processed().drop("part").schema
 
     def database_part(self) -> DataFrame:
         return self.processed().filter(F.col("part") == "database").drop("part")
@@ -135,7 +143,10 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
         pre = preprocess(sales_raw(spark, sf_dir) if raw is None else raw, frac=frac, seed=seed)
         wh.write(pre.labelled, "processed", partition_by=["part"])
         part = wh.processed().filter(F.col("part") == "file").drop("part")
-        write_csv(part if change_file is None else change_file(part), f"{wh.root}/file_csv")
+        write_csv(part if change_file is None else change_file(part), f"{wh.root}/file_csv", null_token=NULL_TOKEN)
+        # the job's own file: line breaks may stand in cells, and its null is no pandas token
+        cells = read_cells(spark, f"{wh.root}/file_csv", part.columns, multi_line=True)
+        write_checked(checked_cells(cells, part.schema, na_tokens=[NULL_TOKEN]), f"{wh.root}/file_rows")
     stage("processed", processed)
     stage("reference", lambda: wh.write(country_reference(spark, sf_dir), "reference"))
 

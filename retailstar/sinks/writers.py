@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",") -> None:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", sep: str = ",", null_token: str = "") -> None:
     """K1: CSV with header (a folder of part files); quotes inside a cell are
-    doubled, as pandas and ``read_delimited`` expect. A null is an empty cell."""
-    (df.write.mode(mode).option("header", True).option("sep", sep).option("quote", '"')
+    doubled, as pandas and ``read_delimited`` expect. A null is ``null_token``, by
+    default an empty cell; an empty text is a pair of quotes."""
+    (df.write.option("nullValue", null_token).mode(mode).option("header", True).option("sep", sep).option("quote", '"')
      .option("escape", '"').option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 

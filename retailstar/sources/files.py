@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,12 @@ PANDAS_NA_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# Fixed value: a null cell of the files that this library writes, so that a text
+# such as None or NA, or an empty one, stays what it is.
+NULL_TOKEN = "\\N"
+_LINE = "_corrupt_record"
+FAULTS = "array<struct<column:string,value:string,reason:string>>"
+
 
 def _csv(spark: SparkSession, header: bool, sep: str, multi_line: bool):
     """Quoted cells as pandas writes them: quotes doubled; line breaks inside a
@@ -53,6 +59,71 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
                        for src, f in zip(df.columns, schema.fields)])
 
 
+def read_cells(spark: SparkSession, path: str, names: list[str], sep: str = ",", header: bool = True,
+               multi_line: bool = False) -> DataFrame:
+    """All cells as text under ``names``, and in ``_corrupt_record`` the line of a row
+    that has another number of cells. A header must have the names (see ``read_delimited``)."""
+    reader = _csv(spark, header, sep, multi_line)
+    if header:
+        have, want = [[normalise_header(c) for c in cols] for cols in (reader.csv(path).columns, names)]
+        if have != want:
+            raise ValueError(f"header {have} is not {want}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _LINE]])
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(schema).csv(path)
+
+
+def checked_cells(text: DataFrame, schema: T.StructType, required: list[str] | None = None,
+                  na_tokens: list[str] | None = PANDAS_NA_TOKENS) -> DataFrame:
+    """Text cells converted to ``schema``, with ``raw`` (the cells as they came) and
+    ``faults``: per bad cell its column, text and reason. A cell that is no value of its
+    type, a missing one in a ``required`` column, a line with another number of cells."""
+    typed, found = [], []
+    for f in schema.fields:
+        cell = F.col(f"`{f.name}`")
+        if na_tokens:
+            cell = F.when(~cell.isin(na_tokens), cell)
+        value = cell.try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+
+        def fault(text: Column, reason: str, name: str = f.name) -> Column:
+            return F.struct(F.lit(name).alias("column"), text.cast("string").alias("value"), F.lit(reason).alias("reason"))
+
+        bad = F.when(cell.isNotNull() & value.isNull(), fault(cell, f"not a {f.dataType.simpleString()}"))
+        if f.name in (required or []):
+            bad = bad.when(cell.isNull(), fault(F.lit(None), "missing"))
+        found.append(bad)
+    faults = F.filter(F.array(*found), lambda x: x.isNotNull()).cast(FAULTS)
+    if _LINE in text.columns:
+        line = F.array(F.struct(F.lit(None).cast("string").alias("column"), F.col(_LINE).alias("value"),
+                                F.lit("number of cells").alias("reason"))).cast(FAULTS)
+        faults = F.when(F.col(_LINE).isNotNull(), line).otherwise(faults)
+    raw = F.array(*[F.col(f"`{c}`") for c in schema.names])
+    return text.select(*typed, raw.alias("raw"), faults.alias("faults"))
+
+
+def write_checked(checked: DataFrame, path: str) -> None:
+    """Good and rejected rows in one pass, each in a folder of its own."""
+    checked.withColumn("rejected", F.size("faults") > 0).write.mode("overwrite").partitionBy("rejected").parquet(path)
+
+
+def good_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows without a fault."""
+    return _written(spark, path, schema).where(~F.col("rejected")).select(*schema.names)
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rejects: (column, value, reason, raw), one row per fault."""
+    rows = _written(spark, path, schema).where(F.col("rejected"))
+    return rows.select("raw", F.explode("faults").alias("f")).select("f.*", "raw")
+
+
+def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    whole = T.StructType(list(schema.fields) + [T.StructField("raw", T.ArrayType(T.StringType())),
+                                                T.StructField("faults", T._parse_datatype_string(FAULTS)),
+                                                T.StructField("rejected", T.BooleanType())])
+    return spark.read.schema(whole).parquet(path)
+
+
 def read_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Header + ``inferSchema`` (an extra pass over the file)."""
     return _csv(spark, True, ",", multi_line).option("inferSchema", True).csv(path)

@@ -31,8 +31,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def load_tables(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
-    """S4 (Parquet variant): name -> lazy DataFrame."""
+def load_tables(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """S4 on Parquet: name -> lazy DataFrame of every table of the folder."""
     return {n: table(spark, sf_dir, n) for n in (names or TABLES)}
 
 
@@ -105,15 +105,30 @@ def dirty_sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty_file_part(df: DataFrame) -> DataFrame:
     """Faults of the file part only: a country and a retailer type that no other
-    source has, padded; no product type and line where the quantity is 7."""
+    source has, padded; no product type and line where the quantity is 7; products
+    whose name looks missing, or has a line break, a comma and quotes."""
     typed = F.col("quantity") != 7
+    name = F.when(F.col("quantity") == 9, "None").when(F.col("quantity") == 11, F.concat("product", F.lit('\n"large", wide')))
     return df.select(
         F.when(F.col("retailer_country") == "NATION_3", "  atlantis ").otherwise(F.col("retailer_country")).alias("retailer_country"),
         "order_method_type",
         F.when(F.col("retailer_type") == "MACHINERY", "kiosk").otherwise(F.col("retailer_type")).alias("retailer_type"),
         F.when(typed, F.col("product_line")).alias("product_line"),
         F.when(typed, F.col("product_type")).alias("product_type"),
-        *df.columns[5:])
+        F.coalesce(name, F.col("product")).alias("product"), *df.columns[6:])
+
+
+def faulty_cells(df: DataFrame) -> DataFrame:
+    """The file part as text with cells that no conversion can read, by rule: revenue,
+    year or quantity in words, and a missing margin with a missing product."""
+    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    n = F.col("quantity")
+    return text.withColumns({
+        "revenue": F.when(n == "12", "n.v.").otherwise(F.col("revenue")),
+        "year": F.when(n == "22", "MMII").otherwise(F.col("year")),
+        "gross_margin": F.when(n == "42", "NA").otherwise(F.col("gross_margin")),
+        "product": F.when(n == "42", "").otherwise(F.col("product")),
+        "quantity": F.when(n == "32", "many").otherwise(n)})
 
 
 def second_batch(flat: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ from retailstar.plans.normalize import denormalize, type_conflicts
 from retailstar.plans.preprocess import clean_flat
 from retailstar.plans.publish import Store
 from retailstar.plans.reports import REPORTS
-from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, build_dimensions, warehouse_for
+from retailstar.plans.warehouse import DB_TABLES, DIM_TABLES, REQUIRED_COLUMNS, build_dimensions, colocated, warehouse_for
 from retailstar.session import scratch_path, stored_table
 from retailstar.sinks.writers import create_view, insert_into, write_csv
 from retailstar.sources.catalog import list_tables, merge_sources, register_views, run_sql, small_table
@@ -56,6 +56,33 @@ def _flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_flat(sales_raw(spark, sf_dir))
 
 
+def _cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned rows as the build has written them."""
+    return warehouse_for(spark, sf_dir).processed().drop("part")
+
+
+def _profile_sketch(spark, sf_dir) -> DataFrame:
+    """Sketches per country, merged, next to the exact counts: is every estimate
+    within the sketch's error?"""
+    rows = _cleaned(spark, sf_dir)
+    parts = profile.distinct_sketches(rows.withColumn("part", F.col("retailer_country")), ["part"])
+    found = profile.distinct_estimates(profile.merged_sketches(parts.drop("part"))).withColumnRenamed("column", "c")
+    exact = profile.distinct_counts(rows)
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= profile.sketch_error() * F.col("distinct_count")
+    return exact.join(found, F.col("column") == F.col("c")).select("column", "distinct_count", near.alias("within_error"))
+
+
+_COLOCATED: dict[tuple, dict[str, DataFrame]] = {}
+
+
+def _top_products_colocated(spark, sf_dir) -> DataFrame:
+    """A4 on a fact and a product dimension that are bucketed by the product key."""
+    wh = warehouse_for(spark, sf_dir)
+    if (key := (spark.sparkContext.applicationId, wh.root)) not in _COLOCATED:
+        _COLOCATED[key] = colocated(spark, wh.star(), "dim_product", "product_tk")
+    return REPORTS["top_products"](_COLOCATED[key])
+
+
 def _star(spark, sf_dir):
     return warehouse_for(spark, sf_dir).star()
 
@@ -283,12 +310,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_80_20": lambda s, d: warehouse_for(s, d).processed(),
         "split_sizes": lambda s, d: warehouse_for(s, d).processed().groupBy("part").agg(
             F.count(F.lit(1)).alias("rows")),
-        "duplicate_rows": lambda s, d: duplicate_count(_flat(s, d)),
-        "profile_shape": lambda s, d: profile.shape(_flat(s, d)),
-        "profile_nulls": lambda s, d: profile.null_counts(_flat(s, d)),
-        "profile_distinct": lambda s, d: profile.distinct_counts(_flat(s, d)),
-        "profile_value_counts": lambda s, d: profile.value_counts(_flat(s, d)),
-        "profile_top_values": lambda s, d: profile.top_values(_flat(s, d), 3),
+        "duplicate_rows": lambda s, d: duplicate_count(_cleaned(s, d)),
+        "profile_shape": lambda s, d: profile.shape(_cleaned(s, d)),
+        "profile_nulls": lambda s, d: profile.null_counts(_cleaned(s, d)),
+        "profile_distinct": lambda s, d: profile.distinct_counts(_cleaned(s, d)),
+        "profile_value_counts": lambda s, d: profile.value_counts(_cleaned(s, d)),
+        "profile_top_values": lambda s, d: profile.top_values(_cleaned(s, d), 3),
+        "profile_sketch": _profile_sketch,
         "country_reference": country_reference,
         # the file part, written and read as delimited text
         "csv_file_part": lambda s, d: warehouse_for(s, d).file_part(),
@@ -313,6 +341,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dirty_dim_product": lambda s, d: _dirty(s, d).star()["dim_product"],
         "dirty_dim_retailer": lambda s, d: _dirty(s, d).star()["dim_retailer"],
         "dirty_fact": lambda s, d: _dirty(s, d).star()["fact_sales"],
+        "top_products_colocated": _top_products_colocated,
         # members that only the file has, as placeholders; rejects; the source registry
         "fact_inferred": _fact_inferred,
         "inferred_members": lambda s, d: inferred_rows(_inferred(s, d)[1]),

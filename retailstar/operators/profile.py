@@ -7,17 +7,23 @@ value counts for all columns at once, instead of one job per column.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .dedup import duplicate_count  # noqa: F401  (E6 lives with the other dedup forms)
 
 
+def _quoted(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def long_form(df: DataFrame) -> DataFrame:
     """(column, value) with every value as text; nulls kept as null."""
     cols = [F.col(f"`{c}`").cast("string") for c in df.columns]
     wide = df.select(*[c.alias(n) for c, n in zip(cols, df.columns)])
-    return wide.unpivot([], df.columns, "column", "value")
+    return wide.unpivot([], _quoted(df), "column", "value")
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -35,7 +41,7 @@ def schema_rows(df: DataFrame) -> DataFrame:
 def null_counts(df: DataFrame) -> DataFrame:
     """(column, null_count) from a single aggregate pass."""
     one = df.agg(*[F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in df.columns])
-    return one.unpivot([], df.columns, "column", "null_count").select(
+    return one.unpivot([], _quoted(one), "column", "null_count").select(
         "column", F.coalesce(F.col("null_count"), F.lit(0)).cast("long").alias("null_count"))
 
 
@@ -54,14 +60,64 @@ def distinct_counts(df: DataFrame) -> DataFrame:
         "column", F.coalesce("n", F.lit(0)).cast("long").alias("distinct_count"))
 
 
-def top_values(df: DataFrame, n: int) -> DataFrame:
-    """E5, most frequent first: (column, value, count, rank) of the ``n`` most
-    frequent values per column, equal counts by value.
+def distinct_sketches(df: DataFrame, by: list[str] | None = None, lg_k: int = 14) -> DataFrame:
+    """E4, approximate: a HyperLogLog sketch per column (and group): one row of binary
+    columns named like the columns. Each task sends its sketches, never a value;
+    sketches of parts (days, batches) can be kept and merged (``merged_sketches``)."""
+    of = [c for c in df.columns if c not in (by or [])]
+    return df.groupBy(*(by or [])).agg(*[F.hll_sketch_agg(F.col(f"`{c}`").cast("string"), lg_k).alias(c) for c in of])
+
+
+def merged_sketches(sketches: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One sketch per column (and group) out of the sketches of parts."""
+    of = [c for c in sketches.columns if c not in (by or [])]
+    return sketches.groupBy(*(by or [])).agg(*[F.hll_union_agg(f"`{c}`").alias(c) for c in of])
 
-    ``row_number() <= n`` is planned with a partial window-group limit before
-    the shuffle, so each map task sends at most ``n`` rows per column: a
-    column with millions of distinct values never lands whole in one task."""
-    from pyspark.sql import Window
+
+def sketch_error(lg_k: int = 14) -> float:
+    """Three standard errors of a merged sketch with 2**lg_k registers."""
+    return 3 * 1.04 / math.sqrt(2 ** lg_k)
+
+
+def distinct_estimates(sketches: DataFrame) -> DataFrame:
+    """(column, distinct_estimate) of one row of sketches; nulls are not counted."""
+    each = sketches.select(*[F.hll_sketch_estimate(f"`{c}`").cast("long").alias(c) for c in sketches.columns])
+    return each.unpivot([], _quoted(each), "column", "distinct_estimate")
+
+
+def top_values(df: DataFrame, n: int, support: float = 0.001) -> DataFrame:
+    """E5, most frequent first: (column, value, count, rank) of the ``n`` most
+    frequent values per column, equal counts by value; exact.
+
+    A frequent-items summary of at most 1 / support values per column names every
+    value that more than ``support`` of the rows have; one more pass counts the
+    named values. A column is done if these are all its values, or if its n-th
+    count is above what any unnamed value can have. Only the other columns (no
+    frequent values) go through full value counts, whose ranks are cut before the
+    shuffle (``row_number() <= n`` is a limit per task and group)."""
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
+    plain = text.toDF(*[f"c{i}" for i in range(len(text.columns))])
+    named = plain.freqItems(plain.columns, support).first()
+    spark = df.sparkSession
+    # at most 1 / support values per column
+    candidates = spark.createDataFrame([(c, v) for c, vs in zip(text.columns, named) for v in vs or [] if v is not None],
+                                       "c string, v string")
+    rows = long_form(text).where(F.col("value").isNotNull())
+    hit = rows.join(F.broadcast(candidates), (F.col("column") == F.col("c")) & (F.col("value") == F.col("v")), "left")
+    # values that are not named are one group per column
+    per = hit.groupBy("column", F.col("v").alias("value")).agg(F.count(F.lit(1)).alias("count")).collect()
+    total, done = {}, []
+    for r in per:
+        total[r["column"]] = total.get(r["column"], 0) + r["count"]
+    for c in text.columns:
+        counts = sorted((r["count"] for r in per if r["column"] == c and r["value"] is not None), reverse=True)
+        whole = sum(counts) == total.get(c, 0)
+        if whole or (len(counts) >= n and counts[n - 1] > support * total[c]):
+            done.append(c)
+    known = spark.createDataFrame([tuple(r) for r in per if r["column"] in done and r["value"] is not None],
+                                  "column string, value string, count long")
+    rest = [c for c in df.columns if c not in done]
+    if rest:
+        known = known.unionByName(value_counts(df.select(*[F.col(f"`{c}`") for c in rest])))
     w = Window.partitionBy("column").orderBy(F.desc("count"), "value")
-    return (value_counts(df).withColumn("__r", F.row_number().over(w))
-            .filter(F.col("__r") <= n).withColumnRenamed("__r", "rank"))
+    return known.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)

@@ -62,21 +62,45 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     return orphans_all(child, {fk: (parent, pk)}).select("orphans")
 
 
+#: buckets of row hashes that two multisets are compared by
+BUCKETS = 1_024
+
+
+def row_sums(rows: DataFrame, cols: list[str], side: str) -> DataFrame:
+    """(bucket, expected_rows, actual_rows, low, high): per hash bucket, the rows of
+    both sides (``side`` 1 and 0) and the difference of their sums of 128-bit row
+    hashes. A sum needs no order and no row leaves its task."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols])
+    one, two = F.col("__h1").cast("decimal(38,0)"), F.col("__h2").cast("decimal(38,0)")
+    sign = F.when(F.col(side) == 1, F.lit(1)).otherwise(F.lit(-1)).cast("decimal(1,0)")
+    # a hash passes over nulls, so which cells are null goes in as a text
+    named = rows.withColumns({"__h1": F.xxhash64(*[F.col(f"`{c}`") for c in cols], nulls),
+                              "__h2": F.xxhash64(F.lit("second"), *[F.col(f"`{c}`") for c in cols], nulls)})
+    return named.groupBy(F.pmod("__h1", F.lit(BUCKETS)).alias("bucket")).agg(
+        F.sum(side).alias("expected_rows"), F.sum(1 - F.col(side)).alias("actual_rows"),
+        F.sum(sign * one).alias("low"), F.sum(sign * two).alias("high"))
+
+
 def bag_sums(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """(expected_rows, actual_rows, missing_rows, extra_rows) of two multisets.
 
-    Both sides go into one grouping by the whole row (nulls are equal), as 1 and
-    0 or 0 and 1: one exchange, with map-side combine."""
+    First order-free sums of row hashes per bucket; equal buckets are done. Only rows
+    of buckets that differ are grouped by their values (nulls are equal), as 1 and 0
+    or 0 and 1, so two equal tables shuffle a row of sums per task and bucket."""
     cols = expected.columns
-    both = expected.withColumn("__e", F.lit(1)).withColumn("__a", F.lit(0)).unionByName(
-        actual.select(*cols).withColumn("__e", F.lit(0)).withColumn("__a", F.lit(1)))
-    per = both.groupBy(*cols).agg(F.sum("__e").alias("__se"), F.sum("__a").alias("__sa"))
-    zero = F.lit(0)
-    total = lambda c: F.coalesce(F.sum(c), zero).cast("long")
-    e, a = F.col("__se"), F.col("__sa")
-    return per.agg(total(e).alias("expected_rows"), total(a).alias("actual_rows"),
-                   total(F.greatest(e - a, zero)).alias("missing_rows"),
-                   total(F.greatest(a - e, zero)).alias("extra_rows"))
+    both = expected.withColumn("__e", F.lit(1)).unionByName(actual.select(*[F.col(f"`{c}`") for c in cols]).withColumn("__e", F.lit(0)))
+    per = row_sums(both, cols, "__e")
+    unlike = per.where((F.col("expected_rows") != F.col("actual_rows")) | (F.col("low") != 0) | (F.col("high") != 0))
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols])
+    placed = both.withColumn("__b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols], nulls), F.lit(BUCKETS)))
+    # at most BUCKETS rows
+    left = placed.join(F.broadcast(unlike.select(F.col("bucket").alias("__u"))), F.col("__b") == F.col("__u"))
+    rows = left.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum(F.col("__e") * 2 - 1).alias("__net"))
+    zero, net = F.lit(0), F.col("__net")
+    counts = per.select("expected_rows", "actual_rows", zero.alias("missing_rows"), zero.alias("extra_rows"))
+    found = rows.select(zero.alias("expected_rows"), zero.alias("actual_rows"),
+                        F.greatest(net, zero).alias("missing_rows"), F.greatest(-net, zero).alias("extra_rows"))
+    return counts.unionByName(found).agg(*[F.coalesce(F.sum(c), zero).cast("long").alias(c) for c in counts.columns])
 
 
 def bag_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ build: its sales would multiply.
 
 from __future__ import annotations
 
+import re
+import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..session import release_temporary, scratch_path, table_state
+from ..session import delete_path, release_temporary, scratch_path, shuffle_partitions, table_state
 from ..sinks.writers import write_csv, write_parquet
 from ..sources.files import NULL_TOKEN, checked_cells, good_rows, read_cells, rejected_rows, write_checked
 from ..sources.testdata import TABLES, country_reference, sales_raw
@@ -95,6 +97,32 @@ class Warehouse:
         return out
 
 
+def colocated(spark: SparkSession, star: dict[str, DataFrame], dim: str, key: str,
+              buckets: int | None = None) -> dict[str, DataFrame]:
+    """The star with its fact and one large dimension written in buckets of
+    their join key, sorted, so that they meet without a shuffle however large the
+    dimension is. ``drop_colocated`` removes the two tables.
+
+    Buckets follow the session's shuffle partitions unless given; both tables have
+    the same number, which is what makes the join local."""
+    n, out = buckets or shuffle_partitions(spark), dict(star)
+    for t in (dim, "fact_sales"):
+        table = f"{t}_by_{key}_{uuid.uuid4().hex[:12]}"
+        (star[t].repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", scratch_path(spark, table))
+         .saveAsTable(table))
+        out[t] = spark.table(table)
+    return out
+
+
+def drop_colocated(spark: SparkSession) -> None:
+    """Remove the tables of ``colocated`` from the catalog, with their files."""
+    for t in spark.catalog.listTables():
+        if re.fullmatch(r"\w+_by_\w+_tk_[0-9a-f]{12}", t.name):
+            path = spark.sql(f"DESCRIBE EXTENDED {t.name}").where("col_name = 'Location'").first()["data_type"]
+            spark.sql(f"DROP TABLE IF EXISTS {t.name}")
+            delete_path(spark, path)
+
+
 def build_dimensions(db: dict[str, DataFrame], file_part: DataFrame | None,
                      reference: DataFrame | None, **version) -> dict[str, DataFrame]:
     """N8 (dimension part): definitions of the five dimensions."""
@@ -145,7 +173,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
         part = wh.processed().filter(F.col("part") == "file").drop("part")
         write_csv(part if change_file is None else change_file(part), f"{wh.root}/file_csv", null_token=NULL_TOKEN)
         # the job's own file: line breaks may stand in cells, and its null is no pandas token
-        cells = read_cells(spark, f"{wh.root}/file_csv", part.columns, multi_line=True)
+        cells = read_cells(spark, f"{wh.root}/file_csv", part.columns, multi_line=True, null_token=NULL_TOKEN)
         write_checked(checked_cells(cells, part.schema, na_tokens=[NULL_TOKEN]), f"{wh.root}/file_rows")
     stage("processed", processed)
     stage("reference", lambda: wh.write(country_reference(spark, sf_dir), "reference"))

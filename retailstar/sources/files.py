@@ -60,8 +60,8 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | None =
 
 
 def read_cells(spark: SparkSession, path: str, names: list[str], sep: str = ",", header: bool = True,
-               multi_line: bool = False) -> DataFrame:
-    """All cells as text under ``names``, and in ``_corrupt_record`` the line of a row
+               multi_line: bool = False, null_token: str = "") -> DataFrame:
+    """All cells as text under ``names`` (null: an empty cell or ``null_token``), and in ``_corrupt_record`` the line of a row
     that has another number of cells. A header must have the names (see ``read_delimited``)."""
     reader = _csv(spark, header, sep, multi_line)
     if header:
@@ -69,7 +69,7 @@ def read_cells(spark: SparkSession, path: str, names: list[str], sep: str = ",",
         if have != want:
             raise ValueError(f"header {have} is not {want}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _LINE]])
-    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(schema).csv(path)
+    return reader.option("nullValue", null_token).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _LINE).schema(schema).csv(path)
 
 
 def checked_cells(text: DataFrame, schema: T.StructType, required: list[str] | None = None,

@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, read_documents, sha256, stored
+from .common import annotate, quoted, read_documents, sha256, stored
 
 CHUNK_CHARS = 32_768
 _SPACES = " \n\t\r"
@@ -299,6 +299,7 @@ def encode_documents(docs: DataFrame, keep: list[str], text_col: str = "text", p
         F.col("sha").alias("__sha"), F.col("n_tokens").alias("__n"),
         F.sha2(F.encode("csv", "UTF-8"), 256).alias("__i"),
         F.sha2(F.encode("decoded", "UTF-8"), 256).alias("__d"), F.col("ids").alias("__ids"))
+    keep = [quoted(c) for c in keep]
     joined = far.select(*keep, sha.alias("__key")).join(long, F.col("__key") == F.col("__sha"))
     new = {"n_tokens": "__n", "ids_sha256": "__i", "decoded_sha256": "__d", "ids": "__ids"}
     return near.union(joined.select(*keep, *[F.col(new[f]).alias(f) for f in fields]))

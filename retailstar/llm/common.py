@@ -60,9 +60,10 @@ def annotate(df: DataFrame, text_col: str, fields: dict[str, str], fn: Callable[
     one call of ``fn`` sees, so memory follows the longest single text only.
     """
     prepare(df.sparkSession)
-    frame = df.select(*keep, F.col(text_col).alias(fresh("text_in", df)))
-    schema = T.StructType(list(df.select(*keep).schema) + [
-        T.StructField(n, T._parse_datatype_string(t)) for n, t in fields.items()])
+    # plain names on the way through Python: a column's own name may hold anything
+    frame = df.select(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keep)], F.col(quoted(text_col)).alias("text_in"))
+    schema = T.StructType(list(frame.drop("text_in").schema) + [
+        T.StructField(f"f{i}", T._parse_datatype_string(t)) for i, t in enumerate(fields.values())])
     arrow = to_arrow_schema(schema)
     n_keep = len(keep)
 
@@ -73,15 +74,20 @@ def annotate(df: DataFrame, text_col: str, fields: dict[str, str], fn: Callable[
                 got = fn(texts[lo:hi])
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(lo, hi - lo) for c in batch.columns[:n_keep]]
-                    + [pa.array(got[f.name], type=f.type) for f in list(arrow)[n_keep:]], schema=arrow)
+                    + [pa.array(got[n], type=f.type) for n, f in zip(fields, list(arrow)[n_keep:])], schema=arrow)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(run, schema).toDF(*keep, *fields)
 
 
 def sha256(text: str | bytes) -> str:
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")).hexdigest()
 
 
+def quoted(name: str) -> str:
+    """A column's name as it must stand in an expression, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fresh(name: str, *frames: DataFrame) -> str:
     """A column name that none of the frames has (names compare without case)."""
     used = {c.lower() for f in frames for c in f.columns}
@@ -110,5 +116,5 @@ def pieces(rows: int, per_piece: int) -> int:
     return max(1, math.ceil(rows / per_piece))
 
 
-__all__ = ["F", "annotate", "fresh", "pieces", "prepare", "ranked", "read_documents", "sha256",
+__all__ = ["F", "annotate", "fresh", "pieces", "prepare", "quoted", "ranked", "read_documents", "sha256",
            "shuffle_partitions", "stored"]

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import annotate, read_documents, stored
+from .common import annotate, quoted, read_documents, stored
 
 # fixed values: phrases and labels of the base scan
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -205,7 +205,7 @@ def verified(span_words: list[str], from_word: int, spans: list[dict], min_share
 def scan_documents(docs: DataFrame, keep: list[str], text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
     """``keep`` plus base counts, labels and score of every whole text."""
     spark = docs.sparkSession
-    named = docs.select(*[F.col(c).alias(f"k__{i}") for i, c in enumerate(keep)], F.col(text_col).alias("text"))
+    named = docs.select(*[F.col(quoted(c)).alias(f"k__{i}") for i, c in enumerate(keep)], F.col(text_col).alias("text"))
     kept = [f"k__{i}" for i in range(len(keep))]
     rows = stored(annotate(named, "text", BASE | HITS, base_and_hits, kept).withColumn(
         "row", F.monotonically_increasing_id()), "license-rows")

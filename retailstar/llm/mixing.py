@@ -17,8 +17,9 @@ Highest quotients need no queue: for a divisor d a source has
 few seats go by quotient.
 
 Defined results: a null text has size 0; null sources are one source, last in
-order; a source without words has target 0; repeated rows are separate
-documents in row order; an empty table gives an empty result.
+order; a source without words has target 0; repeated rows are separate documents,
+numbered, and any of them may stand for another; another layout of the same table
+gives the same result; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import annotate, fresh, read_documents, stored
+from ..operators.keys import dense_number
+from ..session import release_temporary
+from .common import annotate, fresh, quoted, read_documents, stored
 from . import words as W
 
 BLOCK_WORDS = 16
@@ -93,45 +96,72 @@ def apportion(df: DataFrame, votes: str, total: int, out: str) -> DataFrame:
 
 
 def seats_within(df: DataFrame, group: str, votes: str, seats: str, out: str) -> DataFrame:
-    """Sainte-Lague within every group at once, by the rounds of the bisection
-    as columns: each group's divisor is found by windows over its few shards."""
+    """Sainte-Lague within every group at once: the highest quotients, out of those
+    that the bounds on the group's divisor leave open (windows over its shards)."""
     w = Window.partitionBy(group)
     v = F.sum(votes).over(w)
     df = df.withColumn("__v", v).withColumn("__n", F.count(F.lit(1)).over(w))
-    floor_ = F.when(F.col("__v") > 0, F.floor(F.col(seats) * F.col(votes) / F.col("__v")).cast("long")).otherwise(F.lit(0))
-    # start below: floors of the exact shares, less one, never exceed the Sainte-Lague seats by much
-    df = df.withColumn("__low", F.greatest(floor_ - 1, F.lit(0)))
+    # the divisor that gives all seats lies between V / (S + n/2) and V / (S - n/2): at the
+    # one too few seats are given, at the other too many; one more each way for rounding
+    share, half = F.col(votes) / F.col("__v"), F.col("__n") / 2
+    at = lambda s: F.floor(share * s + F.lit(0.5)).cast("long")
+    least = F.when((F.col("__v") > 0) & (F.col(seats) > half), F.greatest(at(F.col(seats) - half) - 1, F.lit(0))).otherwise(F.lit(0))
+    most = F.when(F.col("__v") > 0, at(F.col(seats) + half) + 1).otherwise(F.lit(0))
+    df = df.withColumn("__low", least).withColumn("__high", F.greatest(most, F.col("__low")))
     df = df.withColumn("__rest", F.col(seats) - F.sum("__low").over(w))
-    # the next few quotients of every shard, the highest __rest of the group are taken
-    q = df.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("__k"))
-    q = q.withColumn("__q", F.col(votes) / (2 * (F.col("__low") + F.col("__k")) + 1))
+    # every quotient that may be among the highest: 2 n + a few per group of n
+    q = df.select("*", F.explode(F.sequence(F.col("__low"), F.col("__high"))).alias("__k"))
+    q = q.withColumn("__q", F.col(votes) / (2 * F.col("__k") + 1))
     q = q.withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy(F.desc("__q"), "tie")))
     taken = q.groupBy("tie").agg(F.sum(F.when((F.col("__r") <= F.col("__rest")) & (F.col("__v") > 0), 1)
                                        .otherwise(0)).alias("__got"))
     taken = taken.withColumnRenamed("tie", "__tie")
     return (df.join(taken, F.col("tie") == F.col("__tie"))
             .withColumn(out, F.col("__low") + F.col("__got"))
-            .drop("__v", "__n", "__low", "__rest", "__tie", "__got"))
+            .drop("__v", "__n", "__low", "__high", "__rest", "__tie", "__got"))
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, 0, 1, ... among rows of equal content (column ``same``).
+
+    Copies are counted per written file (bits of ``row``) and numbered within it, the
+    counts of the files before are added: however many copies there are, no group is
+    larger than a file or than the number of files."""
+    file = rows.withColumn("file", F.shiftright("row", 33))
+    per = file.groupBy(F.col("same").alias("c_same"), F.col("file").alias("c_file")).agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("c_same").orderBy("c_file").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("c_same", "c_file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    own = file.withColumn("copy", F.row_number().over(Window.partitionBy("same", "file").orderBy("row")) - 1)
+    return own.join(per, (F.col("same") == F.col("c_same")) & (F.col("file") == F.col("c_file"))).select(
+        *rows.columns, (F.col("copy") + F.col("earlier")).alias("copy"))
 
 
 def plan_mix(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", source_col: str = "source",
              text_col: str = "text", weights: tuple = WEIGHTS, max_repeats: int = MAX_REPEATS,
-             block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: int = 7) -> DataFrame:
+             block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: int = 7,
+             also: list[str] | None = None) -> DataFrame:
     """``keep`` plus size, source_size, target, taken and copies of every row.
 
+    Rows are ordered by id, source and text, and by the columns ``also``; only rows
+    equal in all of these are told apart by where they were read.
+
     ``taken`` counts words; ``copies`` counts whole documents for a mix that
     does not cut any: full turns, and one more where the run covers the middle.
     """
-    named = docs.select(*[F.col(c).alias(f"k__{i}") for i, c in enumerate(keep)],
-                        F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
+    also = also or []
+    named = docs.select(*[F.col(quoted(c)).alias(f"k__{i}") for i, c in enumerate(keep)],
+                        F.col(quoted(id_col)).alias("id"), F.col(quoted(source_col)).alias("source"),
+                        F.col(quoted(text_col)).alias("text"), *[F.col(quoted(c)).alias(f"o__{i}") for i, c in enumerate(also)])
     kept = [f"k__{i}" for i in range(len(keep))]
-    sized = annotate(named, "text", {"size": "long"}, n_words, [*kept, "id", "source"])
-    # the identity of a row is fixed by writing it
-    rows = stored(sized.withColumn("row", F.monotonically_increasing_id()), "mix-rows")
+    # what a row is, wherever it is read
+    content = F.md5(F.to_json(F.struct("id", "source", F.md5("text").alias("text"), *[f"o__{i}" for i in range(len(also))])))
+    sized = annotate(named.withColumn("same", content), "text", {"size": "long"}, n_words, [*kept, "id", "source", "same"])
+    rows = numbered_copies(stored(sized.withColumn("row", F.monotonically_increasing_id()), "mix-rows"))
     per = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
     # one row per source; its number by code point, null last
-    numbered = stored(per.withColumn("source_no", F.row_number().over(
-        Window.orderBy(F.col("source").asc_nulls_last())) - 1), "mix-sources")
+    numbered = stored(dense_number(per, [F.col("source").asc_nulls_last()], "no_").select(
+        "source", "words", "docs", (F.col("no_") - 1).alias("source_no")), "mix-sources")
+    release_temporary(docs.sparkSession)
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("source_no") % len(weights) + 1).cast("int"))
     goal = stored(targets(numbered, weight, max_repeats), "mix-targets")
     total = goal.agg(F.sum("target")).first()[0] or 0.0
@@ -144,7 +174,7 @@ def plan_mix(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", source
     plan = stored(plan, "mix-plan")
     same = F.col("source").eqNullSafe(F.col("p_source"))
     # the plan has one row per source; the planner broadcasts it while it is small
-    placed = rows.join(plan, same).withColumn("order", F.xxhash64(F.lit(seed), "id", "row"))
+    placed = rows.join(plan, same).withColumn("order", F.xxhash64(F.lit(seed), "same", "copy"))
     placed = placed.withColumn("shard", F.pmod(F.shiftright("order", 20), F.col("shards")))
     shard = placed.groupBy("source_no", "shard").agg(F.sum("size").alias("line"), F.first("blocks").alias("blocks"))
     shard = shard.withColumn("tie", F.struct("source_no", "shard"))
@@ -152,7 +182,7 @@ def plan_mix(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", source
         F.col("source_no").alias("q_no"), F.col("shard").alias("q_shard"), "line", "quota")
     quota = stored(quota, "mix-quotas")
     d = placed.join(quota, (F.col("source_no") == F.col("q_no")) & (F.col("shard") == F.col("q_shard")))
-    w = Window.partitionBy("source_no", "shard").orderBy("order", "row").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy("source_no", "shard").orderBy("order", "same", "copy").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("at", F.coalesce(F.sum("size").over(w), F.lit(0)))
     want = F.least(F.col("quota") * block_words, F.col("line") * max_repeats)
     turns = F.when(F.col("line") > 0, F.floor(want / F.col("line"))).otherwise(F.lit(0)).cast("long")
@@ -183,11 +213,12 @@ def mix_documents(docs: DataFrame, *, id_col: str = "doc_id", source_col: str =
     """
     row = fresh("mix_row", docs)
     base = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
-    plan = plan_mix(base, [row], id_col=id_col, source_col=source_col, text_col=text_col, **kw)
+    plan = plan_mix(base, [row], id_col=id_col, source_col=source_col, text_col=text_col,
+                    also=[c for c in docs.columns if c not in (id_col, source_col, text_col)], **kw)
     plan = plan.where("copies > 0").select(F.col(row).alias(f"{row}_p"), F.col("copies").alias(f"{row}_n"))
     out = base.join(plan, F.col(row) == F.col(f"{row}_p")).withColumn(
         f"{row}_t", F.explode(F.sequence(F.lit(1), F.col(f"{row}_n"))))
-    return out.select(*docs.columns)
+    return out.select(*[quoted(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

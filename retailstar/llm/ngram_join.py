@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from . import packs as P
 from . import words as W
-from .common import fresh, read_documents, stored
+from .common import fresh, quoted, read_documents, stored
 from .components import components
 
 SHINGLE = 3
@@ -418,7 +418,8 @@ def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     found = join_documents(base, id_col=row, text_col=text_col, **kw)
     keep = found.where("n_shingles = 0").select(F.col("doc_id").alias(f"{row}_k")).union(
         _first_rows(base, found, row, id_col))
-    return base.join(keep, F.col(row) == F.col(f"{row}_k"), "left_semi").select(*docs.columns)
+    return base.join(keep, F.col(row) == F.col(f"{row}_k"), "left_semi").select(
+        *[quoted(c) for c in docs.columns])
 
 
 def _first_rows(base: DataFrame, found: DataFrame, row: str, id_col: str) -> DataFrame:

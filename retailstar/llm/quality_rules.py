@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import annotate, fresh, prepare, read_documents
+from .common import annotate, fresh, prepare, quoted, read_documents
 
 #: symbols of the base statistics
 SYMBOLS = "#*$%&|<>"
@@ -234,7 +234,8 @@ def filter_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     prefix = fresh("q__", docs)
     while any(c.lower().startswith(prefix) for c in docs.columns):
         prefix = "_" + prefix
-    return text_stats(docs, docs.columns, prefix=prefix).where(verdict(rules, prefix)).select(*docs.columns)
+    return text_stats(docs, docs.columns, prefix=prefix).where(verdict(rules, prefix)).select(
+        *[quoted(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, fresh, read_documents, sha256
+from .common import annotate, fresh, quoted, read_documents, sha256
 
 #: kinds in the order in which equal starts are listed
 KINDS = ("assign", "access", "hex", "key", "armour", "signed")
@@ -270,7 +270,7 @@ def redact_documents(docs: DataFrame, mark: str = "[secret]", text_col: str = "t
         elif c == "n_chars":
             cols.append(F.coalesce(F.length(name), F.col(c)).cast(kind).alias(c))
         else:
-            cols.append(F.col(c))
+            cols.append(F.col(quoted(c)))
     return out.select(*cols)
 
 

@@ -93,3 +93,41 @@ def test_highest_quotients(spark, votes, total):
         best = max(range(len(votes)), key=lambda i: (votes[i] / (2 * seats[i] + 1), -i))
         seats[best] += 1
     assert got == dict(enumerate(seats))
+
+
+def layouts(spark, df, tmp_path):
+    df.repartition(1).write.parquet(str(tmp_path / "a"))
+    df.repartition(9).sortWithinPartitions("text").write.parquet(str(tmp_path / "b"))
+    return [spark.read.parquet(str(tmp_path / n)) for n in "ab"]
+
+
+def test_another_layout_gives_the_same_rows(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(3000, "z " * 40, "en", "a", 80)] * 70 + [(None, "q r s", "en", "b", 5)] * 40 + [(None, None, None, None, None)] * 5
+    df = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    one, two = layouts(spark, df, tmp_path)
+    cols = ["doc_id", "size", "source_size", "target", "taken"]
+    first = sorted(map(str, plan(one, shard_rows=100).select(cols).collect()))
+    assert first == sorted(map(str, plan(two, shard_rows=100).select(cols).collect()))
+    mixed = [sorted(map(str, mixing.mix_documents(d, shard_rows=100).collect())) for d in (one, two)]
+    assert mixed[0] == mixed[1]
+
+
+def test_copies_are_numbered(spark):
+    df = spark.range(0, 900, 1, 7).select((F.col("id") % 3).cast("string").alias("same"), F.monotonically_increasing_id().alias("row"))
+    got = mixing.numbered_copies(df).groupBy("same").agg(F.sort_array(F.collect_list("copy")).alias("c")).collect()
+    assert [r.c for r in got] == [list(range(300))] * 3
+
+
+@pytest.mark.parametrize("groups", [
+    [([9000] + [100] * 10, 50)], [([5] * 7, 3), ([1] * 40, 11)], [([1, 2, 3, 400], 1), ([7], 9), ([0, 0, 3], 5), ([0, 0], 0)],
+    [([10 ** 6 + i * 17 for i in range(30)] + [1, 2, 3], 4000), ([3, 1, 1, 1, 1, 1], 4)]])
+def test_highest_quotients_within_groups(spark, groups):
+    rows = [(g, i, v, seats) for g, (votes, seats) in enumerate(groups) for i, v in enumerate(votes)]
+    df = spark.createDataFrame(rows, "g long, i long, v long, s long").withColumn("tie", F.struct("g", "i"))
+    got = {(r.g, r.i): r.out for r in mixing.seats_within(df, "g", "v", "s", "out").collect()}
+    for g, (votes, total) in enumerate(groups):
+        seats = [0] * len(votes)
+        for _ in range(total if sum(votes) else 0):
+            seats[max(range(len(votes)), key=lambda i: (votes[i] / (2 * seats[i] + 1), -i))] += 1
+        assert [got[g, i] for i in range(len(votes))] == seats

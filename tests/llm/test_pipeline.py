@@ -72,3 +72,12 @@ def test_hot_duplicates_leave_one(spark):
     docs = spark.range(600).select("id", F.lit("a b c d e f g h").alias("text")).withColumnRenamed("id", "doc_id")
     assert C.near_copies(spark, docs, SF).collect()[0].doc_id == 0
     assert C.near_copies(spark, docs, SF).count() == 1
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = docs.withColumns({"a.b": F.lit(1), "c`d": F.lit("x"), "row": F.col("doc_id"), "TEXT_in": F.lit(2.0)})
+    for name, stage in C.STAGES:
+        odd = stored(stage(spark, odd, SF), f"names-{name}")
+        assert name == "encode" or odd.columns == [*docs.columns, "a.b", "c`d", "row", "TEXT_in"]
+    assert odd.count() > 0

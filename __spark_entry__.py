@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -152,11 +151,12 @@ def _sql_view_country_year(spark, sf_dir) -> DataFrame:
 def _fact_inner(spark, sf_dir) -> DataFrame:
     """The database's sales looked up by source id in the current dimension rows
     (inner, J7), inserted into a catalog table under the shared folder (K5)."""
-    star, table = _star(spark, sf_dir), f"fact_inner_{uuid.uuid4().hex[:12]}"
+    # one table per build, whatever the number of calls
+    star, table = _star(spark, sf_dir), f"fact_inner_{warehouse_for(spark, sf_dir).root.rpartition('-')[2]}"
     rows = fact_by_source_id(_db(spark, sf_dir)["sales"], star)
     columns = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION '{scratch_path(spark, table)}'")
-    insert_into(rows, table)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet LOCATION '{scratch_path(spark, table)}'")
+    insert_into(rows, table, overwrite=True)
     return spark.table(table)
 
 

@@ -7,7 +7,7 @@ partition a global window needs, by one path for inputs of any size:
    tiebreak, the same in every retry of a task;
 2. they are range-partitioned on the order key, then on all other columns, then
    on the tiebreak, sorted inside each range and written with their position.
-   The number of ranges follows the bytes written in step 1. A group of
+   The number of ranges follows the bytes written in step 1 (``ranges_for``). A group of
    identical rows, even a third of the input, is spread over several ranges;
 3. the rows per range (one number per range) shift each position.
 
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import temporary_table, written_bytes
+from ..session import shuffle_partitions, temporary_table, written_bytes
 from .joins import lookup_join
 
 _TIE = "__rs_tie"
@@ -32,8 +32,9 @@ _MID = "__rs_mid"
 _RANGE = "__rs_range"
 _OFF = "__rs_off"
 _POS_BITS = 33  # monotonically_increasing_id keeps the partition index above bit 33
-#: written bytes (compressed) that one range sorts
-RANGE_BYTES = 16 << 20
+#: written bytes (compressed) that one range sorts; a smaller table is dealt to the
+#: session's shuffle partitions down to LEAST_BYTES each, a larger one to MAX_RANGES
+RANGE_BYTES, LEAST_BYTES, MAX_RANGES = 256 << 20, 1 << 20, 50_000
 
 
 def sort_spec(o: str | Column) -> Column:
@@ -41,13 +42,19 @@ def sort_spec(o: str | Column) -> Column:
     return F.col(o).asc_nulls_first() if isinstance(o, str) else o
 
 
+def ranges_for(size: int, at_hand: int) -> int:
+    """How many ranges a table of ``size`` written bytes is sorted in. The driver adds
+    up one count per range, so their number is bounded; beyond, ranges grow."""
+    return max(1, min(MAX_RANGES, max(math.ceil(size / RANGE_BYTES), min(at_hand, math.ceil(size / LEAST_BYTES)))))
+
+
 def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *, partitions: int | None = None,
                         out_type: str = "long") -> tuple[DataFrame, int]:
     """``dense_number`` plus the number of rows."""
     spark = df.sparkSession
     cols = df.columns
     rows, path = temporary_table(df, "to-number")
-    n_ranges = partitions or max(1, math.ceil(written_bytes(spark, path) / RANGE_BYTES))
+    n_ranges = partitions or ranges_for(written_bytes(spark, path), shuffle_partitions(spark))
     tied = rows.withColumn(_TIE, F.monotonically_increasing_id())
     keys = [sort_spec(o) for o in order] + [F.col(f"`{c}`").asc_nulls_first() for c in cols] + [F.col(_TIE)]
     staged = (tied.repartitionByRange(n_ranges, *keys).sortWithinPartitions(*keys)
@@ -63,7 +70,7 @@ def numbered_with_total(df: DataFrame, order: list, out: str = "rn", *, partitio
                                T.StructField(_OFF, T.LongType(), False)])
     off_df = spark.createDataFrame(offsets, off_schema)
     pos = F.col(_MID).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
-    # one row per RANGE_BYTES of the input
+    # one row per range, at most MAX_RANGES
     numbered = (stored.join(F.broadcast(off_df), _RANGE)
                 .withColumn(out, (F.col(_OFF) + pos + 1).cast(out_type)))
     return numbered.select(*cols, out), run

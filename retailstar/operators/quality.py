@@ -6,7 +6,7 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _OPS = {"==": operator.eq, ">=": operator.ge, "<=": operator.le, ">": operator.gt,
@@ -66,16 +66,20 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 BUCKETS = 1_024
 
 
+def row_hash(cols: list[str], *before: Column) -> Column:
+    """A 64-bit hash of a row. A hash passes over nulls, so which cells are null goes
+    in as a text."""
+    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols])
+    return F.xxhash64(*before, *[F.col(f"`{c}`") for c in cols], nulls)
+
+
 def row_sums(rows: DataFrame, cols: list[str], side: str) -> DataFrame:
     """(bucket, expected_rows, actual_rows, low, high): per hash bucket, the rows of
     both sides (``side`` 1 and 0) and the difference of their sums of 128-bit row
     hashes. A sum needs no order and no row leaves its task."""
-    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols])
     one, two = F.col("__h1").cast("decimal(38,0)"), F.col("__h2").cast("decimal(38,0)")
     sign = F.when(F.col(side) == 1, F.lit(1)).otherwise(F.lit(-1)).cast("decimal(1,0)")
-    # a hash passes over nulls, so which cells are null goes in as a text
-    named = rows.withColumns({"__h1": F.xxhash64(*[F.col(f"`{c}`") for c in cols], nulls),
-                              "__h2": F.xxhash64(F.lit("second"), *[F.col(f"`{c}`") for c in cols], nulls)})
+    named = rows.withColumns({"__h1": row_hash(cols), "__h2": row_hash(cols, F.lit("second"))})
     return named.groupBy(F.pmod("__h1", F.lit(BUCKETS)).alias("bucket")).agg(
         F.sum(side).alias("expected_rows"), F.sum(1 - F.col(side)).alias("actual_rows"),
         F.sum(sign * one).alias("low"), F.sum(sign * two).alias("high"))
@@ -84,23 +88,23 @@ def row_sums(rows: DataFrame, cols: list[str], side: str) -> DataFrame:
 def bag_sums(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """(expected_rows, actual_rows, missing_rows, extra_rows) of two multisets.
 
-    First order-free sums of row hashes per bucket; equal buckets are done. Only rows
-    of buckets that differ are grouped by their values (nulls are equal), as 1 and 0
-    or 0 and 1, so two equal tables shuffle a row of sums per task and bucket."""
-    cols = expected.columns
+    One pass for order-free sums of row hashes per bucket (run at once; at most
+    BUCKETS rows reach the driver). If all agree that is the answer. Else the rows of
+    the buckets that differ, and only these, are grouped by their values (nulls are
+    equal), as 1 and -1."""
+    spark, cols = expected.sparkSession, expected.columns
     both = expected.withColumn("__e", F.lit(1)).unionByName(actual.select(*[F.col(f"`{c}`") for c in cols]).withColumn("__e", F.lit(0)))
-    per = row_sums(both, cols, "__e")
-    unlike = per.where((F.col("expected_rows") != F.col("actual_rows")) | (F.col("low") != 0) | (F.col("high") != 0))
-    nulls = F.concat(*[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in cols])
-    placed = both.withColumn("__b", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in cols], nulls), F.lit(BUCKETS)))
-    # at most BUCKETS rows
-    left = placed.join(F.broadcast(unlike.select(F.col("bucket").alias("__u"))), F.col("__b") == F.col("__u"))
-    rows = left.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum(F.col("__e") * 2 - 1).alias("__net"))
-    zero, net = F.lit(0), F.col("__net")
-    counts = per.select("expected_rows", "actual_rows", zero.alias("missing_rows"), zero.alias("extra_rows"))
-    found = rows.select(zero.alias("expected_rows"), zero.alias("actual_rows"),
-                        F.greatest(net, zero).alias("missing_rows"), F.greatest(-net, zero).alias("extra_rows"))
-    return counts.unionByName(found).agg(*[F.coalesce(F.sum(c), zero).cast("long").alias(c) for c in counts.columns])
+    per = row_sums(both, cols, "__e").collect()
+    rows_of = [sum(r[c] for r in per) for c in ("expected_rows", "actual_rows")]
+    unlike = [(r["bucket"],) for r in per if r["expected_rows"] != r["actual_rows"] or r["low"] or r["high"]]
+    if not unlike:
+        return spark.createDataFrame([(*rows_of, 0, 0)], "expected_rows long, actual_rows long, missing_rows long, extra_rows long")
+    left = both.withColumn("__b", F.pmod(row_hash(cols), F.lit(BUCKETS))).join(
+        F.broadcast(spark.createDataFrame(unlike, "__u long")), F.col("__b") == F.col("__u"))
+    net = left.groupBy(*[F.col(f"`{c}`") for c in cols]).agg(F.sum(F.col("__e") * 2 - 1).alias("__net"))
+    total = lambda c: F.coalesce(F.sum(F.greatest(c, F.lit(0))), F.lit(0)).cast("long")
+    return net.agg(F.lit(rows_of[0]).cast("long").alias("expected_rows"), F.lit(rows_of[1]).cast("long").alias("actual_rows"),
+                   total(F.col("__net")).alias("missing_rows"), total(-F.col("__net")).alias("extra_rows"))
 
 
 def bag_difference(expected: DataFrame, actual: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """The analytic view and the report pack over the star schema.
 
 Every report is one aggregation over the fact joined to the dimensions it
-needs (dimensions go through the size-checked broadcast, so the fact is not
-shuffled for the lookups while they are small). Sums are exact decimal sums
+needs. The planner broadcasts a dimension while it is under its threshold; for a
+larger one ``warehouse.colocated`` keeps it and the fact in buckets of their key. Sums are exact decimal sums
 reported as double; averages are exact sum / count.
 """
 

@@ -112,3 +112,9 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
     from retailstar.session import is_local
     assert is_local("local") and is_local("local[8]")
     assert not is_local("local-cluster[3,2,1024]") and not is_local("yarn") and not is_local("spark://h:7077")
+
+
+def test_ranges_follow_the_bytes_and_are_bounded():
+    from retailstar.operators import keys as K
+    assert K.ranges_for(0, 8) == 1 and K.ranges_for(3 << 20, 8) == 3 and K.ranges_for(1 << 30, 8) == 8
+    assert K.ranges_for(100 << 30, 200) == 400 and K.ranges_for(100 << 40, 200) == K.MAX_RANGES

@@ -21,7 +21,9 @@ _ROOT = str(Path(__file__).resolve().parents[2])
 
 
 #: bytes of texts that go to a Python worker at once (a single longer row goes alone)
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: characters that one call of a text function sees (one text at least)
+SLICE_CHARS = 1 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -70,7 +72,7 @@ def annotate(df: DataFrame, text_col: str, fields: dict[str, str], fn: Callable[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(n_keep).to_pylist()
-            for lo, hi in slices(texts):
+            for lo, hi in slices(texts, SLICE_CHARS):
                 got = fn(texts[lo:hi])
                 yield pa.RecordBatch.from_arrays(
                     [c.slice(lo, hi - lo) for c in batch.columns[:n_keep]]

@@ -156,7 +156,8 @@ def plan_mix(docs: DataFrame, keep: list[str], *, id_col: str = "doc_id", source
     # what a row is, wherever it is read
     content = F.md5(F.to_json(F.struct("id", "source", F.md5("text").alias("text"), *[f"o__{i}" for i in range(len(also))])))
     sized = annotate(named.withColumn("same", content), "text", {"size": "long"}, n_words, [*kept, "id", "source", "same"])
-    rows = numbered_copies(stored(sized.withColumn("row", F.monotonically_increasing_id()), "mix-rows"))
+    # written twice: the first fixes where a row stands, the second is read by all that follows
+    rows = stored(numbered_copies(stored(sized.withColumn("row", F.monotonically_increasing_id()), "mix-rows")), "mix-numbered")
     per = rows.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
     # one row per source; its number by code point, null last
     numbered = stored(dense_number(per, [F.col("source").asc_nulls_last()], "no_").select(

@@ -12,39 +12,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from retailstar.llm import bpe, mixing, ngram_join, quality_rules, secret_scan
-from retailstar.llm.common import prepare, read_documents, stored
+from retailstar.llm.common import lean_workers, read_documents, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rule and the learned list keep (operator 8)."""
-    prepare(spark)
+    lean_workers(spark)
     return quality_rules.filter_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one of smallest id:
     five-word shingles, similarity 0.8 or more (operator 10)."""
-    prepare(spark)
+    lean_workers(spark)
     return ngram_join.drop_near_copies(docs, shingle=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every secret is replaced by a mark; no document goes (operator 4)."""
-    prepare(spark)
+    lean_workers(spark)
     return secret_scan.redact_documents(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents, as often as their source's target asks for (operator 6)."""
-    prepare(spark)
+    lean_workers(spark)
     return mixing.mix_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokens of every document, with digests of ids and decoded text (operator 1)."""
-    prepare(spark)
+    lean_workers(spark)
     return bpe.encode_documents(docs, ["doc_id", "source"], with_ids=True)
 
 
@@ -62,6 +62,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
+    lean_workers(spark)
     docs = read_documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -25,27 +25,32 @@ BATCH_BYTES = 4 << 20
 #: characters that one call of a text function sees (one text at least)
 SLICE_CHARS = 1 << 20
 #: a Python worker gives large blocks back when they are freed; else idle workers keep
-#: what their largest batch took, on top of what the next stage's workers take
+#: what their largest batch took, while those of the next stage take theirs
 _FREE_MEMORY = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576",
                 "ARROW_DEFAULT_MEMORY_POOL": "system"}
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers started from another folder import this package and give
-    memory back, and bound the Arrow batches they get, unless the session has a
-    lower bound."""
+    """Let Python workers started from another folder import this package, and
+    bound the Arrow batches they get, unless the session has a lower bound."""
     have = spark.conf.get(_BATCH_CONF, "67108864").rstrip("bB")
     if not have.isdigit() or not 0 < int(have) <= BATCH_BYTES:
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     env = spark.sparkContext.environment
-    for name, value in _FREE_MEMORY.items():
-        env.setdefault(name, value)
     have = env.get("PYTHONPATH", "")
     if _ROOT not in have.split(":"):
         env["PYTHONPATH"] = f"{_ROOT}:{have}" if have else _ROOT
 
 
+def lean_workers(spark: SparkSession) -> None:
+    """``prepare`` for a job of many stages: Python workers give large freed blocks
+    back, for some more CPU time."""
+    prepare(spark)
+    for name, value in _FREE_MEMORY.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -7,9 +7,12 @@ in the OpenSSH container (on one line or wrapped over several), armoured private
 keys (also with header lines, or enciphered as these say), and signed tokens whose header
 and payload decode to JSON with an algorithm.
 
-Whole texts, no shuffle. Defined results: a null or empty text has no spans
-(``base_sha256`` of the empty string, ``spans`` empty); repeated rows each get
-their row; positions are code points, the end exclusive.
+Whole texts, no shuffle, time linear in the text: keys over several lines are
+confirmed from the headers of their structure. A confirmed key is one span, what
+starts inside it is no further one. Defined results: a null or empty text has no
+spans (``base_sha256`` of the empty string, ``spans`` empty); a very long text is
+scanned whole; repeated rows each get their row; an empty table gives an empty
+result; positions are code points, the end exclusive.
 """
 
 from __future__ import annotations
@@ -18,6 +21,9 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_left
+from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,87 +51,103 @@ _NEXT16 = re.compile(_EOL + r"([0-9A-Fa-f]+)")
 _PADDING = re.compile(r"={0,2}")
 #: header lines (RFC 1421) may stand before the body
 _ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----"
-                     r"((?:(?:\\[rn]|\s)*[A-Za-z][A-Za-z0-9-]*:[^\r\n\\]*(?=[\r\n\\]))*)"
+                     r"((?:(?:\\[rn]|\s)*[A-Za-z][A-Za-z0-9-]*:(?:(?!-----)[^\r\n\\])*(?=[\r\n\\]))*)"
                      r"([A-Za-z0-9+/=\s\\]+?)-----END \1-----")
 _ENCRYPTED = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED")
 _DEK = re.compile(r"DEK-Info:\s*[A-Za-z0-9-]+,\s*[0-9A-Fa-f]{16,}")
 _SIGNED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]*")
 
-_INTEGER, _BITS, _OCTETS, _OID, _SEQUENCE = 0x02, 0x03, 0x04, 0x06, 0x30
+_INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
 
 
-def der_children(data: bytes) -> list[tuple[int, bytes]] | None:
-    """The (tag, value) items that fill ``data`` exactly; None if lengths don't fit."""
-    items, i = [], 0
-    while i < len(data):
-        if i + 2 > len(data):
+#: bytes ``i`` to ``j`` of a candidate, decoded only where the structure is looked at
+Reader = Callable[[int, int], bytes]
+
+
+def der_items(get: Reader, i: int, end: int, most: int) -> list[tuple[int, int, int]] | None:
+    """The (tag, value start, value end) items that fill ``i`` to ``end`` exactly; None if
+    lengths don't fit or there are more than ``most`` (no key structure has as many)."""
+    items = []
+    while i < end:
+        head = get(i, min(i + 6, end))
+        if len(items) == most or len(head) < 2:
             return None
-        tag, n, i = data[i], data[i + 1], i + 2
+        n, k = head[1], 0
         if n & 0x80:
             k = n & 0x7F
-            if not 1 <= k <= 4 or i + k > len(data):
+            if not 1 <= k <= 4 or len(head) < 2 + k:
                 return None
-            n, i = int.from_bytes(data[i:i + k], "big"), i + k
-        if i + n > len(data):
+            n = int.from_bytes(head[2:2 + k], "big")
+        i += 2 + k
+        if i + n > end:
             return None
-        items.append((tag, data[i:i + n]))
+        items.append((head[0], i, i + n))
         i += n
     return items
 
 
-def is_der_key(data: bytes) -> bool:
-    """A private key: PKCS#1 or DSA (a row of integers), PKCS#8 (plain or encrypted) or SEC 1."""
-    top = der_children(data)
-    if not top or len(top) != 1 or top[0][0] != _SEQUENCE:
-        return False
-    inner = der_children(top[0][1])
-    if inner and [t for t, _ in inner] == [_SEQUENCE, _OCTETS]:
+def der_key_size(get: Reader, size: int) -> int | None:
+    """Bytes of the private key that starts here: PKCS#1 or DSA (a row of integers),
+    PKCS#8 (plain or encrypted) or SEC 1. A few headers are read, however long it is."""
+    head = get(0, 6)
+    if len(head) < 2 or head[0] != _SEQUENCE:
+        return None
+    k = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[1] & 0x80 and not 1 <= k <= 4:
+        return None
+    begin = 2 + k
+    end = begin + (int.from_bytes(head[2:2 + k], "big") if k else head[1])
+    if end > size or get(begin, begin + 1) not in (b"\x02", b"\x30"):
+        return None
+    inner = der_items(get, begin, end, 10)
+    if not inner:
+        return None
+    tags = [t for t, _, _ in inner]
+    long = [e - b >= 16 for _, b, e in inner]
+    if tags == [_SEQUENCE, _OCTETS]:
         # EncryptedPrivateKeyInfo; a DigestInfo has no sequence of parameters
-        algorithm = der_children(inner[0][1])
-        return bool(algorithm) and [t for t, _ in algorithm] == [_OID, _SEQUENCE] and bool(
-            der_children(algorithm[1][1])) and len(inner[1][1]) >= 16
-    if not inner or inner[0][0] != _INTEGER or len(inner[0][1]) != 1 or inner[0][1][0] > 1:
-        return False
-    tags = [t for t, _ in inner]
+        algorithm = der_items(get, *inner[0][1:], 2)
+        return end if algorithm and [t for t, _, _ in algorithm] == [_OID, _SEQUENCE] and der_items(
+            get, *algorithm[1][1:], 4) and long[1] else None
+    if tags[0] != _INTEGER or get(*inner[0][1:]) not in (b"\0", b"\1"):
+        return None
     if tags in ([_INTEGER] * 9, [_INTEGER] * 6):
-        return all(v for _, v in inner)
-    if len(inner) >= 3 and tags[1] == _SEQUENCE and tags[2] == _OCTETS:
-        algorithm = der_children(inner[1][1])
-        return bool(algorithm) and algorithm[0][0] == _OID and len(inner[2][1]) >= 16
-    return len(inner) >= 2 and tags[1] == _OCTETS and len(inner[1][1]) >= 16 and all(
-        t in (0xA0, 0xA1) and der_children(v) for t, v in inner[2:])
+        return end if all(e > b for _, b, e in inner) else None
+    if tags[1:3] == [_SEQUENCE, _OCTETS]:
+        algorithm = der_items(get, *inner[1][1:], 2)
+        return end if algorithm and algorithm[0][0] == _OID and long[2] else None
+    return end if tags[1:2] == [_OCTETS] and long[1] and all(
+        t in (0xA0, 0xA1) and der_items(get, b, e, 2) for t, b, e in inner[2:]) else None
 
 
-def is_openssh_key(data: bytes) -> bool:
-    """The OpenSSH container: magic, then length-prefixed strings that fit exactly."""
+def openssh_key_size(get: Reader, size: int) -> int | None:
+    """Bytes of the OpenSSH container that starts here: magic, then length-prefixed strings."""
     magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
-        return False
-    i = len(magic)
-
-    def take(n: int) -> bytes | None:
-        nonlocal i
-        if i + n > len(data):
+    if get(0, len(magic)) != magic:
+        return None
+    i, left = len(magic), 3
+    lengths = []
+    while left:
+        n = int.from_bytes(get(i, i + 4), "big")
+        if i + 4 + n > size:
             return None
-        out, i = data[i:i + n], i + n
-        return out
+        lengths.append(n)
+        i, left = i + 4 + n, left - 1
+        if len(lengths) == 3:
+            keys = int.from_bytes(get(i, i + 4), "big")
+            if not 1 <= keys <= 16 or i + 4 > size:
+                return None
+            # the public keys and the private part
+            i, left = i + 4, keys + 1
+    return i if all(lengths[3:]) else None
 
-    def string() -> bytes | None:
-        head = take(4)
-        return None if head is None else take(int.from_bytes(head, "big"))
 
-    if any(string() is None for _ in range(3)):
-        return False
-    count = take(4)
-    if count is None or not 1 <= int.from_bytes(count, "big") <= 16:
-        return False
-    if any(not string() for _ in range(int.from_bytes(count, "big"))):
-        return False
-    return bool(string()) and i == len(data)
+def key_size(get: Reader, size: int) -> int | None:
+    return der_key_size(get, size) or openssh_key_size(get, size)
 
 
 def _is_key(data: bytes | None) -> bool:
-    return bool(data) and (is_der_key(data) or is_openssh_key(data))
+    return bool(data) and key_size(lambda i, j: data[i:j], len(data)) == len(data)
 
 
 def _unbase64(s: str) -> bytes | None:
@@ -148,47 +170,57 @@ def _is_signed(s: str) -> bool:
             and (len(_unbase64(signature) or b"") >= 16 or out[0]["alg"].lower() == "none" and not signature))
 
 
-def _der_size(data: bytes) -> int | None:
-    """Bytes of the DER sequence that starts here, if it may be a private key."""
-    if len(data) < 7 or data[0] != _SEQUENCE:
-        return None
-    n, i = data[1], 2
-    if n & 0x80:
-        k = n & 0x7F
-        if not 1 <= k <= 4:
-            return None
-        n, i = int.from_bytes(data[2:2 + k], "big"), 2 + k
-    return i + n if data[i] in (_INTEGER, _SEQUENCE) else None
+def _get64(chars: str, at: int) -> Reader:
+    return lambda i, j: (_unbase64(chars[at + i // 3 * 4:at - (-j // 3) * 4]) or b"")[i % 3:i % 3 + j - i]
 
 
-def _wrapped(text: str, start: re.Pattern, more: re.Pattern, decode, chars: int, size: int) -> list[tuple[int, int]]:
-    """Spans of keys over several lines; ``chars`` of text hold ``size`` bytes."""
-    out, at = [], 0
-    while m := start.search(text, at):
-        at = m.end()
-        lines, end = [m[0]], m.end()
-        head = decode(m[0][:len(m[0]) // chars * chars])
-        # DER says how long it is; an OpenSSH key is tried at every line's end
-        total = _der_size(head) if head and head[0] == _SEQUENCE else None
-        if total is None and not (head or b"").startswith(b"openssh-k"):
-            continue
-        want = None if total is None else -(-total * chars // size)
-        have = len(m[0])
-        while (want is None or have < want) and (n := more.match(text, end)):
-            lines.append(n[1])
-            have, end = have + len(n[1]), n.end()
-            if want is None and _is_key(decode("".join(lines))):
-                break
-        if len(lines) > 1 and (want is None or have == want) and _is_key(decode("".join(lines))):
-            at = _PADDING.match(text, end).end() if chars == 4 else end
-            out.append((m.start(), at))
-    return out
+def _get16(chars: str, at: int) -> Reader:
+    return lambda i, j: _unhex(chars[at + 2 * i:at + 2 * j]) or b""
 
 
 def _unhex(s: str) -> bytes | None:
     return bytes.fromhex(s) if len(s) % 2 == 0 else None
 
 
+class _Lines:
+    """The lines that follow one another from ``begin``, joined once, however many
+    candidates start in them."""
+
+    def __init__(self, text: str, begin: int, end: int, more: re.Pattern):
+        runs = [(begin, end)]
+        while n := more.match(text, runs[-1][1]):
+            runs.append(n.span(1))
+        self.starts = [a for a, _ in runs]
+        self.ends = [b for _, b in runs]
+        self.chars = "".join([text[a:b] for a, b in runs])
+        self.upto = list(accumulate(b - a for a, b in runs))
+
+
+def _wrapped(text: str, start: re.Pattern, more: re.Pattern, reader, chars: int, size: int) -> list[tuple[int, int]]:
+    """Spans of keys over several lines; ``chars`` of text hold ``size`` bytes.
+
+    Linear in the text: lines are joined once, and a candidate costs the headers of its
+    structure, which say where it must end.
+    """
+    out, at, lines = [], 0, None
+    while m := start.search(text, at):
+        at = m.end()
+        k = bisect_left(lines.ends, at) if lines else 0
+        if not lines or k == len(lines.ends) or lines.ends[k] != at or lines.starts[k] > m.start():
+            lines, k = _Lines(text, m.start(), at, more), 0
+        # place of the candidate in the joined lines
+        place = lines.upto[k] - (at - m.start())
+        n = key_size(reader(lines.chars, place), (len(lines.chars) - place) * size // chars)
+        if n is None:
+            continue
+        want = place - (-n * chars // size)
+        last = bisect_left(lines.upto, want)
+        if last > k and lines.upto[last] == want:
+            at = lines.ends[last]
+            out.append((m.start(), _PADDING.match(text, at).end() if chars == 4 else at))
+    return out
+
+
 def _is_armoured(headers: str, body: str) -> bool:
     data = _unbase64(re.sub(r"\\[nr]|[\s\\]", "", body))
     if _ENCRYPTED.search(headers) and _DEK.search(headers):
@@ -214,8 +246,8 @@ def structural_spans(text: str) -> list[tuple[int, int, str]]:
     out = [(*m.span(), "key") for m in _BASE64.finditer(text) if _is_key(_unbase64(m[0]))]
     out += [(*m.span(), "key") for m in _ANY_HEX.finditer(text)
             if len(m[0]) % 2 == 0 and _is_key(bytes.fromhex(m[0]))]
-    out += [(*x, "key") for x in _wrapped(text, _START64, _NEXT64, _unbase64, 4, 3)]
-    out += [(*x, "key") for x in _wrapped(text, _START16, _NEXT16, _unhex, 2, 1)]
+    out += [(*x, "key") for x in _wrapped(text, _START64, _NEXT64, _get64, 4, 3)]
+    out += [(*x, "key") for x in _wrapped(text, _START16, _NEXT16, _get16, 2, 1)]
     if "PRIVATE KEY-----" in text:
         out += [(*m.span(), "armour") for m in _ARMOUR.finditer(text) if _is_armoured(m[2], m[3])]
     out += [(*m.span(), "signed") for m in _SIGNED.finditer(text) if _is_signed(m[0])]

@@ -5,6 +5,7 @@ import hashlib
 import json
 import re
 import struct
+import time
 
 from retailstar.llm import secret_scan as S
 
@@ -72,6 +73,28 @@ def test_keys_wrapped_over_lines():
     assert kinds(wrap(base64.b64encode(PKCS1[:-3]).decode(), 64)) == []
 
 
+def test_keys_inside_long_blocks_of_lines():
+    noise = base64.b64encode(bytes(range(48))).decode()
+    for data in (PKCS8, OPENSSH, ENCRYPTED):
+        w = wrap(base64.b64encode(data).decode(), 64)
+        text = f"{noise}\n{noise}\n{w}\n\n{noise}\n{w}"
+        assert [text[a:b] for a, b, _ in S.structural_spans(text)] == [w, w]
+    # an end inside a line is none
+    body = base64.b64encode(PKCS1 + b"\0" * 3).decode()
+    assert kinds(wrap(body, 64)) == []
+
+
+def test_time_is_linear_in_the_text():
+    line = base64.b64encode(b"\x30\x83\x01\x00\x00\x02\x01\x00" + b"\x05" * 40).decode()
+    start = base64.b64encode(OPENSSH[:48]).decode()
+    nested = "-----BEGIN PRIVATE KEY-----\na: "
+    for text in ((line + "\n") * 16_000, start + ("\n" + "A" * 64) * 16_000, (start + "\n") * 16_000, nested * 16_000,
+                 "M" + "A" * 1_000_000, ("token" + " " * 50) * 20_000):
+        took = time.process_time()
+        assert S.structural_spans(text) == [] and len(S.base_spans(text)) >= 0
+        assert time.process_time() - took < 5, text[:40]
+
+
 def test_encrypted_keys():
     assert kinds(base64.b64encode(ENCRYPTED).decode()) == ["key"]
     digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65") + der(5, b"")) + der(4, b"h" * 32))

@@ -5,7 +5,9 @@ k-gram in the license templates; a hit votes for the offset diagonal (position
 in the text less position in the template). Votes are added up per document,
 template and diagonal; neighbouring diagonals (a word more or less shifts the
 rest) are merged, and a merged span is verified word by word against its
-template. The template table is fixed text of a few hundred k-grams, so tasks
+template from every voted start. Spans of one template that follow each other in
+order, with at most GAP words of text put between two of them, are chained and
+count together (markup or words inserted into a notice). The template table is fixed text of a few hundred k-grams, so tasks
 drop k-grams that no template has before anything is joined or shuffled.
 
 Base phrases are counted at every place of the whole text; the method's labels
@@ -14,12 +16,14 @@ order in a verified span, 1.0 for a base phrase, 0.0 without any label.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. Defined
 results: a null or empty text has no words and no labels (empty strings, null
-places); repeated rows each get their row.
+places); a very long text is scanned whole; repeated rows each get their row; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -73,6 +77,10 @@ TEMPLATES = {
 K = 3
 #: diagonals this near each other belong to one span
 SLACK = 3
+#: words of text that may stand between two spans of a chain; templates that are chained have
+#: at least CHAINED words (fewer could be put together from words of another notice)
+GAP = 24
+CHAINED = 12
 #: share of a template's words that a verified span must hold in order
 MIN_SHARE = 0.8
 
@@ -159,8 +167,8 @@ def base_and_hits(texts: list) -> dict:
 
 
 def diagonals(hits: DataFrame, templates: DataFrame) -> DataFrame:
-    """(row, template, lo, hi, votes) of (row, hit_pos, hit_gram): votes per
-    diagonal, neighbouring diagonals merged."""
+    """(row, template, lo, hi, votes, parts) of (row, hit_pos, hit_gram): votes per
+    diagonal, neighbouring diagonals merged; a part is a diagonal with its places."""
     each = hits.select("row", F.explode(F.arrays_zip("hit_pos", "hit_gram")).alias("x")).select(
         "row", F.col("x.hit_pos").alias("pos"), F.col("x.hit_gram").alias("h_gram"))
     # the template table is fixed text (a few hundred rows)
@@ -171,7 +179,8 @@ def diagonals(hits: DataFrame, templates: DataFrame) -> DataFrame:
     new = (F.col("diagonal") - F.lag("diagonal").over(w) > SLACK).cast("int")
     runs = votes.withColumn("new", F.coalesce(new, F.lit(0))).withColumn("run", F.sum("new").over(w))
     return runs.groupBy("row", "template", "run").agg(
-        F.sum("votes").alias("votes"), F.min("lo").alias("lo"), (F.max("hi") + K).alias("hi")).drop("run")
+        F.sum("votes").alias("votes"), F.min("lo").alias("lo"), (F.max("hi") + K).alias("hi"),
+        F.collect_list(F.struct("diagonal", "lo", (F.col("hi") + K).alias("hi"))).alias("parts")).drop("run")
 
 
 def share_in_order(found: list[str], template: list[str]) -> float:
@@ -184,21 +193,57 @@ def share_in_order(found: list[str], template: list[str]) -> float:
     return row[-1] / len(template)
 
 
+def chained_share(words: list[str], template: list[str], parts: list[tuple[int, int, int]]) -> float:
+    """Most template words in a chain of parts (diagonal, lo, hi), as a share of the template.
+
+    Parts follow each other in the text and in the template; words count where they
+    stand on their part's diagonal.
+    """
+    parts = sorted(parts, key=lambda x: (x[1], x[2]))
+    same = []
+    for d, lo, hi in parts:
+        marks = [words[x] == template[x - d] for x in range(lo, hi)]
+        same.append([0, *accumulate(marks)])
+    score, best, first = [], 0, 0
+    for j, (d, lo, hi) in enumerate(parts):
+        score.append(same[j][-1])
+        # an earlier part spans the template at most
+        while parts[first][1] < lo - GAP - len(template):
+            first += 1
+        for i in range(first, j):
+            e, _, end = parts[i]
+            # after the earlier part in the text and in the template
+            begin = max(lo, end, end - e + d)
+            if begin < hi and lo - end <= GAP:
+                score[j] = max(score[j], score[i] + same[j][-1] - same[j][begin - lo])
+        best = max(best, score[j])
+    return best / len(template)
+
+
 def verified(span_words: list[str], from_word: int, spans: list[dict], min_share: float) -> tuple[set[str], float]:
     labels, best = set(), 0.0
+    parts: dict[int, list[tuple[int, int, int]]] = {}
+    shares = []
     for s in spans:
-        label, template = _templates()[0][s["template"]]
+        template = _templates()[0][s["template"]][1]
         lo, hi = s["lo"] - from_word, s["hi"] - from_word
+        mine = [(p["diagonal"] - from_word, p["lo"] - from_word, p["hi"] - from_word) for p in s["parts"]]
+        parts.setdefault(s["template"], []).extend(mine)
         pad = SLACK if len(template) > 2 * K else 0
+        if hi - lo + 2 * pad < min_share * len(template):
+            continue
         # a span much longer than its template holds several places of it
-        step = max(1, len(template) // 2)
-        for a in range(max(0, lo - pad), max(lo - pad, 0) + max(1, hi - lo), step):
-            share = share_in_order(span_words[a:min(a + len(template) + 2 * SLACK, hi + pad)], template)
-            if share >= min_share:
-                labels.add(label)
-            best = max(best, share if share >= min_share else 0.0)
-            if hi - lo <= len(template) + 2 * SLACK:
-                break
+        short = hi - lo <= len(template) + 2 * SLACK
+        for a in [lo] if short else sorted({max(d, lo) for d, _, _ in mine}):
+            a = max(0, a - pad)
+            shares.append((s["template"], share_in_order(
+                span_words[a:min(a + len(template) + 2 * SLACK, hi + pad)], template)))
+    shares += [(i, chained_share(span_words, _templates()[0][i][1], x)) for i, x in parts.items()
+               if len(_templates()[0][i][1]) >= CHAINED and len(x) > 1]
+    for i, share in shares:
+        if share >= min_share:
+            labels.add(_templates()[0][i][0])
+            best = max(best, share)
     return labels, best
 
 
@@ -211,7 +256,7 @@ def scan_documents(docs: DataFrame, keep: list[str], text_col: str = "text", min
         "row", F.monotonically_increasing_id()), "license-rows")
     hits = rows.where("hit_pos IS NOT NULL")
     spans = diagonals(hits, template_positions(spark)).groupBy(F.col("row").alias("s_row")).agg(
-        F.collect_list(F.struct("template", "lo", "hi", "votes")).alias("spans"))
+        F.collect_list(F.struct("template", "lo", "hi", "votes", "parts")).alias("spans"))
 
     def verify(frames):
         for pdf in frames:

@@ -78,3 +78,77 @@ def test_whole_table(spark):
 def test_share_in_order():
     assert L.share_in_order(["a", "x", "b", "c"], ["a", "b", "c"]) == 1.0
     assert L.share_in_order([], ["a"]) == 0.0
+
+
+CC_HTML = ('This work is licensed under a <a rel="license" href="http://creativecommons.org/licenses/by/4.0/">'
+           "Creative Commons Attribution 4.0 International License</a>.")
+
+
+def brute_chain(words, template, parts):
+    """All sets of parts in order."""
+    best = 0
+    parts = sorted(parts, key=lambda x: (x[1], x[2]))
+    for mask in range(1, 1 << len(parts)):
+        n, last = 0, None
+        for i, (d, lo, hi) in enumerate(parts):
+            if mask >> i & 1:
+                begin = lo
+                if last:
+                    if lo - last[2] > L.GAP or lo < last[1]:
+                        break
+                    begin = max(lo, last[2], last[2] - last[0] + d)
+                    if begin >= hi:
+                        break
+                n += sum(words[x] == template[x - d] for x in range(begin, hi))
+                last = (d, lo, hi)
+        else:
+            best = max(best, n)
+    return best / len(template)
+
+
+def test_chains_by_brute_force():
+    rnd = random.Random(7)
+    for _ in range(200):
+        template = [f"w{rnd.randrange(6)}" for _ in range(14)]
+        words = [rnd.choice(template) if rnd.random() < 0.5 else f"x{rnd.randrange(9)}" for _ in range(60)]
+        parts = []
+        for _ in range(rnd.randrange(2, 7)):
+            t = rnd.randrange(11)
+            n = rnd.randrange(3, min(8, 15 - t))
+            lo = rnd.randrange(60 - n)
+            words[lo:lo + n] = template[t:t + n]
+            parts.append((lo - t, lo, lo + n))
+        assert abs(L.chained_share(words, template, parts) - brute_chain(words, template, parts)) < 1e-9
+
+
+def test_words_put_into_notices(spark):
+    rnd = random.Random(9)
+    rows, want = [(0, CC_HTML + " " + filler(rnd, 20))], {0: "cc-by-4.0"}
+    for label in ("mit", "bsd", "isc", "mpl-2.0", "proprietary", "apache-2.0"):
+        w = max(L.TEMPLATES[label], key=len).split()
+        for n in (4, 8, 12):
+            k = rnd.randrange(8, len(w) - 8)
+            i = len(rows)
+            rows.append((i, f"{filler(rnd, 40)} {' '.join(w[:k])} {filler(rnd, n)} {' '.join(w[k:])} {filler(rnd, 9)}"))
+            want[i] = label
+    # several places whose diagonals lie near each other; halves far apart or in the wrong order
+    one = max(L.TEMPLATES["isc"], key=len)
+    i = len(rows)
+    rows.append((i, f"{' '.join(one.split()[:12])} {one} {one}"))
+    want[i] = "isc"
+    w = max(L.TEMPLATES["bsd"], key=len).split()
+    clean = [i + 1, i + 2]
+    rows.append((i + 1, f"{' '.join(w[:20])} {filler(rnd, 60)} {' '.join(w[20:])}"))
+    rows.append((i + 2, f"{' '.join(w[20:])} {filler(rnd, 5)} {' '.join(w[:20])}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    by = {r.doc_id: r for r in L.scan_documents(df, ["doc_id"]).collect()}
+    for j, label in want.items():
+        assert label in by[j].labels.split(","), (j, label, by[j])
+    assert all("bsd" not in by[j].labels for j in clean)
+
+
+def test_long_text_of_many_hits(spark):
+    rnd = random.Random(3)
+    text = " ".join("in the software without " + filler(rnd, 3) for _ in range(30_000)) + " " + max(L.TEMPLATES["mit"], key=len)
+    row = L.scan_documents(spark.createDataFrame([(1, text)], "doc_id long, text string"), ["doc_id"]).first()
+    assert len(text) > 1_000_000 and row.labels == "mit" and row.n_words > 200_000

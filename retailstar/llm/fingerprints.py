@@ -1,28 +1,34 @@
 """Document fingerprints (7): improbable-feature digests.
 
-A feature is a window of 64 bytes; windows start at content-defined anchors
-(one byte position in eight, by a hash of the four bytes there), so inserted
-text does not shift them. A window's rank is how rare its entropy is among all
-windows of the corpus: a Spark aggregate counts entropy levels over every
-document (a table of at most LEVELS rows). Among every POPULAR_OF consecutive
-windows of a text the rarest, leftmost first, gets a vote; windows with
-POPULAR_MIN votes are features. Features go into Bloom filters of 2048 bits,
-five bits each, a new filter after 160 features. Two chains compare by the bits
-that their filters share beyond chance, relative to the most they could share.
+A feature is a window of 64 bytes, from any byte on. A window's rank is how rare
+its entropy is among all windows of the corpus: a Spark aggregate counts entropy
+levels over every window of every document (a table of at most LEVELS rows). Every
+64 windows that follow one another in a text (fewer at its ends) vote for the
+rarest, leftmost first; windows with 16 votes are features. Texts under SHORT
+bytes have windows of eight bytes besides, ranked and elected likewise by four,
+since an edit leaves few of their long windows as they were. Features go into
+Bloom filters of 2048 bits, five bits each, a new filter after 160 features. Two
+chains compare by the bits that their filters share beyond chance, relative to the
+most they could share.
+
+The entropy of all windows comes from one running sum: a step adds a byte and
+drops another, by how often each stands among its 63 neighbours.
 
 The next document of each is found by ranges of doc_id: each range is one sorted
 run of a task, and the first document of the following range comes along.
 
 Defined results: a null or empty text has the empty fingerprint (likeness 1 to
-another empty one, 0 to any other); a text without a window has its eight-byte pieces as features;
-equal ids are ordered by text, a null id comes first; repeated rows each get
-their row; the only document of a table is its own next.
+another empty one, 0 to any other); a text under eight bytes is one feature; a very
+long text is digested whole; equal ids are ordered by text, a null id comes first;
+repeated rows each get their row; the only document of a table is its own next; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -32,48 +38,81 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import annotate, read_documents, sha256, shuffle_partitions
 
-WINDOW = 64
-LEVELS = 601
-POPULAR_OF = 8
-POPULAR_MIN = 2
+@dataclass(frozen=True)
+class Kind:
+    """Windows of ``width`` bytes; ``voters`` that follow one another elect, a feature has ``votes``."""
+
+    width: int
+    voters: int
+    votes: int
+    #: place of its entropy levels in the common table
+    first: int
+
+    @property
+    def top(self) -> int:
+        """The highest entropy, in hundredths of a bit."""
+        return round(100 * np.log2(self.width))
+
+
+LONG_WINDOWS = Kind(64, 64, 16, 0)
+SHORT_WINDOWS = Kind(8, 4, 2, LONG_WINDOWS.top + 1)
+#: texts under so many bytes have windows of both kinds
+SHORT = 512
+LEVELS = SHORT_WINDOWS.first + SHORT_WINDOWS.top + 1
 FILTER_BITS = 2048
 FILTER_FEATURES = 160
 _U = np.uint64
-_C_LOG_C = np.array([0.0] + [c * np.log2(c) for c in range(1, WINDOW + 1)])
+#: c log2 c in whole numbers, so that running sums are exact
+_SCALE = 1 << 20
+_C_LOG_C = np.rint(_SCALE * np.array([0.0] + [c * np.log2(c) for c in range(1, 65)])).astype(np.int64)
+_STEP = np.diff(_C_LOG_C)
+_NONE = np.iinfo(np.int32).max
 
 
-def anchors(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, text offsets, window starts, text of each window) of a slice."""
-    buf = np.frombuffer(b"".join(raws) + b"\0" * WINDOW, np.uint8)
+def _joined(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts and where each begins."""
     at = np.zeros(len(raws) + 1, np.int64)
     np.cumsum([len(r) for r in raws], out=at[1:])
-    v = buf[:-3].astype(np.uint32)
-    for k in (1, 2, 3):
-        v |= buf[k:len(buf) - 3 + k].astype(np.uint32) << np.uint32(8 * k)
-    start = np.flatnonzero((v * np.uint32(2654435761)) >> np.uint32(29) == 0)
-    text = np.searchsorted(at, start, "right") - 1
-    ok = (text < len(raws)) & (start + WINDOW <= at[np.minimum(text + 1, len(raws))])
-    return buf, at, start[ok], text[ok]
-
-
-def entropy_levels(buf: np.ndarray, start: np.ndarray, block: int = 2048) -> np.ndarray:
-    """Entropy of every window in hundredths of a bit (0 to 600)."""
-    out = np.empty(len(start), np.int64)
-    view = np.lib.stride_tricks.sliding_window_view(buf, WINDOW)
-    for i in range(0, len(start), block):
-        x = view[start[i:i + block]].astype(np.int32)
-        x += (np.arange(len(x), dtype=np.int32) * 256)[:, None]
-        n = np.bincount(x.ravel(), minlength=len(x) * 256)
-        h = 6.0 - _C_LOG_C[n].reshape(len(x), 256).sum(axis=1) / WINDOW
-        out[i:i + block] = np.rint(h * 100)
-    return np.clip(out, 0, LEVELS - 1)
+    return np.frombuffer(b"".join(raws), np.uint8), at
+
+
+def entropy_levels(buf: np.ndarray, kind: Kind, block: int = 1 << 16) -> np.ndarray:
+    """Entropy of the window from every byte on, in hundredths of a bit."""
+    w = kind.width
+    out = np.empty(max(0, len(buf) - w + 1), np.int16)
+    for i in range(0, len(out), block):
+        x = buf[i:i + block + w - 1]
+        n = len(x) - w + 1
+        before, after = np.zeros(len(x), np.uint8), np.zeros(len(x), np.uint8)
+        for k in range(1, w):
+            same = (x[k:] == x[:-k]).view(np.uint8)
+            before[k:] += same
+            after[:-k] += same
+        total = np.empty(n, np.int64)
+        total[0] = _C_LOG_C[np.bincount(x[:w], minlength=256)].sum()
+        # the byte before goes, the last one comes
+        np.subtract(_STEP[before[w:]], _STEP[after[:n - 1]], out=total[1:])
+        np.cumsum(total, out=total)
+        out[i:i + n] = np.rint(kind.top - total * (100 / (w * _SCALE)))
+    return out
+
+
+def _inside(at: np.ndarray, kind: Kind) -> np.ndarray:
+    """Marks windows that end in the text in which they begin."""
+    ok = np.ones(max(0, int(at[-1]) - kind.width + 1), bool)
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist()):
+        ok[max(lo, hi - kind.width + 1):hi] = False
+    return ok
 
 
 def level_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """Windows per entropy level over all documents (at most LEVELS rows arrive here)."""
     def count(texts: list) -> dict:
-        buf, _, start, _ = anchors(W.utf8(texts))
-        n = np.bincount(entropy_levels(buf, start), minlength=LEVELS)
+        buf, at = _joined(W.utf8(texts))
+        n = np.zeros(LEVELS, np.int64)
+        for kind in (LONG_WINDOWS, SHORT_WINDOWS):
+            got = np.bincount(entropy_levels(buf, kind)[_inside(at, kind)], minlength=kind.top + 1)
+            n[kind.first:kind.first + kind.top + 1] = got
         # one row per slice holds the counts, the others are null
         return {"counts": [n.tolist(), *[None] * (len(texts) - 1)]}
     rows = annotate(docs, text_col, {"counts": "array<long>"}, count, []).where("counts IS NOT NULL")
@@ -85,53 +124,59 @@ def level_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 
 
 def rarity(counts: np.ndarray) -> np.ndarray:
-    """Rank per level, the rarest 0; under one bit of entropy (long runs) comes last."""
-    order = np.lexsort((np.arange(LEVELS), counts, np.arange(LEVELS) < 100))
-    rank = np.empty(LEVELS, np.int64)
-    rank[order] = np.arange(LEVELS)
+    """Rank per level of each kind, the rarest 0; under one bit of entropy (long runs) comes last."""
+    rank = np.empty(LEVELS, np.int32)
+    for kind in (LONG_WINDOWS, SHORT_WINDOWS):
+        level = np.arange(kind.top + 1)
+        order = np.lexsort((level, counts[kind.first + level], level < 100))
+        rank[kind.first + order] = level
     return rank
 
 
-def features(raws: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, 64-bit feature) of every selected window, in text order."""
-    buf, at, start, text = anchors(raws)
-    key = (rank[entropy_levels(buf, start)] << 40) + np.arange(len(start))
-    votes = np.zeros(len(start), np.int64)
-    n = len(start) - POPULAR_OF + 1
-    if n > 0:
-        low = key
+def elected(raws: list[bytes], kind: Kind, rank: np.ndarray, block: int = 1 << 18) -> tuple[np.ndarray, ...]:
+    """(text, place in the text, 64-bit hash) of the windows that enough voters prefer."""
+    buf, at = _joined(raws)
+    ok = _inside(at, kind)
+    key = np.where(ok, rank[kind.first:][entropy_levels(buf, kind)], -1)
+    v, picks = kind.voters, []
+    for i in range(0, len(key), block):
+        # voters reach so far to both sides; beyond the texts there is nothing to elect
+        lo, hi = i - v + 1, min(i + block, len(key)) + v - 1
+        mine = np.full(hi - lo, -1, np.int32)
+        mine[max(0, -lo):min(hi, len(key)) - lo] = key[max(0, lo):hi]
+        low = np.where(mine < 0, _NONE, (mine << 19) + np.arange(len(mine), dtype=np.int32))
         size = 1
-        while size < POPULAR_OF:
+        while size < v:
             low = np.minimum(low[:-size], low[size:])
             size *= 2
-        inside = text[:n] == text[POPULAR_OF - 1:]
-        votes = np.bincount(low[inside] & ((1 << 40) - 1), minlength=len(start))
-    few = np.bincount(text, minlength=len(raws)) < POPULAR_OF
-    pick = np.flatnonzero((votes >= POPULAR_MIN) | few[text])
-    h = _window_hashes(buf, start[pick])
-    got = text[pick]
-    # texts without a window: every eight bytes are a feature
-    lone = np.flatnonzero((np.bincount(got, minlength=len(raws)) == 0) & (np.diff(at) > 0))
-    if len(lone):
-        size = np.maximum(np.diff(at)[lone] - 7, 1)
-        own = np.repeat(lone, size)
-        place = at[own] + np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
-        # buf ends in zeros; a text under eight bytes is told apart by its length
-        eight = np.lib.stride_tricks.sliding_window_view(buf, 8)[place].copy().view(np.uint64).ravel()
-        room = np.minimum(at[own + 1] - place, 8)
-        eight &= _U(2**64 - 1) >> ((8 - room).astype(np.uint64) * _U(8))
-        h = np.concatenate([h, W.mix(eight + room.astype(np.uint64) * _U(0x9E3779B97F4A7C15))])
-        got = np.concatenate([got, own])
-        order = np.argsort(got, kind="stable")
-        h, got = h[order], got[order]
-    return got, h
-
-
-def _window_hashes(buf: np.ndarray, start: np.ndarray) -> np.ndarray:
-    view = np.lib.stride_tricks.sliding_window_view(buf, WINDOW)
-    lanes = view[start].reshape(len(start), WINDOW).copy().view(np.uint64)
-    h = np.zeros(len(start), np.uint64)
-    for k in range(WINDOW // 8):
+        votes = np.bincount(low[low != _NONE] & ((1 << 19) - 1), minlength=len(mine))
+        picks.append(i + np.flatnonzero(votes[v - 1:len(mine) - v + 1] >= kind.votes))
+    pick = np.concatenate(picks) if picks else np.zeros(0, np.int64)
+    text = np.searchsorted(at, pick, "right") - 1
+    return text, pick - at[text], _window_hashes(buf, pick, kind.width)
+
+
+def features(raws: list[bytes], rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, 64-bit feature) of every elected window, in text order."""
+    parts = [elected(raws, LONG_WINDOWS, rank)]
+    short = np.array([i for i, r in enumerate(raws) if SHORT_WINDOWS.width <= len(r) < SHORT], np.int64)
+    text, place, h = elected([raws[i] for i in short], SHORT_WINDOWS, rank)
+    parts.append((short[text], place, h))
+    tiny = [i for i, r in enumerate(raws) if 0 < len(r) < SHORT_WINDOWS.width]
+    # the length stands in the last byte
+    whole = np.array([int.from_bytes(raws[i].ljust(7, b"\0") + bytes([len(raws[i])]), "little") for i in tiny], np.uint64)
+    parts.append((np.array(tiny, np.int64), np.zeros(len(tiny), np.int64), W.mix(whole)))
+    text, place, h = (np.concatenate(x) for x in zip(*parts))
+    order = np.lexsort((place, text))
+    return text[order], h[order]
+
+
+def _window_hashes(buf: np.ndarray, start: np.ndarray, width: int) -> np.ndarray:
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    lanes = np.lib.stride_tricks.sliding_window_view(buf, width)[start].copy().view(np.uint64)
+    h = np.full(len(start), width, np.uint64)
+    for k in range(width // 8):
         h = W.mix(h * _U(0x9E3779B97F4A7C15) + lanes[:, k])
     return h
 

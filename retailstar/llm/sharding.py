@@ -10,12 +10,14 @@ shard takes the slots that fit, counting what leaves it (the flows are lowered
 until no shard is over its capacity). Documents without a link fill what is
 left, so the law ``rows`` holds exactly: counts differ by one at most.
 
-The rounds end with labels: the shard that holds most of each cluster. A group
-whose label has no room would stay scattered, so all clusters are then settled,
-largest first, whole: into their label if it has room, else into another shard
-that has. Small clusters go in bundles, so that a table of fixed size decides;
-refused bundles are dealt anew, smaller, until single clusters are left. What
-fits nowhere whole is cut, over as few shards as the room left allows.
+Where the rounds leave a cluster whole, it stays. A cluster whose label (the shard
+that holds most of it) never had room would stay scattered, so these are settled,
+largest first, whole, in the room that is left: in their label, else in another
+shard. Small ones go in bundles, so that a table of fixed size decides; refused
+bundles are dealt anew, smaller, until single clusters are left. What fits nowhere
+whole is cut, over as few shards as the room left allows; only if something must be
+cut, the whole clusters are settled anew with the others, and that counts if it
+cuts fewer documents.
 
 A group larger than a shard's capacity is first cut by hash into clusters of
 half a capacity; clusters, not groups, are kept together then.
@@ -39,6 +41,8 @@ N_SHARDS = 40
 ROUNDS = 24
 STUCK = 3
 SLOTS = 64
+#: a group with this share of all rows is hot: there are at most as many such groups
+HOT = 1_000
 
 
 def _accepted(wishes: list[tuple[int, int, int, int]], load: list[int], cap: list[int]) -> list[int]:
@@ -121,6 +125,26 @@ def _placed(units: list[tuple[int, int, bool]], room: list[int]) -> tuple[list[i
     return best[1], best[2]
 
 
+def place_clusters(cells: DataFrame, load: list[int], cap: list[int]) -> tuple[DataFrame, list[int], int]:
+    """(g, part, s) of every cluster after the rounds, ``s`` null where it must be cut; the
+    loads, and the documents to cut."""
+    cells, load = propagate(cells, load, cap)
+    at = stored(cells.groupBy("g", "part").agg(F.min("s").alias("s"), F.max("s").alias("z"), F.sum("n").alias("m")),
+                "shard-propagated")
+    whole = at.where("s = z")
+    taken = [0] * len(cap)
+    for r in whole.groupBy("s").agg(F.sum("m").alias("m")).collect():
+        taken[r["s"]] = r["m"]
+    apart = at.where("s < z").select(F.col("g").alias("ag"), F.col("part").alias("ap"))
+    rest, more, cut = settle(cells.join(apart, (F.col("g") == F.col("ag")) & (F.col("part") == F.col("ap"))),
+                             [c - t for c, t in zip(cap, taken)])
+    if cut:
+        anew = settle(cells, cap)
+        if anew[2] < cut:
+            return anew
+    return whole.select("g", "part", "s").union(rest), [t + m for t, m in zip(taken, more)], cut
+
+
 def settle(cells: DataFrame, cap: list[int]) -> tuple[DataFrame, list[int], int]:
     """(g, part, s) of every cluster, ``s`` null if it fits nowhere whole; the loads, and
     the documents of clusters to cut.
@@ -173,11 +197,17 @@ def shard_documents(docs: DataFrame, *, n_shards: int = N_SHARDS, id_col: str =
     cap = [n // n_shards + (s < n % n_shards) for s in range(n_shards)]
     least = max(1, n // n_shards)
     half = max(1, least // 2)
-    groups = rows.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(
-        F.col("g").alias("lg"), F.when(F.col("m") <= least, 1).otherwise(F.ceil(F.col("m") / half)).cast("long").alias("parts"))
-    tagged = stored(rows.join(groups, F.col("g") == F.col("lg"), "left").select(
-        "doc_id", "size", "text_crc32", "g", "row",
-        F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(F.lit(1), "row"), F.col("parts"))).alias("part")), "shard-tagged")
+    groups = stored(rows.groupBy("g").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select(
+        F.col("g").alias("lg"), "m", F.when(F.col("m") <= least, 1).otherwise(F.ceil(F.col("m") / half)).cast("long").alias("parts")),
+        "shard-groups")
+    # rows of hot groups are not shuffled: at most HOT groups are broadcast
+    is_hot = F.col("m") * HOT >= n
+    hot, cold = groups.where(is_hot), groups.where(~is_hot)
+    part = F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(F.lit(1), "row"), F.col("parts"))).alias("part")
+    same = F.col("g") == F.col("lg")
+    cols = ["doc_id", "size", "text_crc32", "g", "row", part]
+    tagged = stored(rows.join(F.broadcast(hot), same).select(*cols).union(
+        rows.join(F.broadcast(hot), same, "left_anti").join(cold, same, "left").select(*cols)), "shard-tagged")
     n_linked = tagged.where("part IS NOT NULL").count()
     start = ranked(tagged.where("part IS NOT NULL"), "row", n_linked, "r").withColumn(
         "s0", F.pmod("r", F.lit(n_shards)).cast("int"))
@@ -185,8 +215,7 @@ def shard_documents(docs: DataFrame, *, n_shards: int = N_SHARDS, id_col: str =
     load = [n_linked // n_shards + (s < n_linked % n_shards) for s in range(n_shards)]
     cells = stored(linked.groupBy("g", "part", "s0").agg(F.count(F.lit(1)).alias("n")).withColumn(
         "s", F.col("s0")).select("g", "part", "s0", "s", "n"), "shard-cells")
-    cells, _ = propagate(cells, load, cap)
-    settled, load, n_cut = settle(cells, cap)
+    settled, load, n_cut = place_clusters(cells, load, cap)
     settled = settled.select(F.col("g").alias("sg"), F.col("part").alias("sp"), "s")
     final = cells.drop("s").join(settled, (F.col("g") == F.col("sg")) & (F.col("part") == F.col("sp"))).select(
         F.col("g").alias("cg"), F.col("part").alias("cp"), F.col("s0").alias("c0"), "s")

@@ -99,3 +99,45 @@ def test_placing_goes_on_to_any_shard_with_room():
     to, room = sharding._placed([(6, 0, True), (6, 0, True), (3, 0, True), (9, 1, True)], [10, 10, 10])
     assert min(to) >= 0 and sum(room) == 6 and min(room) >= 0
     assert sharding._placed([(11, 0, True)], [10, 10])[0] == [-1]
+
+
+def test_clusters_stay_where_propagation_leaves_them(spark, monkeypatch):
+    sizes, rows = [2, 3, 5, 9, 30, 80] * 6, []
+    for i, m in enumerate(sizes):
+        rows += [f"g{i}"] * m
+    rows += [f"lone {i}" for i in range(400)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    seen = {}
+
+    def watched(cells, load, cap, rounds=sharding.ROUNDS):
+        out = propagate(cells, load, cap, seen["rounds"])
+        at = defaultdict(Counter)
+        for r in out[0].collect():
+            at[bytes(r.g), r.part][r.s] += r.n
+        seen["whole"] = sorted((sum(c.values()), min(c)) for c in at.values() if len(c) == 1)
+        seen["apart"] = sum(len(c) > 1 for c in at.values())
+        return out
+
+    def settled(cells, room):
+        seen["packed"] = cells.select("g", "part").distinct().count()
+        return settle(cells, room)
+
+    propagate, settle = sharding.propagate, sharding.settle
+    monkeypatch.setattr(sharding, "propagate", watched)
+    monkeypatch.setattr(sharding, "settle", settled)
+    packed = {}
+    for rounds in (sharding.ROUNDS, 0):
+        seen["rounds"] = rounds
+        out = sharding.shard_documents(df, n_shards=8).collect()
+        check_law(out, 8)
+        shards = defaultdict(Counter)
+        for r in out:
+            if rows[r.doc_id].startswith("g"):
+                shards[rows[r.doc_id]][r.shard] += 1
+        assert all(len(c) == 1 for c in shards.values())
+        # what the rounds left whole is where they left it; only the others were packed
+        places = Counter((sum(c.values()), min(c)) for c in shards.values())
+        assert not Counter(seen["whole"]) - places
+        assert seen["packed"] == seen["apart"]
+        packed[rounds] = seen["packed"]
+    assert packed[sharding.ROUNDS] < packed[0] / 3

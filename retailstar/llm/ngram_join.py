@@ -13,9 +13,15 @@ keep the product sparse without losing a link:
 * a shared column at places i, j of that order leaves at most
   ``min(n - i, m - j)`` for the overlap, and sizes must be within the ratio.
 
-Columns held by few rows give candidate pairs; parity sketches drop those that
-surely differ too much, the overlap of the others is counted on the whole sets. Columns held by many rows (families of near copies) never emit
-pairs: rows that hang together by such columns form a family, families are cut
+The product is taken by blocks of columns, one group each. Columns held by few rows
+add up, for each pair of rows that the size bounds allow, the columns that both
+have and what is left behind the last of them; the sums over all blocks are the
+overlap so far, and pairs whose overlap so far and rest are below the bound go.
+Parity sketches drop pairs that surely differ too much, the overlap of the others
+is completed on the whole sets. Columns held by many rows (families of near copies) never emit
+pairs (two rows that share one meet in their family, whatever the sums above
+leave out): columns that the count table shows to be common are dealt out by row,
+so no group holds all rows of one. Rows that hang together by such columns form a family, families are cut
 into blocks of bounded size by size class and hash, and each pair of blocks that
 the bounds allow is one dense product in one task, which returns no more edges
 than a spanning forest of the links it found. The components of all links are
@@ -49,6 +55,10 @@ SLOTS = 1 << 18
 CHUNKS = 16
 #: columns with more rows than this go to blocks
 HOT = 64
+#: a column with more than this share of all rows is common: its entries are dealt out by row
+COMMON = 100
+#: the place of an entry that was dealt out by row
+_BY_ROW = np.iinfo(np.uint32).max
 BLOCK_ROWS = 256
 BLOCK_ENTRIES = 400_000
 _U = np.uint64
@@ -147,8 +157,9 @@ def _chosen(packs: DataFrame, rids: DataFrame, out: str) -> DataFrame:
 
 
 def _postings(packs: DataFrame, reps: DataFrame, parts: int, table: np.ndarray, shingle: int,
-              percent: int, least: int) -> DataFrame:
-    """(part, pack, cols, rids, sizes, places): the prefix entries of the representatives."""
+              percent: int, least: int, common: int) -> DataFrame:
+    """(part, pack, cols, rids, sizes, places): the prefix entries of the representatives.
+    Entries of a column are of one part, but for those counted more than ``common`` times."""
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -161,7 +172,9 @@ def _postings(packs: DataFrame, reps: DataFrame, parts: int, table: np.ndarray,
                 place = np.arange(len(cols)) - np.repeat(np.cumsum(k) - k, k)
                 rid = np.repeat((pack << 20) + np.array(at, np.int64), k)
                 size = np.repeat(np.array([len(s) for s in sets], np.int64), k)
-                got = P.deal_rows(pack, cols, parts, {"cols": cols, "rids": rid, "sizes": size.astype(np.uint32),
+                many = table[slot_of(cols)] > common
+                place[many] = _BY_ROW
+                got = P.deal_rows(pack, np.where(many, rid.view(np.uint64), cols), parts, {"cols": cols, "rids": rid, "sizes": size.astype(np.uint32),
                                                       "places": place.astype(np.uint32)}, {})
                 if got is not None:
                     yield got
@@ -169,9 +182,13 @@ def _postings(packs: DataFrame, reps: DataFrame, parts: int, table: np.ndarray,
         run, "part int, pack long, cols binary, rids binary, sizes binary, places binary")
 
 
+PAIRS = "kind int, a long, b long, shared long, left_a long, left_b long, need long"
+
+
 def pairs_and_hot(percent: int, hot: int):
-    """Per part of columns: candidate pairs (kind 0: a, b) of the columns with few
-    rows, and memberships (kind 1: rid, column) of those with many."""
+    """Per part of columns (a block of the product): overlap counts (kind 0: a, b, shared
+    columns, entries behind the last of them, overlap that a link needs) of the columns with
+    few rows, and memberships (kind 1: rid, column) of those with many."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         col = np.frombuffer(b"".join(pdf["cols"]), np.uint64)
         rid = np.frombuffer(b"".join(pdf["rids"]), np.int64)
@@ -183,28 +200,47 @@ def pairs_and_hot(percent: int, hot: int):
         count = np.diff(np.append(begin, len(col)))
         of = np.repeat(np.arange(len(begin)), count)
         rest = size - place
-        a, b = [], []
-        cold = count[of] <= hot
-        # neighbours at distance d in a column, sizes ascending
-        for d in range(1, int(min(hot, count.max(initial=0)))):
+        cold = (count[of] <= hot) & (place != _BY_ROW)
+        # entries of the product by rows: a, b, 1, left_a, left_b, need
+        found = [np.empty((0, 6), np.int64)]
+        # neighbours at distance d in a column, sizes ascending: a is the smaller of a pair in every column
+        for d in range(1, int(min(hot, count[of][cold].max(initial=0)))):
             i = np.arange(len(col) - d)
             i = i[(of[:-d] == of[d:]) & cold[:-d]]
             if not len(i):
                 break
             j = i + d
+            need = least_overlap(size[i], size[j], percent)
+            # at most all places before are shared, and all behind
             ok = (100 * size[i] >= percent * size[j]) & (
-                np.minimum(rest[i], rest[j]) >= least_overlap(size[i], size[j], percent))
-            a.append(rid[i[ok]])
-            b.append(rid[j[ok]])
-        pairs = np.unique(np.sort(np.column_stack([np.concatenate([np.empty(0, np.int64), *a]),
-                                                   np.concatenate([np.empty(0, np.int64), *b])]), axis=1), axis=0)
-        warm = ~cold
-        return pd.DataFrame({"kind": np.repeat([0, 1], [len(pairs), int(warm.sum())]),
-                             "a": np.concatenate([pairs[:, 0], rid[warm]]),
-                             "b": np.concatenate([pairs[:, 1], col[warm].view(np.int64)])})
+                np.minimum(place[i], place[j]) + np.minimum(rest[i], rest[j]) >= need)
+            i, j, need = i[ok], j[ok], need[ok]
+            found.append(np.column_stack([rid[i], rid[j], np.ones_like(i), rest[i] - 1, rest[j] - 1, need]))
+        all_ = np.concatenate(found)
+        all_ = all_[np.lexsort((all_[:, 1], all_[:, 0]))]
+        at = np.flatnonzero(np.append(True, (all_[1:, :2] != all_[:-1, :2]).any(axis=1))[:len(all_)])
+        got = all_[at]
+        if len(at):
+            got[:, 2] = np.add.reduceat(all_[:, 2], at)
+            got[:, 3] = np.minimum.reduceat(all_[:, 3], at)
+            got[:, 4] = np.minimum.reduceat(all_[:, 4], at)
+        warm = np.flatnonzero(~cold)
+        more = np.zeros((len(warm), 6), np.int64)
+        more[:, 0], more[:, 1] = rid[warm], col[warm].view(np.int64)
+        out = pd.DataFrame(np.concatenate([got, more]), columns=["a", "b", "shared", "left_a", "left_b", "need"])
+        out.insert(0, "kind", np.repeat([0, 1], [len(got), len(more)]))
+        return out
     return run
 
 
+def accumulated(found: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose overlap, added up over all blocks of columns, and what is left
+    behind the last shared column reach what a link needs."""
+    return found.where("kind = 0").groupBy("a", "b").agg(
+        F.sum("shared").alias("shared"), F.min("left_a").alias("left_a"), F.min("left_b").alias("left_b"),
+        F.first("need").alias("need")).where("shared + least(left_a, left_b) >= need").select("a", "b")
+
+
 def sketch(s: np.ndarray) -> bytes:
     """Parities of the members hashed to 2**k bits, k after the size (one bit per
     member or two). Two sets differ in at least as many members as bits."""
@@ -388,10 +424,11 @@ def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     names = stored(each.where("name IS NOT NULL").groupBy("name").agg(
         F.min("rid").alias("rid"), F.min("doc_id").alias("least"), F.first("n").alias("n")), "join-names")
     # smaller sets than this link with equal ones only
-    least = next(n for n in range(1, 10_000) if 100 * n >= percent * (n + 1))
-    found = stored(_postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least)
-                   .groupBy("part").applyInPandas(pairs_and_hot(percent, hot), "kind int, a long, b long"), "join-found")
-    pairs = stored(found.where("kind = 0").select("a", "b").distinct(), "join-pairs")
+    least = next((n for n in range(1, 10_000) if 100 * n >= percent * (n + 1)), 1 << 62)
+    common = max(hot, each.count() // COMMON)
+    found = stored(_postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least, common)
+                   .groupBy("part").applyInPandas(pairs_and_hot(percent, hot), PAIRS), "join-found")
+    pairs = stored(accumulated(found), "join-pairs")
     links = _counted_links(packs, pairs, shingle, percent)
     member = found.where("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("col"))
     if not member.isEmpty():

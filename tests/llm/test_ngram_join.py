@@ -120,3 +120,67 @@ def test_sketches_never_differ_in_more_bits_than_members():
         b = np.unique(np.concatenate([a[rnd.random(len(a)) > rnd.random()], rnd.integers(0, 2**63, 9, dtype=np.uint64)]))
         apart = len(np.setxor1d(a, b))
         assert ngram_join.differing(ngram_join.sketch(a), ngram_join.sketch(b)) <= apart
+
+
+def test_counts_add_up_over_blocks(spark):
+    """Pairs that stay: bounds on accumulated overlaps, by brute force over single columns."""
+    rnd = random.Random(11)
+    table = np.ones(ngram_join.SLOTS, np.int64)
+    rows = {}
+    for f in range(12):
+        base = [rnd.randrange(1, 2**63) for _ in range(rnd.randrange(20, 60))]
+        for _ in range(4):
+            own = {c if rnd.random() > 0.06 else rnd.randrange(1, 2**63) for c in base}
+            rows[len(rows)] = np.array(sorted(own), np.uint64)
+    pre = {i: ngram_join.prefix(s, table, 90) for i, s in rows.items()}
+    blocks = []
+    for part in range(3):
+        for i, p in pre.items():
+            at = np.flatnonzero(p % np.uint64(3) == part)
+            blocks.append({"part": part, "cols": p[at].tobytes(), "rids": np.full(len(at), i).tobytes(),
+                           "sizes": np.full(len(at), len(rows[i]), np.uint32).tobytes(), "places": at.astype(np.uint32).tobytes()})
+    df = spark.createDataFrame(blocks, "part int, cols binary, rids binary, sizes binary, places binary")
+    found = df.groupBy("part").applyInPandas(ngram_join.pairs_and_hot(90, 64), ngram_join.PAIRS)
+    kept = {tuple(sorted((r.a, r.b))) for r in ngram_join.accumulated(found).collect()}
+    want, links = set(), set()
+    for i in rows:
+        for j in range(i):
+            n, m = len(rows[i]), len(rows[j])
+            both = [c for c in pre[i].tolist() if c in pre[j].tolist()]
+            need = -(-90 * (n + m) // 190)
+            if both and 100 * min(n, m) >= 90 * max(n, m):
+                last = [p.tolist().index(both[-1]) for p in (pre[i], pre[j])]
+                if len(both) + min(n - last[0] - 1, m - last[1] - 1) >= need:
+                    want.add((j, i))
+            x = len(np.intersect1d(rows[i], rows[j]))
+            if 100 * x >= 90 * (n + m - x):
+                links.add((j, i))
+    assert links <= kept == want and links
+
+
+def test_only_equal_sets_link_at_100_percent(spark):
+    rows = [(1, "a b c d e"), (2, "A b c d e"), (3, "a b c d f"), (4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(ngram_join.join_documents(df, percent=100)) == brute(rows, percent=100)
+
+
+def test_common_columns_are_dealt_out_by_row(spark, monkeypatch):
+    """A third of all rows share a passage: no block of columns holds them all."""
+    rnd = random.Random(13)
+    passage = " ".join(f"p{i}" for i in range(30))
+    texts = [f"{passage} y{rnd.randrange(10**6)}" for _ in range(200)] + [
+        " ".join(f"w{rnd.randrange(10**4)}" for _ in range(30)) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen = []
+    postings = ngram_join._postings
+
+    def counted(*args):
+        out = postings(*args)
+        seen.append([r.n for r in out.groupBy("part").agg(ngram_join.F.sum(
+            ngram_join.F.length("rids") / 8).alias("n")).collect()])
+        return out
+
+    monkeypatch.setattr(ngram_join, "_postings", counted)
+    assert got(ngram_join.join_documents(df, hot=16)) == brute(list(enumerate(texts)))
+    sizes = seen[-1]
+    assert max(sizes) < 3 * sum(sizes) / len(sizes)

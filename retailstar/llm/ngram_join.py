@@ -426,8 +426,8 @@ def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     # smaller sets than this link with equal ones only
     least = next((n for n in range(1, 10_000) if 100 * n >= percent * (n + 1)), 1 << 62)
     common = max(hot, each.count() // COMMON)
-    found = stored(_postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least, common)
-                   .groupBy("part").applyInPandas(pairs_and_hot(percent, hot), PAIRS), "join-found")
+    asked = _postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least, common)
+    found = stored(P.by_part(asked, parts).groupBy("part").applyInPandas(pairs_and_hot(percent, hot), PAIRS), "join-found")
     pairs = stored(accumulated(found), "join-pairs")
     links = _counted_links(packs, pairs, shingle, percent)
     member = found.where("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("col"))

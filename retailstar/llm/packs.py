@@ -28,6 +28,8 @@ from .common import prepare, shuffle_partitions
 
 PACK_CHARS = 4 << 20
 PART_BYTES = 16 << 20
+#: parts that one task answers, and bytes of texts in a bucket, in parts
+TASK_PARTS = 4
 
 
 def new_table() -> str:
@@ -45,8 +47,9 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """(pack, ids, texts) and the number of parts to deal names into.
 
     A row of the input is (pack, index) from then on, whatever its id is. The
-    number of parts follows the bytes of the texts. A caller that is done with
-    the packs before its result is read names the ``table`` and drops it.
+    numbers of parts and of buckets follow the bytes of the texts, which are summed
+    up first (one scan of the text column). A caller that is done with the packs
+    before its result is read names the ``table`` and drops it.
     """
     spark = docs.sparkSession
     prepare(spark)
@@ -76,12 +79,22 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     table = table or new_table()
-    n = shuffle_partitions(spark)
-    (named.mapInArrow(run, schema).write.bucketBy(n, "pack")
+    total = named.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0] or 0
+    parts = max(shuffle_partitions(spark), int(total // PART_BYTES) + 1)
+    (named.mapInArrow(run, schema).write.bucketBy(tasks(spark, parts), "pack")
      .option("path", f"{checkpoint_dir(spark)}/{table}").saveAsTable(table))
-    packs = spark.table(table)
-    total = packs.agg(F.sum("size")).first()[0] or 0
-    return packs.select("pack", "ids", "texts"), max(n, int(total // PART_BYTES) + 1)
+    return spark.table(table).select("pack", "ids", "texts"), parts
+
+
+def tasks(spark: SparkSession, parts: int) -> int:
+    """Buckets of packs, and tasks that share the parts: a task's bytes stay the same
+    however large the tables are."""
+    return max(shuffle_partitions(spark), -(-parts // TASK_PARTS))
+
+
+def by_part(asked: DataFrame, parts: int) -> DataFrame:
+    """Questions where their part is answered."""
+    return asked.repartition(tasks(asked.sparkSession, parts), "part")
 
 
 def part_of(names: np.ndarray, parts: int) -> np.ndarray:
@@ -130,22 +143,24 @@ def ask(packs: DataFrame, columns: list[str], parts: int,
     return packs.select("pack", "ids", "texts", *extra).mapInArrow(run, schema)
 
 
-def answer(asked: DataFrame, fn: Callable[[pd.DataFrame], list[bytes]]) -> DataFrame:
+def answer(asked: DataFrame, parts: int, fn: Callable[[pd.DataFrame], list[bytes]]) -> DataFrame:
     """(pack, part, told): ``fn`` sees all rows of a part and returns one blob per row."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"pack": pdf["pack"], "part": pdf["part"], "told": fn(pdf)})
-    return asked.groupBy("part").applyInPandas(run, "pack long, part int, told binary")
+    return by_part(asked, parts).groupBy("part").applyInPandas(run, "pack long, part int, told binary")
 
 
-def gather(answers: DataFrame, out: str) -> DataFrame:
-    """One row per pack: its answers by part."""
-    return answers.groupBy(F.col("pack").alias(f"{out}_pack")).agg(
-        F.collect_list(F.struct("part", "told")).alias(out))
+def gather(answers: DataFrame, parts: int, out: str) -> DataFrame:
+    """One row per pack, dealt like the buckets of packs: its answers by part."""
+    pack = f"{out}_pack"
+    dealt_out = answers.select(F.col("pack").alias(pack), "part", "told").repartition(
+        tasks(answers.sparkSession, parts), pack)
+    return dealt_out.groupBy(pack).agg(F.collect_list(F.struct("part", "told")).alias(out))
 
 
-def with_answers(packs: DataFrame, answers: DataFrame, out: str) -> DataFrame:
+def with_answers(packs: DataFrame, answers: DataFrame, parts: int, out: str) -> DataFrame:
     """The packs with their answers; texts stay where they are (bucketed by pack)."""
-    told = gather(answers, out)
+    told = gather(answers, parts, out)
     return packs.join(told.hint("shuffle_hash"), F.col("pack") == F.col(f"{out}_pack"), "left").drop(f"{out}_pack")
 
 

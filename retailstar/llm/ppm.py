@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from . import packs as P
 from . import words as W
-from .common import read_documents, shuffle_partitions, stored
-from ..session import scratch_path
+from .common import read_documents, stored
+from ..session import checkpoint_dir
 
 ORDER = 4
 END = 256
@@ -89,6 +89,12 @@ def ask_words(ids: list, texts: list) -> tuple[np.ndarray, dict]:
     return u, {"names": u, "n": n}
 
 
+def _numbered(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct names in order, and the place of every name in them."""
+    u, inv = np.unique(names, return_inverse=True)
+    return u, inv.ravel().astype(np.int32)
+
+
 def ask_grams(ids: list, texts: list) -> tuple[np.ndarray, dict]:
     train = np.array([is_training(i) for i in ids])
     names, counts = [], []
@@ -128,10 +134,11 @@ def codes(grams: DataFrame, order: int = ORDER) -> DataFrame:
     """
     full = grams.select("part", "gram", F.shiftright("gram", 9).alias("c"),
                         F.col("gram").bitwiseAND(F.lit(511)).alias("s"), "n")
-    levels = []
-    for k in range(order + 1):
-        c = F.col("c").bitwiseAND(F.lit((1 << 8 * k) - 1)) if k < order else F.col("c")
-        levels.append(full.groupBy(c.alias("c"), "s").agg(F.sum("n").alias("n")) if k < order else full)
+    levels = [full]
+    for k in range(order - 1, -1, -1):
+        # every level is a grouping of the next longer one, which is smaller than the table
+        c = F.col("c").bitwiseAND(F.lit((1 << 8 * k) - 1))
+        levels.insert(0, levels[0].groupBy(c.alias("c"), "s").agg(F.sum("n").alias("n")))
     per = Window.partitionBy("c")  # at most SYMBOLS rows per context
 
     def summed(df: DataFrame) -> DataFrame:
@@ -161,24 +168,22 @@ def codes(grams: DataFrame, order: int = ORDER) -> DataFrame:
     return lev.select("part", "gram", code.alias("code"))
 
 
-def _asked_by_part(asked: DataFrame) -> DataFrame:
+def _asked_by_part(asked: DataFrame, parts: int, table: str) -> DataFrame:
     """Written bucketed by part: read twice without a second shuffle."""
-    import uuid
     spark = asked.sparkSession
-    n = shuffle_partitions(spark)
-    table = f"asked_{uuid.uuid4().hex}"
-    (asked.repartition(n, "part").write.bucketBy(n, "part")
-     .option("path", scratch_path(spark, "asked")).saveAsTable(table))
+    (P.by_part(asked, parts).write.bucketBy(P.tasks(spark, parts), "part")
+     .option("path", f"{checkpoint_dir(spark)}/{table}").saveAsTable(table))
     return spark.table(table)
 
 
 def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
-    packs, parts = P.packed(docs, id_col, text_col, PACK_CHARS)
-    told_words = stored(P.ask(packs, ["names", "n"], parts, ask_words).groupBy("part").applyInPandas(
+    spark, written, asked_table = docs.sparkSession, P.new_table(), P.new_table()
+    packs, parts = P.packed(docs, id_col, text_col, PACK_CHARS, written)
+    told_words = stored(P.by_part(P.ask(packs, ["names", "n"], parts, ask_words), parts).groupBy("part").applyInPandas(
         answer_words, "pack long, part int, told binary"), "ppm-words")
     tokens, distinct = _stats(told_words)
-    asked = _asked_by_part(P.ask(packs, ["names", "n"], parts, ask_grams))
+    asked = _asked_by_part(P.ask(packs, ["names", "n"], parts, ask_grams), parts, asked_table)
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         u, n, _ = _totals(pdf)
@@ -195,8 +200,8 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     told_grams = asked.groupBy("part").cogroup(code.groupBy("part")).applyInPandas(
         reply, "pack long, part int, told binary")
-    known = P.with_answers(packs, told_words.where("pack >= 0"), "words")
-    known = P.with_answers(known, told_grams, "codes")
+    known = P.with_answers(packs, told_words.where("pack >= 0"), parts, "words")
+    known = P.with_answers(known, told_grams, parts, "codes")
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
 
@@ -207,7 +212,11 @@ def score_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 out = _scores(*[c[i].as_py() for c in cols], parts, tokens, distinct)
                 yield pa.RecordBatch.from_pydict(out)
 
-    return known.select("ids", "texts", "words", "codes").mapInArrow(apply, schema)
+    out = stored(known.select("ids", "texts", "words", "codes").mapInArrow(apply, schema), "ppm-scores")
+    # what follows reads the scores only
+    P.drop(spark, written)
+    P.drop(spark, asked_table)
+    return out
 
 
 def _stats(told_words: DataFrame) -> tuple[int, int]:
@@ -223,22 +232,27 @@ def _stats(told_words: DataFrame) -> tuple[int, int]:
 
 def _scores(ids: list, texts: list, words: list | None, codes_: list | None, parts: int,
             tokens: int, distinct: int) -> dict:
-    wu = np.unique(np.concatenate([[_END_NAME], *[np.unique(words_of(texts[a:b])[1])
-                                                  for a, b in W.slices(texts, SLICE_CHARS)]]).astype(np.uint64))
+    # every slice is read once: its counts and bounds, and places in its distinct names
+    counts, word_slices, gram_slices = [], [], []
+    for a, b in W.slices(texts, SLICE_CHARS):
+        w, h = words_of(texts[a:b])
+        counts.append(w.counts)
+        word_slices.append((*_numbered(h), w.first))
+        g, first = byte_grams(texts[a:b])
+        gram_slices.append((*_numbered(g), first))
+    wu = np.unique(np.concatenate([[_END_NAME], *[u for u, _, _ in word_slices]]).astype(np.uint64))
     wc = P.told(words, wu, parts, np.int64)
     base = np.log10((wc + 1.0) / (tokens + 1.0 * (distinct + 1)))
     end = int(np.searchsorted(wu, _END_NAME))
-    gu = np.unique(np.concatenate([np.unique(byte_grams(texts[a:b])[0]) for a, b in W.slices(texts, SLICE_CHARS)]))
+    gu = np.unique(np.concatenate([u for u, _, _ in gram_slices]))
     gc = P.told(codes_, gu, parts, np.float64)
     n_tokens, n_known, base_score, score = [], [], [], []
-    for a, b in W.slices(texts, SLICE_CHARS):
-        w, h = words_of(texts[a:b])
-        at = np.searchsorted(wu, h)
-        n_tokens.append(w.counts + 1)
-        n_known.append(_sums((wc[at] > 0).astype(np.int64), w.first) + int(wc[end] > 0))
-        base_score.append(_sums(base[at], w.first) + base[end])
-        g, first = byte_grams(texts[a:b])
-        score.append(_sums(gc[np.searchsorted(gu, g)], first))
+    for n, (u, inv, first), (v, place, bounds) in zip(counts, word_slices, gram_slices):
+        at = np.searchsorted(wu, u)
+        n_tokens.append(n + 1)
+        n_known.append(_sums((wc[at] > 0).astype(np.int64)[inv], first) + int(wc[end] > 0))
+        base_score.append(_sums(base[at][inv], first) + base[end])
+        score.append(_sums(gc[np.searchsorted(gu, v)][place], bounds))
     return {"doc_id": pa.array(ids, pa.int64()), "held_out": pa.array([not is_training(i) for i in ids]),
             "n_tokens": pa.array(np.concatenate(n_tokens)), "n_known": pa.array(np.concatenate(n_known)),
             "train_tokens": pa.array(np.full(len(ids), tokens, np.int64)),

@@ -154,14 +154,15 @@ def _distinct_windows(lanes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.nda
 def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                     rounds: int = ROUNDS, with_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and the kept words as ``kept_text``) of every row."""
-    packs, parts = P.packed(docs, id_col, text_col)
+    spark, written = docs.sparkSession, P.new_table()
+    packs, parts = P.packed(docs, id_col, text_col, table=written)
 
     def ask_symbols(ids, texts):
         u, many, _ = _distinct(Parsed(texts, window, rounds).names())
         return u, {"names": u, "many": many}
 
-    shared = stored(P.answer(P.ask(packs, ["names", "many"], parts, ask_symbols), P.seen_twice), "dedup-symbols")
-    known = P.with_answers(packs, shared, "shared")
+    shared = stored(P.answer(P.ask(packs, ["names", "many"], parts, ask_symbols), parts, P.seen_twice), "dedup-symbols")
+    known = P.with_answers(packs, shared, parts, "shared")
 
     def windows(texts, rows):
         p = Parsed(texts, window, rounds, second=True)
@@ -174,7 +175,7 @@ def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         _, _, lanes, many, _ = windows(texts, rows)
         return lanes[:, 0], {"names": lanes, "many": many}
 
-    repeated = P.answer(P.ask(known, ["names", "many"], parts, ask_windows, ["shared"]),
+    repeated = P.answer(P.ask(known, ["names", "many"], parts, ask_windows, ["shared"]), parts,
                         lambda pdf: P.seen_twice(pdf, 2))
     fields = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
 
@@ -194,8 +195,10 @@ def dedup_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                     arrays.append(pa.array([x[1].decode("utf-8", "replace") for x in out], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in fields.split(", ")])
 
-    both = P.with_answers(known, repeated, "again")
-    return both.select("ids", "texts", "shared", "again").mapInArrow(apply, fields)
+    both = P.with_answers(known, repeated, parts, "again")
+    out = stored(both.select("ids", "texts", "shared", "again").mapInArrow(apply, fields), "dedup-documents")
+    P.drop(spark, written)
+    return out
 
 
 def _kept(w: W.Words, gone: np.ndarray) -> list[tuple[int, bytes]]:

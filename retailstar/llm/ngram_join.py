@@ -22,9 +22,14 @@ is completed on the whole sets. Columns held by many rows (families of near copi
 pairs (two rows that share one meet in their family, whatever the sums above
 leave out): columns that the count table shows to be common are dealt out by row,
 so no group holds all rows of one. Rows that hang together by such columns form a family, families are cut
-into blocks of bounded size by size class and hash, and each pair of blocks that
+into blocks of bounded size by size class and hash, and a pair of blocks that
 the bounds allow is one dense product in one task, which returns no more edges
-than a spanning forest of the links it found. The components of all links are
+than a spanning forest of the links it found. First every block meets the first one of
+its class and of the classes next to it; then, for the other pairs of blocks, sketches
+name the rows that may link with a row they do not hang together with yet, and only
+those are sent there as whole sets. A family of copies hangs together after the first
+step, one of texts that merely share a phrase names few rows, so the sets that are sent
+do not grow with a family's square. The components of all links are
 then found by star contraction.
 
 Words `[^\x20\x09-\x0D]+`, A-Z lower-cased. A text with fewer than ``n`` words
@@ -61,6 +66,8 @@ COMMON = 100
 _BY_ROW = np.iinfo(np.uint32).max
 BLOCK_ROWS = 256
 BLOCK_ENTRIES = 400_000
+#: blocks whose sketches meet in one task
+SKETCH_BLOCKS = 16
 _U = np.uint64
 
 
@@ -374,8 +381,77 @@ def block_links(percent: int):
     return run
 
 
-def _family_links(packs: DataFrame, member: DataFrame, sizes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Links inside families; ``member`` (rid, col) of columns with many rows."""
+def _folded(x: bytes, size: int) -> bytes:
+    """A sketch at ``size`` bytes, as it would have been made with fewer bits."""
+    while len(x) > size:
+        bits = np.unpackbits(np.frombuffer(x, np.uint8))
+        x = np.packbits(bits[0::2] ^ bits[1::2]).tobytes()
+    return x
+
+
+def block_candidates(percent: int):
+    """Per pair of groups of blocks (x, y) of sketches: the rows that may link with a row
+    of another component, once for each pair of blocks (family, k, x, next, y) that holds such a row."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        family, k, nxt = (int(pdf[c].iloc[0]) for c in ("family", "k", "next"))
+        rid, n, cut, comp, side = (pdf[c].to_numpy(np.int64) for c in ("rid", "n", "cut", "comp", "side"))
+        least = min(len(b) for b in pdf["members"])
+        bits = np.frombuffer(b"".join(_folded(b, least) for b in pdf["members"]), np.uint64).reshape(len(pdf), -1)
+        same = nxt == 0 and pdf["x"].iloc[0] == pdf["y"].iloc[0]
+        left = np.flatnonzero(side == 0)
+        right = left if same else np.flatnonzero(side == 1)
+        right = right[np.argsort(cut[right], kind="stable")]
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: np.empty(0, np.int64) for c in TASK})
+        cuts, starts = np.unique(cut[right], return_index=True)
+        mine, at = np.unique(cut[left], return_inverse=True)
+        to_right, to_left = np.zeros((len(left), len(cuts)), bool), np.zeros((len(right), len(mine)), bool)
+        m, other, theirs = n[right], comp[right], bits[right]
+        for p, i in enumerate(left):
+            most = n[i] + m - 2 * least_overlap(n[i], m, percent)
+            near = (comp[i] != other) & (100 * np.minimum(n[i], m) >= percent * np.maximum(n[i], m))
+            near[near] = np.bitwise_count(theirs[near] ^ bits[i]).sum(axis=1, dtype=np.int64) <= most[near]
+            if near.any():
+                to_right[p] = np.logical_or.reduceat(near, starts)
+                to_left[near, at[p]] = True
+        i, c = np.nonzero(to_right)
+        row, own, partner, where = left[i], cut[left[i]], cuts[c], np.zeros(len(i), np.int64)
+        if not same:
+            j, d = np.nonzero(to_left)
+            row, own, partner = (np.concatenate(v) for v in (
+                (row, right[j]), (own, cut[right[j]]), (partner, mine[d])))
+            where = np.concatenate([where, np.ones(len(j), np.int64)])
+        if nxt:
+            x, y = np.where(where == 0, own, partner), np.where(where == 0, partner, own)
+        else:
+            x, y, where = np.minimum(own, partner), np.maximum(own, partner), (own > partner).astype(np.int64)
+        return pd.DataFrame({"rid": rid[row], "family": family, "k": k, "x": x, "next": nxt, "y": y, "side": where})
+    return run
+
+
+TASK = ["rid", "family", "k", "x", "next", "y", "side"]
+
+
+def _met(cut, cuts, above, below, chosen=lambda c: F.lit(True)):
+    """The pairs of blocks of a row in block ``cut``: its own with each of its own class
+    and of the classes next to it, as far as ``chosen``."""
+    def each(many, pair):
+        return F.transform(F.filter(F.sequence(F.lit(0), many), lambda c: (c < many) & chosen(c)), pair)
+
+    own = each(cuts, lambda c: F.struct(
+        F.col("klass").alias("k"), F.least(cut, c).alias("x"), F.lit(0).alias("next"), F.greatest(cut, c).alias("y"),
+        F.when(cut <= c, 0).otherwise(1).alias("side")))
+    up = each(above, lambda c: F.struct(
+        F.col("klass").alias("k"), cut.alias("x"), F.lit(1).alias("next"), c.alias("y"), F.lit(0).alias("side")))
+    down = each(below, lambda c: F.struct(
+        (F.col("klass") - 1).alias("k"), c.alias("x"), F.lit(1).alias("next"), cut.alias("y"), F.lit(1).alias("side")))
+    return F.explode(F.concat(own, up, down)).alias("t")
+
+
+def _family_links(packs: DataFrame, member: DataFrame, sizes: DataFrame, known: DataFrame, shingle: int,
+                  percent: int) -> DataFrame:
+    """Links inside families, beside the ``known`` ones, that make up the same components
+    as all links; ``member`` (rid, col) of columns with many rows."""
     # a family: rows that hang together by such columns
     least = member.groupBy("col").agg(F.min("rid").alias("m"))
     star = member.join(least.withColumnRenamed("col", "lc"), F.col("col") == F.col("lc")).select(
@@ -396,19 +472,30 @@ def _family_links(packs: DataFrame, member: DataFrame, sizes: DataFrame, shingle
                     F.coalesce("below", F.lit(0)).alias("below")))
     cut = F.pmod(F.xxhash64("rid"), F.col("cuts")).cast("int")
     placed = rows.join(plan, (F.col("family") == F.col("bf")) & (F.col("klass") == F.col("bk"))).withColumn("cut", cut)
-    # the block pairs of a row: (klass, cut) with each cut of its own class and of the classes next to it
-    own = F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda c: F.struct(
-        F.col("klass").alias("k"), F.least("cut", c).alias("x"), F.lit(0).alias("next"), F.greatest("cut", c).alias("y"),
-        F.when(F.col("cut") <= c, 0).otherwise(1).alias("side")))
-    above = F.transform(F.filter(F.sequence(F.lit(0), F.col("above")), lambda c: c < F.col("above")), lambda c: F.struct(
-        F.col("klass").alias("k"), F.col("cut").alias("x"), F.lit(1).alias("next"), c.alias("y"), F.lit(0).alias("side")))
-    below = F.transform(F.filter(F.sequence(F.lit(0), F.col("below")), lambda c: c < F.col("below")), lambda c: F.struct(
-        (F.col("klass") - 1).alias("k"), c.alias("x"), F.lit(1).alias("next"), F.col("cut").alias("y"), F.lit(1).alias("side")))
-    tasks = placed.select("rid", "family", F.explode(F.concat(own, above, below)).alias("t")).select(
-        "rid", "family", "t.k", "t.x", "t.next", "t.y", "t.side")
-    sets = _sets(packs, rows.select("rid"), shingle).select(F.col("rid").alias("m_rid"), "members")
-    return tasks.join(sets, F.col("rid") == F.col("m_rid")).drop("m_rid").groupBy(
-        "family", "k", "x", "next", "y").applyInPandas(block_links(percent), "a long, b long")
+
+    def products(tasks: DataFrame) -> DataFrame:
+        sets = _sets(packs, tasks.select("rid").distinct(), shingle).select(F.col("rid").alias("m_rid"), "members")
+        return tasks.join(sets, F.col("rid") == F.col("m_rid")).drop("m_rid").groupBy(
+            "family", "k", "x", "next", "y").applyInPandas(block_links(percent), "a long, b long")
+
+    block, many, above, below = F.col("cut"), F.col("cuts"), F.col("above"), F.col("below")
+    first = placed.select("rid", "family", _met(block, many, above, below, lambda c: (c == 0) | (block == 0)))
+    links = stored(products(first.select("rid", "family", "t.*")), "join-first")
+    others = placed.where("cut > 0")
+    if others.isEmpty():
+        return links
+    # what links the first blocks have is known; the others meet as sketches
+    roots = stored(components(known.union(links)), "join-first-roots")
+    sketches = _sets(packs, others.select("rid"), shingle, sketch).select(F.col("rid").alias("m_rid"), "members")
+    group = lambda c: F.ceil(c / SKETCH_BLOCKS).cast("int")
+    meet = others.join(roots, F.col("rid") == F.col("node"), "left").select(
+        "rid", "family", "n", "cut", F.coalesce("root", "rid").alias("comp"),
+        _met(F.floor(block / SKETCH_BLOCKS).cast("int"), group(many), group(above), group(below)))
+    asked = stored(meet.select("rid", "family", "n", "cut", "comp", "t.*").join(sketches, F.col("rid") == F.col("m_rid"))
+                   .drop("m_rid").groupBy("family", "k", "x", "next", "y")
+                   .applyInPandas(block_candidates(percent), "rid long, family long, k int, x int, next int, y int, side int"),
+                   "join-asked").distinct()
+    return links.union(products(asked))
 
 
 # --- the operator ---------------------------------------------------------------
@@ -429,10 +516,10 @@ def join_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     asked = _postings(packs, names.where(F.col("n") >= least).select("rid"), parts, table, shingle, percent, least, common)
     found = stored(P.by_part(asked, parts).groupBy("part").applyInPandas(pairs_and_hot(percent, hot), PAIRS), "join-found")
     pairs = stored(accumulated(found), "join-pairs")
-    links = _counted_links(packs, pairs, shingle, percent)
+    links = stored(_counted_links(packs, pairs, shingle, percent), "join-links")
     member = found.where("kind = 1").select(F.col("a").alias("rid"), F.col("b").alias("col"))
     if not member.isEmpty():
-        links = links.union(_family_links(packs, member, names.select("rid", "n"), shingle, percent))
+        links = links.union(_family_links(packs, member, names.select("rid", "n"), links, shingle, percent))
     roots = stored(components(links), "join-roots")
     # what follows reads written tables of ids and names only
     P.drop(spark, written)

@@ -184,3 +184,43 @@ def test_common_columns_are_dealt_out_by_row(spark, monkeypatch):
     assert got(ngram_join.join_documents(df, hot=16)) == brute(list(enumerate(texts)))
     sizes = seen[-1]
     assert max(sizes) < 3 * sum(sizes) / len(sizes)
+
+
+def test_family_without_links_sends_each_set_few_times(spark, monkeypatch, tmp_path):
+    """Texts of the same phrases hang together but do not link: their sets must not go to
+    every pair of blocks. Copies among them are found all the same."""
+    rnd = random.Random(5)
+    phrases = [[" ".join(f"s{s}p{p}w{k}" for k in range(9)) for p in range(3)] for s in range(6)]
+    texts = [" ".join(rnd.choice(slot) for slot in phrases) for _ in range(240)]
+    texts += [" ".join([*t.split()[:-1], f"end{k}"]) for k, t in enumerate(texts[:20])]
+    texts += near_copies(rnd, 1, 60, 60)
+    plain, block_links = str(tmp_path), ngram_join.block_links
+
+    def counted(percent):
+        run = block_links(percent)
+
+        def noted(pdf):
+            import uuid
+            with open(f"{plain}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(len(pdf)))
+            return run(pdf)
+        return noted
+
+    monkeypatch.setattr(ngram_join, "block_links", counted)
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "SKETCH_BLOCKS", 2, raising=False)
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(ngram_join.join_documents(df, hot=8)) == brute(rows)
+    sent = sum(int(p.read_text()) for p in tmp_path.iterdir())
+    assert 0 < sent < 12 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [80, 90])
+def test_small_blocks_meet_as_sketches(spark, monkeypatch, percent):
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 2)
+    monkeypatch.setattr(ngram_join, "SKETCH_BLOCKS", 2, raising=False)
+    rnd = random.Random(percent)
+    rows = list(enumerate(near_copies(rnd, 4, 40, 30)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(ngram_join.join_documents(df, hot=8, percent=percent)) == brute(rows, percent=percent)

@@ -21,10 +21,10 @@ from ..functions.text import clean_name
 from ..operators.dedup import distinct_rows, survivor
 from ..operators.joins import lookup_join
 from ..operators.keys import map_ids, with_stable_keys
-from ..session import release_temporary, temporary_table
+from ..session import release_temporary
 from . import dimensions as D
 from .facts import FACT_COLUMNS, LOOKUPS, database_sales, lookup_keys, number_fact
-from .normalize import NAME_COLUMNS, normalize_sales
+from .normalize import BUYER, different_names, normalize_sales
 from .publish import Manifest, Store, audit_rows, audit_star
 from .versions import next_versions
 from .warehouse import DB_TABLES, Warehouse
@@ -48,12 +48,12 @@ def first_load(store: Store, wh: Warehouse, batch: str = "1") -> Manifest:
     return store.publish(m, [audit_star(store, NATURAL_KEYS)])
 
 
-def _entities(store: Store, m: Manifest, flat: DataFrame, reference: DataFrame) -> Manifest:
-    """The six entity tables after the batch: known ids stay."""
-    names, _ = temporary_table(distinct_rows(flat.select(*NAME_COLUMNS)), "names")
+def _entities(store: Store, m: Manifest, different: tuple[DataFrame, DataFrame], reference: DataFrame) -> Manifest:
+    """The six entity tables after the batch with these names: known ids stay."""
+    buyers, names = different
 
     def names_of(column: str) -> DataFrame:
-        return distinct_rows(names.select(F.col(column).alias("name")))
+        return distinct_rows((buyers if column in BUYER else names).select(F.col(column).alias("name")))
 
     def put(m: Manifest, table: str, incoming: DataFrame) -> Manifest:
         return store.write(m, table, with_stable_keys(store.read(m, table), incoming, ["name"], ["name"]))
@@ -85,10 +85,11 @@ def _after(df: DataFrame, key: str, former: DataFrame | None) -> DataFrame:
 def load_batch(store: Store, flat: DataFrame, reference: DataFrame, batch: str, load_ts: str) -> Manifest:
     """Load cleaned sales as ``batch``; the candidate to publish."""
     m = store.manifest()
-    m = _entities(store, m, flat, reference)
+    different = different_names(flat)
+    m = _entities(store, m, different, reference)
     entities = {t: store.read(m, t) for t in DB_TABLES[:-1]}
     former = store.read_loads(m, "sales", without=batch)
-    m = store.write_load(m, "sales", batch, _after(normalize_sales(flat, entities), "id", former))
+    m = store.write_load(m, "sales", batch, _after(normalize_sales(flat, entities, different), "id", former))
     sales = store.spark.read.parquet(f"{store.root}/sales/load={m.loads['sales'][batch]}")
 
     members = {"dim_product": D.product_members(entities["product"], entities["product_type"], entities["product_line"]),

@@ -4,6 +4,7 @@ from decimal import Decimal
 
 import pytest
 
+from retailstar import session
 from retailstar.operators import keys
 from retailstar.plans import facts, normalize
 from retailstar.plans.warehouse import build_dimensions
@@ -86,3 +87,19 @@ def test_orders_bring_their_quarter_not_their_day(spark):
     lines = sales_lines(spark, SMOKE)
     above = [line for line in _plan(lines).splitlines() if "o_orderdate" in line and "Relation" not in line and "Filter" not in line]
     assert len(above) == 1 and "trunc(" in above[0]
+
+
+def test_a_load_reads_its_tables_in_small_pieces(spark, tmp_path, monkeypatch):
+    """A piece of the session's 128 MB of narrow rows is more than a task sorts in memory."""
+    spark.range(1 << 18).selectExpr("id", "md5(string(id)) AS s").coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(f"{tmp_path}/t")
+    had = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    monkeypatch.setattr(session, "SPLIT_BYTES", 1 << 20)
+    spark.conf.set("spark.sql.files.openCostInBytes", "64m")   # else the cores decide
+    try:
+        with session.sized_for(spark, 1):
+            assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() >= 8
+        assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == had

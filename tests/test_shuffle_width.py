@@ -47,6 +47,17 @@ def test_columns_together_are_numbered_as_one_by_one(spark, ranged):
         keys.dense_number(df, order, "n", together=["d", "b"])
 
 
+def test_many_combinations_are_sorted_as_they_are(spark, ranged, monkeypatch):
+    """A large table of places would be joined by two more shuffles of the rows."""
+    df = spark.createDataFrame([(i % 40, i % 7, i % 3) for i in range(300)], "a int, b int, c int")
+    plain = keys.dense_number(df, ["a", "b", "c"], "n").collect()
+    monkeypatch.setattr(keys, "MOST_PLACES", 100)
+    ranged.clear()
+    got = keys.dense_number(df, ["a", "b", "c"], "n", together=["a", "b"]).collect()
+    assert sorted(got) == sorted(plain)
+    assert not any("__rs_place" in line for columns, line in ranged if "c" in columns)
+
+
 def test_fact_and_sales_are_sorted_without_small_keys_and_quarters(spark, ranged):
     fact = [(i % 11, i % 3 or None, i % 2, i % 4 + 1, 1, Decimal(i % 5), i % 6, Decimal("0.1")) for i in range(90)]
     cols = "product_tk long, country_tk long, retailer_tk long, date_tk int, order_method_tk long, revenue decimal(18,4), " \

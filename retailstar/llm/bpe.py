@@ -21,6 +21,7 @@ the empty string); repeated rows each get their row.
 
 from __future__ import annotations
 
+import json
 import os
 from functools import lru_cache
 
@@ -29,7 +30,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, quoted, read_documents, sha256, stored
+from .common import SLICE_CHARS, annotate, quoted, read_documents, sha256, stored
+from .words import slices
 
 CHUNK_CHARS = 32_768
 _SPACES = " \n\t\r"
@@ -64,21 +66,21 @@ def _byte_alphabet() -> dict[str, int]:
 
 @lru_cache(maxsize=4)
 def _fast(path: str):
-    """(encode, decode) of one text: the same vocabulary in the tiktoken library,
-    about three times as fast. Only for plain byte-level BPE files, else None."""
-    import json
-    tok = _tokenizer(path)
-    spec = json.loads(tok.to_str())
-    pre, model = spec["pre_tokenizer"] or {}, spec["model"]
-    if (model["type"] != "BPE" or spec["normalizer"] or pre.get("type") != "ByteLevel" or model.get("ignore_merges")
-            or pre.get("add_prefix_space") or not pre.get("use_regex", True) or model.get("dropout")
-            or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"])):
+    """(encode, decode, special tokens, number of ids): the same vocabulary in the
+    tiktoken library, about three times as fast. Only for plain byte-level BPE files,
+    else None. Read from the file itself, so a worker that encodes short texts holds
+    the vocabulary once and not in the other library, too."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    pre, model, added = spec.get("pre_tokenizer") or {}, spec["model"], spec.get("added_tokens") or []
+    if (model.get("type") != "BPE" or spec.get("normalizer") or pre.get("type") != "ByteLevel" or model.get("ignore_merges")
+            or pre.get("add_prefix_space", True) or not pre.get("use_regex", True) or model.get("dropout")
+            or any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)):
         return None
     import tiktoken
     byte = _byte_alphabet()
-    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-    ranks = {bytes(byte[c] for c in t): i for t, i in tok.get_vocab(with_added_tokens=False).items()
-             if t not in special}
+    special = {t["content"]: t["id"] for t in added}
+    ranks = {bytes(byte[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
     enc = tiktoken.Encoding("byte-level", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
     def encode(text: str) -> list[int]:
@@ -87,7 +89,7 @@ def _fast(path: str):
     def decode(ids: list[int]) -> bytes:
         return enc.decode_bytes(ids).decode("utf-8", "replace").encode("utf-8")
 
-    return encode, decode
+    return encode, decode, tuple(special), enc.n_vocab
 
 
 def _encode_all(texts: list[str], path: str) -> list[list[int]]:
@@ -106,12 +108,14 @@ def _decode_all(ids: list[list[int]], path: str) -> list[bytes]:
 
 @lru_cache(maxsize=4)
 def _numbers(path: str) -> list[str]:
-    return [str(i) for i in range(_tokenizer(path).get_vocab_size(with_added_tokens=True))]
+    fast = _fast(path)
+    return [str(i) for i in range(fast[3] if fast else _tokenizer(path).get_vocab_size(with_added_tokens=True))]
 
 
 @lru_cache(maxsize=4)
 def _specials(path: str) -> tuple[str, ...]:
-    return tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
+    fast = _fast(path)
+    return fast[2] if fast else tuple(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
 
 
 # --- cutting -----------------------------------------------------------------
@@ -237,10 +241,10 @@ def encode_long(texts: DataFrame, path: str, chunk: int) -> DataFrame:
 
     def encode(frames):
         for pdf in frames:
-            ids = [encode_raw(p, path) if raw else _encode_all([p], path)[0]
-                   for raw, p in zip(pdf["raw"], pdf["part"])]
+            # a chunk's ids are packed at once: as Python numbers they take ten times as much
             yield pdf[["sha", "run", "node", "nodes"]].assign(
-                ids=[np.array(i, np.int32).tobytes() for i in ids])
+                ids=[np.array(encode_raw(p, path) if raw else _encode_all([p], path)[0], np.int32).tobytes()
+                     for raw, p in zip(pdf["raw"], pdf["part"])])
 
     parts = texts.mapInPandas(chunks, "sha string, run long, node long, nodes long, raw boolean, part string")
     # one row per chunk of a different text, dealt out evenly however long a text is
@@ -259,10 +263,14 @@ def encode_long(texts: DataFrame, path: str, chunk: int) -> DataFrame:
     def spell(frames):
         number = _numbers(path)
         for pdf in frames:
-            ids = [_as_ids(b) for b in pdf["ids"]]
-            yield pd.DataFrame({"sha": pdf["sha"], "run": pdf["run"], "n": [len(i) for i in ids],
-                                "csv": [",".join([number[j] for j in i]) for i in ids],
-                                "decoded": [d.decode("utf-8") for d in _decode_all(ids, path)], "ids": ids})
+            blobs = pdf["ids"].tolist()
+            for lo, hi in slices(blobs, SLICE_CHARS):
+                ids = [_as_ids(b) for b in blobs[lo:hi]]
+                yield pd.DataFrame({"sha": pdf["sha"].iloc[lo:hi].tolist(), "run": pdf["run"].iloc[lo:hi].tolist(),
+                                    "n": [len(i) for i in ids],
+                                    "csv": [",".join([number[j] for j in i]) for i in ids],
+                                    "decoded": [d.decode("utf-8") for d in _decode_all(ids, path)],
+                                    "ids": [np.frombuffer(b, np.int32) for b in blobs[lo:hi]]})
 
     spelt = runs.mapInPandas(spell, "sha string, run long, n long, csv string, decoded string, ids array<int>")
     whole = spelt.groupBy("sha").agg(F.sort_array(F.collect_list(

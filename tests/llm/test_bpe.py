@@ -1,7 +1,11 @@
 """BPE (1) against the tokenizers library and an exact round trip."""
 
 import hashlib
+import os
+import pathlib
 import random
+import subprocess
+import sys
 
 import pytest
 
@@ -57,6 +61,27 @@ def test_documents(spark, chunk):
     assert got == sorted(want, key=str)
 
 
+def test_short_texts_take_the_vocabulary_once():
+    """A worker that cuts, encodes and spells plain texts loads one library's vocabulary."""
+    code = ("from retailstar.llm import bpe; p = bpe.default_path(); t = 'a plain text <|endoftext|> of 7 words ' * 30; "
+            "ids = bpe._encode_all([x[4] for x in bpe.cut(t, p, 100)], p); assert bpe._decode_all(ids, p); "
+            "assert bpe._numbers(p)[-1] == '50256' and bpe._specials(p) == ('<|endoftext|>',); "
+            "assert bpe._tokenizer.cache_info().currsize == 0")
+    root = pathlib.Path(__file__).resolve().parents[2]
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, env=os.environ | {"PYTHONPATH": str(root)})
+
+
+def test_long_texts_are_spelt_in_small_batches(spark):
+    """A batch of more than a megabyte of ids is spelt in several pieces, with the same result."""
+    texts = [f"w{i} " * 150_000 for i in range(4)]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "sha string, text string").coalesce(1)
+    got = {r.sha: r for r in bpe.encode_long(df, PATH, bpe.CHUNK_CHARS).collect()}
+    for i, t in enumerate(texts):
+        ids = whole(t)
+        assert (got[str(i)].n_tokens, list(got[str(i)].ids), got[str(i)].decoded) == (len(ids), ids, t)
+        assert got[str(i)].csv == ",".join(map(str, ids))
+
+
 def test_empty_table(spark):
     assert bpe.encode_documents(spark.createDataFrame([], "doc_id long, text string"), ["doc_id"]).count() == 0
 

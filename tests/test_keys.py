@@ -118,3 +118,14 @@ def test_ranges_follow_the_bytes_and_are_bounded():
     from retailstar.operators import keys as K
     assert K.ranges_for(0, 8) == 1 and K.ranges_for(3 << 20, 8) == 3 and K.ranges_for(1 << 30, 8) == 8
     assert K.ranges_for(100 << 30, 200) == 400 and K.ranges_for(100 << 40, 200) == K.MAX_RANGES
+
+
+def test_numbering_starts_no_python_worker(spark, monkeypatch):
+    # the offsets go to the executors as an Arrow table, not through an RDD of Python rows
+    def refused(*a, **k):
+        raise AssertionError("an RDD of Python rows")
+    monkeypatch.setattr(spark.sparkContext, "parallelize", refused)
+    monkeypatch.setattr(type(spark), "_createFromLocal", refused, raising=False)
+    df = spark.range(0, 500).select((F.col("id") * 7 % 503).alias("a"))
+    assert sorted(tuple(r) for r in dense_number(df, ["a"], "rn", partitions=5).collect()) == _reference_numbers(df, ["a"])
+    assert dense_number(df.where("a < 0"), ["a"], "rn").count() == 0

@@ -46,6 +46,17 @@ class Manifest:
         return replace(self, loads=self.loads | {name: self.loads.get(name, {}) | {batch: folder}},
                        rows=self.rows | {f"{name}/{batch}": rows})
 
+    def with_new(self, before: Manifest, other: Manifest) -> Manifest:
+        """This manifest with what ``other`` names and ``before``, from which both were
+        made, did not."""
+        def new(was: dict, now: dict) -> dict:
+            return {k: v for k, v in now.items() if was.get(k) != v}
+
+        loads = {t: self.loads.get(t, {}) | new(before.loads.get(t, {}), b) for t, b in other.loads.items()}
+        # rows follow their folders: a table written anew may have as many rows as before
+        return replace(self, tables=self.tables | new(before.tables, other.tables), loads=self.loads | loads,
+                       rows=self.rows | new(before.rows, other.rows))
+
 
 class Store:
     """Tables below ``root``, read through the current manifest."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.keys import extend_keys, same_key
 from ..operators.quality import ExpectationError
+from ..session import temporary_table
 from .dimensions import Dimension, moment, VALID_FROM
 
 
@@ -46,6 +47,8 @@ def next_versions(dim: Dimension, table: DataFrame, members: DataFrame, load_ts,
     by = list(key or dim.business)
     tracked = [c for c in (*dim.business, *dim.told) if c not in by]
     ts = moment(load_ts)
+    # read by the check and by the join
+    members, _ = temporary_table(members, "members")
     repeated = members.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
     if repeated:
         raise ExpectationError(f"{dim.key}: the load has a business key twice, e.g. {repeated[0]}")

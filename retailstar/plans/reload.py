@@ -21,9 +21,9 @@ from ..functions.text import clean_name
 from ..operators.dedup import distinct_rows, survivor
 from ..operators.joins import lookup_join
 from ..operators.keys import map_ids, with_stable_keys
-from ..session import release_temporary
+from ..session import at_once, release_temporary
 from . import dimensions as D
-from .facts import FACT_COLUMNS, LOOKUPS, database_sales, lookup_keys, number_fact
+from .facts import FACT_COLUMNS, LOOKUPS, fact_rows_over_time, number_fact
 from .normalize import BUYER, different_names, normalize_sales
 from .publish import Manifest, Store, audit_rows, audit_star
 from .versions import next_versions
@@ -38,14 +38,15 @@ LOOKUPS_OVER_TIME = LOOKUPS | {"dim_product": ("product_tk", {"product_name": "p
 
 def first_load(store: Store, wh: Warehouse, batch: str = "1") -> Manifest:
     """The loaded warehouse as the store's first batch, audited and published."""
-    m, db, star = Manifest(), wh.database(), wh.star()
-    for name in DB_TABLES[:-1]:
-        m = store.write(m, name, db[name])
-    for name in NATURAL_KEYS:
-        m = store.write(m, name, star[name])
-    m = store.write_load(m, "sales", batch, db["sales"])
+    db, star = wh.database(), wh.star()
+    none = Manifest()
+    tables = {name: db[name] for name in DB_TABLES[:-1]} | {name: star[name] for name in NATURAL_KEYS}
     # the warehouse's files hold one date each, so a task has few dates without a shuffle
-    m = store.write_load(m, "fact_sales", batch, star["fact_sales"], ["date_tk"])
+    parts = at_once(store.spark, [
+        lambda: store.write_load(none, "fact_sales", batch, star["fact_sales"], ["date_tk"]),
+        lambda: store.write_load(none, "sales", batch, db["sales"]),
+        *[lambda name=name, df=df: store.write(none, name, df) for name, df in tables.items()]])
+    m = _joined(none, parts)
     return store.publish(m, [audit_star(store, NATURAL_KEYS)])
 
 
@@ -59,22 +60,34 @@ def _entities(store: Store, m: Manifest, different: tuple[DataFrame, DataFrame],
     def put(m: Manifest, table: str, incoming: DataFrame) -> Manifest:
         return store.write(m, table, with_stable_keys(store.read(m, table), incoming, ["name"], ["name"]))
 
-    ref = D.unique_names(reference).select(F.col("name").alias("ref_name"), "population", "region")
-    countries = lookup_join(names_of("retailer_country"), ref, clean_name("name") == F.col("ref_name"), "left")
-    m = put(m, "country", countries.select("name", F.coalesce("population", F.lit(0)).alias("population"),
-                                           F.coalesce("region", F.lit(D.UNKNOWN_REGION)).alias("region")))
-    for table, column in (("order_method", "order_method_type"), ("product_line", "product_line")):
-        m = put(m, table, names_of(column))
-    # a known type keeps its flag, a new one is not a speciality store
-    flags = store.read(m, "retailer_type").select(F.col("name").alias("had"), "speciality_store")
-    types = lookup_join(names_of("retailer_type"), flags, F.col("name") == F.col("had"), "left")
-    m = put(m, "retailer_type", types.select("name", F.coalesce("speciality_store", F.lit(0)).cast("int").alias("speciality_store")))
-    lines = survivor(distinct_rows(names.select(F.col("product_type").alias("name"), "product_line")), ["name"], [F.col("product_line")])
-    m = put(m, "product_type", map_ids(lines, store.read(m, "product_line"), ["product_line"], ["name"], "id",
-                                       "product_line_fk").select("name", "product_line_fk"))
-    typed = survivor(distinct_rows(names.select(F.col("product").alias("name"), "product_type")), ["name"], [F.col("product_type")])
-    return put(m, "product", map_ids(typed, store.read(m, "product_type"), ["product_type"], ["name"], "id",
-                                     "product_type_fk").select("name", "product_type_fk"))
+    def country() -> Manifest:
+        ref = D.unique_names(reference).select(F.col("name").alias("ref_name"), "population", "region")
+        countries = lookup_join(names_of("retailer_country"), ref, clean_name("name") == F.col("ref_name"), "left")
+        return put(m, "country", countries.select("name", F.coalesce("population", F.lit(0)).alias("population"),
+                                                  F.coalesce("region", F.lit(D.UNKNOWN_REGION)).alias("region")))
+
+    def retailer_type() -> Manifest:
+        # a known type keeps its flag, a new one is not a speciality store
+        flags = store.read(m, "retailer_type").select(F.col("name").alias("had"), "speciality_store")
+        types = lookup_join(names_of("retailer_type"), flags, F.col("name") == F.col("had"), "left")
+        return put(m, "retailer_type", types.select("name", F.coalesce("speciality_store", F.lit(0)).cast("int").alias("speciality_store")))
+
+    def product_tables() -> Manifest:
+        out = put(m, "product_line", names_of("product_line"))
+        lines = survivor(distinct_rows(names.select(F.col("product_type").alias("name"), "product_line")), ["name"], [F.col("product_line")])
+        out = put(out, "product_type", map_ids(lines, store.read(out, "product_line"), ["product_line"], ["name"], "id",
+                                               "product_line_fk").select("name", "product_line_fk"))
+        typed = survivor(distinct_rows(names.select(F.col("product").alias("name"), "product_type")), ["name"], [F.col("product_type")])
+        return put(out, "product", map_ids(typed, store.read(out, "product_type"), ["product_type"], ["name"], "id",
+                                           "product_type_fk").select("name", "product_type_fk"))
+
+    return _joined(m, at_once(store.spark, [product_tables, country, retailer_type,
+                                            lambda: put(m, "order_method", names_of("order_method_type"))]))
+
+
+def _joined(m: Manifest, parts: list[Manifest]) -> Manifest:
+    """``m`` with what each of the candidates made of it has written anew."""
+    return reduce(lambda a, b: a.with_new(m, b), parts, m)
 
 
 def _after(df: DataFrame, key: str, former: DataFrame | None) -> DataFrame:
@@ -83,6 +96,10 @@ def _after(df: DataFrame, key: str, former: DataFrame | None) -> DataFrame:
     return df.withColumn(key, F.col(key) + F.lit(last)) if last else df
 
 
+def _batch(store: Store, m: Manifest, batch: str) -> DataFrame:
+    return store.spark.read.parquet(f"{store.root}/sales/load={m.loads['sales'][batch]}")
+
+
 def load_batch(store: Store, flat: DataFrame, reference: DataFrame, batch: str, load_ts: str) -> Manifest:
     """Load cleaned sales as ``batch``; the candidate to publish."""
     m = store.manifest()
@@ -90,22 +107,25 @@ def load_batch(store: Store, flat: DataFrame, reference: DataFrame, batch: str,
     m = _entities(store, m, different, reference)
     entities = {t: store.read(m, t) for t in DB_TABLES[:-1]}
     former = store.read_loads(m, "sales", without=batch)
-    m = store.write_load(m, "sales", batch, _after(normalize_sales(flat, entities, different), "id", former))
-    sales = store.spark.read.parquet(f"{store.root}/sales/load={m.loads['sales'][batch]}")
+
+    def sales_and_dates() -> Manifest:
+        out = store.write_load(m, "sales", batch, _after(normalize_sales(flat, entities, different), "id", former))
+        return store.write(out, "dim_date", with_stable_keys(store.read(out, "dim_date"), D.periods(_batch(store, out, batch)),
+                                                             ["year", "quarter"], ["year", "quarter"], "date_tk"))
 
     members = {"dim_product": D.product_members(entities["product"], entities["product_type"], entities["product_line"]),
                "dim_country": D.country_members(entities["country"], None, reference),
                "dim_retailer": D.retailer_members(entities["retailer_type"]),
                "dim_order_method": D.method_members(entities["order_method"])}
-    for name, spec in SPECS.items():
-        m = store.write(m, name, next_versions(spec, store.read(m, name), members[name], load_ts, key=NATURAL_KEYS[name]))
-    m = store.write(m, "dim_date", with_stable_keys(store.read(m, "dim_date"), D.periods(sales), ["year", "quarter"],
-                                                    ["year", "quarter"], "date_tk"))
+
+    def versions(name: str) -> Manifest:
+        return store.write(m, name, next_versions(SPECS[name], store.read(m, name), members[name], load_ts, key=NATURAL_KEYS[name]))
+
+    m = _joined(m, at_once(store.spark, [sales_and_dates, *[lambda name=name: versions(name) for name in SPECS]]))
+    sales = _batch(store, m, batch)
     dims = {t: store.read(m, t) for t in NATURAL_KEYS}
     # a sale is dated by the first day of its quarter
-    rows = database_sales(entities | {"sales": sales}).withColumn(
-        "sold", F.make_date("year", F.col("quarter") * 3 - 2, F.lit(1)).cast("timestamp"))
-    found = lookup_keys(rows, dims, at="sold", lookups=LOOKUPS_OVER_TIME)
+    found = fact_rows_over_time(entities | {"sales": sales}, dims, LOOKUPS_OVER_TIME)
     fact = _after(number_fact(found), "fact_sales_tk", store.read_loads(m, "fact_sales", without=batch)).select(*FACT_COLUMNS)
     m = store.write_load(m, "fact_sales", batch, fact.hint("rebalance", "date_tk"), ["date_tk"])
     release_temporary(store.spark)
